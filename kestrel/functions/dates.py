@@ -21,7 +21,7 @@ def two_digit_year_date(col, pivot: int = 20) -> Column:
     yy = F.element_at(parts, 3).try_cast("int")
     y = F.when(yy > pivot, yy + 1900).otherwise(yy + 2000)
     text = F.concat_ws("-", y.cast("string"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
-    return F.when(F.trim(_c(col)) == "", F.lit(None).cast("date")).otherwise(F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(F.trim(_c(col)) == "", F.lit(None).cast("date")).otherwise(F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def expand_year(col, this_year: int) -> Column:

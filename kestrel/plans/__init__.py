@@ -8,6 +8,7 @@ from .registry import ORACLES, REGISTRY, query
 
 _MODULES = (
     "listen",
+    "columns",
 )
 
 
