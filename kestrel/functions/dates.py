@@ -52,3 +52,14 @@ def time_parts(col) -> list[Column]:
 def weekday_name(col) -> Column:
     """Short weekday name, e.g. 'Mon' (F13)."""
     return F.date_format(_c(col), "E")
+
+
+def trunc_ntz(col, unit: str) -> Column:
+    """Truncate a TIMESTAMP_NTZ to the hour or day without a session time zone round
+    trip (``date_trunc`` returns a zoned timestamp)."""
+    c = _c(col)
+    if unit == "day":
+        return c.cast("date").cast("timestamp_ntz")
+    if unit == "hour":
+        return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
+    raise ValueError(f"unsupported unit {unit}")

@@ -9,6 +9,7 @@ from .registry import ORACLES, REGISTRY, query
 _MODULES = (
     "listen",
     "columns",
+    "relational",
 )
 
 
