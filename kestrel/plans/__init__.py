@@ -10,6 +10,7 @@ _MODULES = (
     "listen",
     "columns",
     "relational",
+    "series",
 )
 
 
