@@ -11,6 +11,7 @@ _MODULES = (
     "columns",
     "relational",
     "series",
+    "splits",
 )
 
 
