@@ -12,6 +12,7 @@ _MODULES = (
     "relational",
     "series",
     "splits",
+    "features",
 )
 
 
