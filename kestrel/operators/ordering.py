@@ -74,3 +74,38 @@ def percent_range(df: DataFrame, order, lo: float, hi: float) -> DataFrame:
     hi_cut = F.floor(F.col("_k_total") * F.lit(float(hi)) / F.lit(100.0))
     return (idx.filter((F.col("_k_pos") >= lo_cut) & (F.col("_k_pos") < hi_cut))
             .drop("_k_pos", "_k_total"))
+
+
+def global_running_sum(df: DataFrame, order, values, suffix: str = "_cum",
+                       num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``values`` along a total order, without a one-task
+    window: range-partition on the order, sum inside each partition (a window
+    partitioned by the partition id), then add the totals of all earlier partitions
+    from a per-partition table (bounded by the partition count, broadcast)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = as_cols(order)
+    vals = [values] if isinstance(values, str) else list(values)
+    ranged = df.repartitionByRange(n, *ordered).withColumn("_k_pid", F.spark_partition_id())
+    w = Window.partitionBy("_k_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(v).over(w).alias(f"_k_loc_{v}") for v in vals])
+    totals = ranged.groupBy("_k_pid").agg(*[F.sum(v).alias(f"_k_tot_{v}") for v in vals])
+    before = Window.orderBy("_k_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_k_pid", *[F.coalesce(F.sum(f"_k_tot_{v}").over(before), F.lit(0)).alias(f"_k_off_{v}")
+                                        for v in vals])
+    out = local.join(F.broadcast(offsets), "_k_pid")
+    out = out.select("*", *[(F.col(f"_k_loc_{v}") + F.col(f"_k_off_{v}")).alias(f"{v}{suffix}") for v in vals])
+    return out.drop("_k_pid", *[f"_k_loc_{v}" for v in vals], *[f"_k_off_{v}" for v in vals])
+
+
+def rank_within(df: DataFrame, group: str, order, name: str = "pos") -> DataFrame:
+    """0-based position inside each group along ``order`` (group, order must be a
+    total order), from one global row index minus the group's start offset; the
+    per-group count table is bounded by the number of groups."""
+    idx = global_row_index(df, [group, *as_cols(order)], "_k_gpos")
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_k_gn"))
+    starts = counts.select(group, "_k_gn", F.coalesce(F.sum("_k_gn").over(
+        Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_k_start"))
+    out = idx.join(F.broadcast(starts), group)
+    return out.withColumn(name, F.col("_k_gpos") - F.col("_k_start")).drop("_k_gpos", "_k_start") \
+        .withColumnRenamed("_k_gn", f"{name}_n")

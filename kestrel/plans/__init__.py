@@ -13,6 +13,7 @@ _MODULES = (
     "series",
     "splits",
     "features",
+    "evaluate",
 )
 
 
