@@ -14,6 +14,7 @@ _MODULES = (
     "splits",
     "features",
     "evaluate",
+    "io",
 )
 
 
