@@ -15,6 +15,7 @@ _MODULES = (
     "features",
     "evaluate",
     "io",
+    "models",
 )
 
 
