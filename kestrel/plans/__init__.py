@@ -16,6 +16,7 @@ _MODULES = (
     "evaluate",
     "io",
     "models",
+    "streams",
 )
 
 
