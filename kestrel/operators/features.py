@@ -121,7 +121,7 @@ class OneHot:
         return cls({c: vocabulary(df, c, max_values) for c in cols})
 
     def array_column(self, c: str) -> Column:
-        return F.array(*[(F.col(c) == F.lit(v)).cast("double") for v in self.vocabs[c]]) \
+        return F.array(*[F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0)) for v in self.vocabs[c]]) \
             if self.vocabs[c] else F.array().cast("array<double>")
 
     def transform(self, df: DataFrame, wide: bool = False, suffix: str = "_onehot", sep: str = "_") -> DataFrame:
@@ -130,9 +130,7 @@ class OneHot:
             dummies = [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}{sep}{v}")
                        for c in self.vocabs for v in self.vocabs[c]]
             return df.select(*keep, *dummies)
-        return df.select("*", *[F.coalesce(self.array_column(c),
-                                           F.array(*[F.lit(0.0)] * len(self.vocabs[c]))).alias(f"{c}{suffix}")
-                                for c in self.vocabs])
+        return df.select("*", *[self.array_column(c).alias(f"{c}{suffix}") for c in self.vocabs])
 
     def wide_columns(self, sep: str = "_") -> list[str]:
         return [f"{c}{sep}{v}" for c in self.vocabs for v in self.vocabs[c]]

@@ -6,7 +6,11 @@ helpers number rows of a total order in a distributed way instead:
 1. range-partition on the order and sort inside each partition (one shuffle);
 2. number rows inside a partition from ``monotonically_increasing_id`` (its low 33
    bits are the record number in the task, its high bits the partition id);
-3. add the row count of all earlier partitions, taken from a per-partition count
+3. write that numbered, range-partitioned result once with a reliable checkpoint
+   (the shared ``spark.checkpoint.dir``): the per-partition counts and the rows are
+   then read from the same files, so a recomputation (retry, lost executor, a second
+   sampling of the range bounds) can never make the two disagree;
+4. add the row count of all earlier partitions, taken from a per-partition count
    table whose size is the partition count (a proven bound, so it is broadcast).
 
 The order columns must form a total order (add a unique key as the last column) so
@@ -18,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def as_cols(cols) -> list[Column]:
     if isinstance(cols, (str, Column)):
@@ -36,10 +42,10 @@ def global_row_index(df: DataFrame, order, name: str = "row_idx",
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = as_cols(order)
     ranged = df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered)
-    local = (ranged
-             .withColumn("_k_pid", F.spark_partition_id())
-             .withColumn("_k_local", F.monotonically_increasing_id()
-                         - F.shiftleft(F.col("_k_pid").cast("long"), 33)))
+    local = cut_lineage(ranged
+                        .withColumn("_k_pid", F.spark_partition_id())
+                        .withColumn("_k_local", F.monotonically_increasing_id()
+                                    - F.shiftleft(F.col("_k_pid").cast("long"), 33)))
     # one row per partition: bounded by the partition count, never by the data
     counts = local.groupBy("_k_pid").agg(F.count(F.lit(1)).alias("_k_n"))
     running = Window.orderBy("_k_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,14 +85,15 @@ def percent_range(df: DataFrame, order, lo: float, hi: float) -> DataFrame:
 def global_running_sum(df: DataFrame, order, values, suffix: str = "_cum",
                        num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sums of ``values`` along a total order, without a one-task
-    window: range-partition on the order, sum inside each partition (a window
-    partitioned by the partition id), then add the totals of all earlier partitions
-    from a per-partition table (bounded by the partition count, broadcast)."""
+    window: range-partition on the order (checkpointed once, as in
+    ``global_row_index``), sum inside each partition (a window partitioned by the
+    partition id), then add the totals of all earlier partitions from a
+    per-partition table (bounded by the partition count, broadcast)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = as_cols(order)
     vals = [values] if isinstance(values, str) else list(values)
-    ranged = df.repartitionByRange(n, *ordered).withColumn("_k_pid", F.spark_partition_id())
+    ranged = cut_lineage(df.repartitionByRange(n, *ordered).withColumn("_k_pid", F.spark_partition_id()))
     w = Window.partitionBy("_k_pid").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(v).over(w).alias(f"_k_loc_{v}") for v in vals])
     totals = ranged.groupBy("_k_pid").agg(*[F.sum(v).alias(f"_k_tot_{v}") for v in vals])

@@ -396,18 +396,18 @@ def log_exp_roundtrip_q(spark, sf):
 
 
 @query("math_basic", """
-SELECT l_returnflag, round(avg(abs(l_tax - 0.04)), 6) AS mean_abs_dev,
+SELECT l_returnflag, round(avg(abs(l_tax - 0.04)), 9) AS mean_abs_dev,
        round(sqrt(var_samp(l_quantity)), 6) AS sd_qty,
-       round(avg(l_quantity), 1) AS mean_qty_1, round(avg(l_quantity), 6) AS mean_qty
+       round(avg(l_quantity), 1) AS mean_qty_1, round(avg(l_quantity), 9) AS mean_qty
 FROM lineitem GROUP BY l_returnflag""")
 def math_basic_q(spark, sf):
     """F16: abs, mean, sqrt of variance, round."""
     li = table(spark, sf, "lineitem")
     return li.groupBy("l_returnflag").agg(
-        F.round(F.avg(F.abs(F.col("l_tax") - 0.04)), 6).alias("mean_abs_dev"),
+        F.round(F.avg(F.abs(F.col("l_tax") - 0.04)), 9).alias("mean_abs_dev"),
         F.round(F.sqrt(F.var_samp("l_quantity")), 6).alias("sd_qty"),
         F.round(F.avg("l_quantity"), 1).alias("mean_qty_1"),
-        F.round(F.avg("l_quantity"), 6).alias("mean_qty"))
+        F.round(F.avg("l_quantity"), 9).alias("mean_qty"))
 
 
 def _lonlat_cols():

@@ -27,8 +27,11 @@ def scored(spark, sf):
                                         (F.col("n_chars") / (F.col("n_chars") + 2000.0)).alias("score"))
 
 
-def _round_all(df, digits=6, skip=()):
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" and c not in skip else F.col(c)
+def _round_all(df, digits=6, nine=()):
+    """Round double outputs (both engines sum in different orders). Means and ratios of
+    finite-decimal data are exact decimals with up to ~9 places, so those (``nine``)
+    are rounded at 9 places, clear of the 6th-place ties the engines break differently."""
+    return df.select(*[F.round(c, 9 if c in nine else digits).alias(c) if t == "double" else F.col(c)
                        for c, t in df.dtypes])
 
 
@@ -82,11 +85,11 @@ def _ns_base(spark, sf):
 
 @query("column_summary", " UNION ALL ".join(
     f"SELECT '{c}' AS column, count(DISTINCT {c}) AS unique, '{t}' AS dtype, "
-    f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 6) AS missing_pct FROM {_NS_BASE}"
+    f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 9) AS missing_pct FROM {_NS_BASE}"
     for c, t in _NS_TYPES.items()))
 def column_summary_q(spark, sf):
     """Unique count, type and missing % of every column."""
-    return _round_all(column_summary(_ns_base(spark, sf)))
+    return _round_all(column_summary(_ns_base(spark, sf)), nine=("missing_pct",))
 
 
 _DS_COLS = ["l_quantity", "l_discount", "l_tax"]
@@ -160,17 +163,17 @@ WITH m AS (SELECT avg(l_extendedprice) AS mu FROM lineitem),
 c AS (SELECT count(*) AS n, min(l_extendedprice) AS mn, max(l_extendedprice) AS mx, avg(l_extendedprice) AS mean,
              var_samp(l_extendedprice) AS variance, avg(pow(l_extendedprice - mu, 2)) AS m2,
              avg(pow(l_extendedprice - mu, 3)) AS m3, avg(pow(l_extendedprice - mu, 4)) AS m4 FROM lineitem, m)
-SELECT n, round(mn, 6) AS min, round(mx, 6) AS max, round(mean, 6) AS mean, round(variance, 6) AS variance,
+SELECT n, round(mn, 6) AS min, round(mx, 6) AS max, round(mean, 9) AS mean, round(variance, 6) AS variance,
        round(m3 / pow(m2, 1.5), 6) AS skewness, round(m4 / (m2 * m2) - 3, 6) AS kurtosis FROM c""")
 def moments_q(spark, sf):
     """N, min/max, mean, variance, skewness, excess kurtosis."""
-    return _round_all(moments(table(spark, sf, "lineitem"), "l_extendedprice"))
+    return _round_all(moments(table(spark, sf, "lineitem"), "l_extendedprice"), nine=("mean",))
 
 
 @query("length_by_class", """
 SELECT l.quality, count(*) AS n, CAST(min(length(d.text)) AS INTEGER) AS min_len,
        CAST(max(length(d.text)) AS INTEGER) AS max_len,
-       round(avg(length(d.text)), 6) AS mean_len
+       round(avg(length(d.text)), 9) AS mean_len
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id GROUP BY 1""")
 def length_by_class_q(spark, sf):
     """Text length statistics by label (mask, not position)."""
@@ -178,7 +181,7 @@ def length_by_class_q(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.length("text").alias("len"))
     j = lab.join(d, "doc_id")
     return j.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.min("len").alias("min_len"),
-                                    F.max("len").alias("max_len"), F.round(F.avg("len"), 6).alias("mean_len"))
+                                    F.max("len").alias("max_len"), F.round(F.avg("len"), 9).alias("mean_len"))
 
 
 @query("compare_splits", """
@@ -186,15 +189,15 @@ WITH a AS (SELECT count(*) AS count_train, avg(o_totalprice) AS mean_train, stdd
            FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
 b AS (SELECT count(*) AS count_test, avg(o_totalprice) AS mean_test, stddev_samp(o_totalprice) AS std_test
       FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')
-SELECT 'o_totalprice' AS column, count_train, round(mean_train, 6) AS mean_train, round(std_train, 6) AS std_train,
-       count_test, round(mean_test, 6) AS mean_test, round(std_test, 6) AS std_test,
-       round(mean_test - mean_train, 6) AS mean_diff FROM a, b""")
+SELECT 'o_totalprice' AS column, count_train, round(mean_train, 9) AS mean_train, round(std_train, 6) AS std_train,
+       count_test, round(mean_test, 9) AS mean_test, round(std_test, 6) AS std_test,
+       round(mean_test - mean_train, 9) AS mean_diff FROM a, b""")
 def compare_splits_q(spark, sf):
     """Train vs test drift table."""
     o = table(spark, sf, "orders")
     cut = F.lit("1999-01-01").cast("timestamp_ntz")
     return _round_all(compare_splits(o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut),
-                                     ["o_totalprice"]))
+                                     ["o_totalprice"]), nine=("mean_train", "mean_test", "mean_diff"))
 
 
 # ---------------------------------------------------------------- metrics
@@ -205,13 +208,13 @@ WITH c AS (SELECT count(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp,
                   count(*) FILTER (WHERE label = 1 AND score < 0.5) AS fn,
                   count(*) FILTER (WHERE label = 0 AND score < 0.5) AS tn FROM {_SCORED_SQL})
 SELECT tp, fp, fn, tn,
-  round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 6) AS precision,
-  round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 6) AS recall,
-  round(CASE WHEN tp + fp + fn + tn > 0 THEN (tp + tn) / (tp + fp + fn + tn) ELSE 0 END, 6) AS accuracy,
-  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 6) AS f1 FROM c""")
+  round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, 9) AS precision,
+  round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END, 9) AS recall,
+  round(CASE WHEN tp + fp + fn + tn > 0 THEN (tp + tn) / (tp + fp + fn + tn) ELSE 0 END, 9) AS accuracy,
+  round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END, 9) AS f1 FROM c""")
 def binary_metrics_q(spark, sf):
     """M1/M5: precision, recall, accuracy, F1 at threshold 0.5."""
-    return _round_all(binary_metrics(scored(spark, sf), "label", "score", 0.5))
+    return _round_all(binary_metrics(scored(spark, sf), "label", "score", 0.5), 9)
 
 
 @query("roc_auc", f"""
@@ -219,10 +222,10 @@ WITH r AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITIO
            FROM {_SCORED_SQL}),
 a AS (SELECT sum(rk) FILTER (WHERE label = 1) AS rs, count(*) FILTER (WHERE label = 1) AS np,
              count(*) FILTER (WHERE label = 0) AS nn FROM r)
-SELECT round((rs - np * (np + 1) / 2.0) / (np * nn), 6) AS auc, np AS n_pos, nn AS n_neg FROM a""")
+SELECT round((rs - np * (np + 1) / 2.0) / (np * nn), 9) AS auc, np AS n_pos, nn AS n_neg FROM a""")
 def roc_auc_q(spark, sf):
     """M2: exact ROC AUC with averaged ties."""
-    return _round_all(roc_auc(scored(spark, sf), "label", "score"))
+    return _round_all(roc_auc(scored(spark, sf), "label", "score"), 9)
 
 
 @query("confusion_matrix", f"""
@@ -255,11 +258,11 @@ c AS (SELECT g.k, g.t, count(*) FILTER (WHERE s.label = 1 AND s.score >= g.t) AS
              count(*) FILTER (WHERE s.label = 1 AND s.score < g.t) AS fn
       FROM g CROSS JOIN {_SCORED_SQL} s GROUP BY 1, 2),
 f AS (SELECT k, t, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1 FROM c)
-SELECT CASE WHEN f1 > 0 THEN t ELSE 0.0 END AS threshold, round(f1, 6) AS f1 FROM f ORDER BY f1 DESC, k LIMIT 1""")
+SELECT CASE WHEN f1 > 0 THEN t ELSE 0.0 END AS threshold, round(f1, 9) AS f1 FROM f ORDER BY f1 DESC, k LIMIT 1""")
 def threshold_sweep_q(spark, sf):
     """F1-best threshold over 0, .001, ..., .999 (first best wins)."""
     out = best_f1_threshold(scored(spark, sf), "label", "score")
-    return out.select("threshold", F.round("f1", 6).alias("f1"))
+    return out.select("threshold", F.round("f1", 9).alias("f1"))
 
 
 @query("mape", """

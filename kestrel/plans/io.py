@@ -95,7 +95,7 @@ def scan_glob_q(spark, sf):
 
 
 @query("scan_with_filename", """
-SELECT CAST(ts AS DATE) AS day, count(*) AS n, round(avg(abs(value)), 6) AS mean_abs FROM events GROUP BY 1""")
+SELECT CAST(ts AS DATE) AS day, count(*) AS n, round(avg(abs(value)), 9) AS mean_abs FROM events GROUP BY 1""")
 def scan_with_filename_q(spark, sf):
     """One file folder per day, read in one scan keeping the file path;
     the key is parsed from the path and each file reduced to summary numbers."""
@@ -106,7 +106,7 @@ def scan_with_filename_q(spark, sf):
     key = F.regexp_extract("file_path", r"day_key=(\d{4}\.\d{2}\.\d{2})", 1)
     day = F.to_date(key, "yyyy.MM.dd")
     return files.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"),
-                                                F.round(F.avg(F.abs("value")), 6).alias("mean_abs"))
+                                                F.round(F.avg(F.abs("value")), 9).alias("mean_abs"))
 
 
 @query("json_props_extract", """

@@ -124,11 +124,11 @@ def value_counts_q(spark, sf):
 
 
 @query("value_shares", """
-SELECT o_orderstatus, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM orders GROUP BY o_orderstatus""")
+SELECT o_orderstatus, round(count(*) / sum(count(*)) OVER (), 9) AS share FROM orders GROUP BY o_orderstatus""")
 def value_shares_q(spark, sf):
     """A3: normalised value counts."""
     vc = value_counts(table(spark, sf, "orders"), "o_orderstatus", normalize=True)
-    return vc.select("o_orderstatus", F.round("share", 6).alias("share"))
+    return vc.select("o_orderstatus", F.round("share", 9).alias("share"))
 
 
 @query("group_sum", """
@@ -158,42 +158,42 @@ def group_multi_sum_q(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("group_avg", "SELECT o_orderpriority, round(avg(o_totalprice), 6) AS avg_price FROM orders GROUP BY 1")
+@query("group_avg", "SELECT o_orderpriority, round(avg(o_totalprice), 9) AS avg_price FROM orders GROUP BY 1")
 def group_avg_q(spark, sf):
     """Mean per group."""
     out = group_sums(table(spark, sf, "orders"), "o_orderpriority", {"avg_price": "o_totalprice"}, how="avg")
-    return out.withColumn("avg_price", F.round("avg_price", 6))
+    return out.withColumn("avg_price", F.round("avg_price", 9))
 
 
 @query("avg_by_dow", """
-SELECT CAST(dayofweek(l_shipdate) + 1 AS INTEGER) AS dow, round(avg(l_extendedprice), 6) AS avg_price
+SELECT CAST(dayofweek(l_shipdate) + 1 AS INTEGER) AS dow, round(avg(l_extendedprice), 9) AS avg_price
 FROM lineitem GROUP BY 1""")
 def avg_by_dow_q(spark, sf):
     """Mean by day of week (1 = Sunday)."""
     li = table(spark, sf, "lineitem")
     return li.groupBy(F.dayofweek("l_shipdate").alias("dow")).agg(
-        F.round(F.avg("l_extendedprice"), 6).alias("avg_price"))
+        F.round(F.avg("l_extendedprice"), 9).alias("avg_price"))
 
 
 @query("avg_by_year_dow", """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(dayofweek(l_shipdate) + 1 AS INTEGER) AS dow,
-       round(avg(l_extendedprice), 6) AS avg_price FROM lineitem GROUP BY 1, 2""")
+       round(avg(l_extendedprice), 9) AS avg_price FROM lineitem GROUP BY 1, 2""")
 def avg_by_year_dow_q(spark, sf):
     """Mean by year x day of week."""
     li = table(spark, sf, "lineitem")
     return li.groupBy(F.year("l_shipdate").alias("year"), F.dayofweek("l_shipdate").alias("dow")).agg(
-        F.round(F.avg("l_extendedprice"), 6).alias("avg_price"))
+        F.round(F.avg("l_extendedprice"), 9).alias("avg_price"))
 
 
 @query("flag_rate_by_bucket", """
 SELECT LEAST(l_quantity, 40.0) AS bucket, CAST(sum(CAST(l_returnflag = 'R' AS BIGINT)) AS BIGINT) AS n_flag,
-       count(*) AS n, round(avg(CAST(l_returnflag = 'R' AS DOUBLE)), 6) AS rate
+       count(*) AS n, round(avg(CAST(l_returnflag = 'R' AS DOUBLE)), 9) AS rate
 FROM lineitem GROUP BY 1""")
 def flag_rate_by_bucket_q(spark, sf):
     """Bad rate (sum, count, mean of a flag) per bucket."""
     li = table(spark, sf, "lineitem").select(F.least("l_quantity", F.lit(40.0)).alias("bucket"),
                                              (F.col("l_returnflag") == "R").alias("flag"))
-    return flag_rate(li, "bucket", "flag").withColumn("rate", F.round("rate", 6))
+    return flag_rate(li, "bucket", "flag").withColumn("rate", F.round("rate", 9))
 
 
 @query("quarterly_flag_rate", """
@@ -261,14 +261,14 @@ def null_share_q(spark, sf):
 
 
 @query("mean_abs_by_group", """
-SELECT date_trunc('hour', ts) AS hour, round(avg(abs(value)), 6) AS ch1, round(avg(abs(value - 100)), 6) AS ch2
+SELECT date_trunc('hour', ts) AS hour, round(avg(abs(value)), 9) AS ch1, round(avg(abs(value - 100)), 9) AS ch2
 FROM events GROUP BY 1""")
 def mean_abs_by_group_q(spark, sf):
     """Per signal window (hour), mean absolute value of each channel."""
     ev = table(spark, sf, "events").select(trunc_ntz("ts", "hour").alias("hour"),
                                            F.col("value").alias("ch1"), (F.col("value") - 100).alias("ch2"))
     out = mean_abs(ev, "hour", ["ch1", "ch2"])
-    return out.select("hour", F.round("ch1", 6).alias("ch1"), F.round("ch2", 6).alias("ch2"))
+    return out.select("hour", F.round("ch1", 9).alias("ch1"), F.round("ch2", 9).alias("ch2"))
 
 
 @query("minmax_stats", """
@@ -294,11 +294,11 @@ def count_vector_q(spark, sf):
 
 
 @query("score_stats", """
-SELECT round(max(value), 6) AS max, round(avg(value), 6) AS mean, round(var_samp(value), 6) AS var FROM events""")
+SELECT round(max(value), 6) AS max, round(avg(value), 9) AS mean, round(var_samp(value), 6) AS var FROM events""")
 def score_stats_q(spark, sf):
     """Max / mean / sample variance of a score."""
     s = score_stats(table(spark, sf, "events"), "value")
-    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+    return s.select(*[F.round(c, 9 if c == "mean" else 6).alias(c) for c in s.columns])
 
 
 @query("mode_value", """

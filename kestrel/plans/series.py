@@ -85,13 +85,13 @@ t AS (SELECT hour, idx, v, CASE WHEN idx >= {PERIOD // 2} AND idx + {PERIOD // 2
         END AS trend FROM i),
 p AS (SELECT idx % {PERIOD} AS phase, avg(v - trend) AS pa FROM t GROUP BY 1),
 pc AS (SELECT phase, pa - avg(pa) OVER () AS seasonal FROM p)
-SELECT t.hour, t.idx, round(t.v, 6) AS v, round(t.trend, 6) AS trend, round(pc.seasonal, 6) AS seasonal,
+SELECT t.hour, t.idx, round(t.v, 9) AS v, round(t.trend, 6) AS trend, round(pc.seasonal, 6) AS seasonal,
        round(t.v - t.trend - pc.seasonal, 6) AS resid
 FROM t JOIN pc ON t.idx % {PERIOD} = pc.phase""")
 def seasonal_decompose_q(spark, sf):
     """Additive decomposition of the hourly signal, daily period."""
     out = seasonal_decompose(hourly_signal(spark, sf), "hour", "v", PERIOD)
-    return out.select("hour", "idx", *[F.round(c, 6).alias(c) for c in ("v", "trend", "seasonal", "resid")])
+    return out.select("hour", "idx", F.round("v", 9).alias("v"), *[F.round(c, 6).alias(c) for c in ("trend", "seasonal", "resid")])
 
 
 @query("acf", f"""
@@ -138,13 +138,13 @@ def sd_class_q(spark, sf):
 
 
 @query("class_share_by_month", """
-SELECT month, o_orderpriority, n, round(n / sum(n) OVER (PARTITION BY month), 6) AS share FROM (
+SELECT month, o_orderpriority, n, round(n / sum(n) OVER (PARTITION BY month), 9) AS share FROM (
   SELECT CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2)""")
 def class_share_by_month_q(spark, sf):
     """Class shares within each month."""
     o = table(spark, sf, "orders")
     out = class_share_by(o, F.month("o_orderdate").alias("month"), "o_orderpriority")
-    return out.withColumn("share", F.round("share", 6))
+    return out.withColumn("share", F.round("share", 9))
 
 
 @query("row_mae", """
@@ -166,13 +166,13 @@ def row_mae_q(spark, sf):
 @query("anomaly_flag", f"""
 WITH s AS (SELECT date_trunc('hour', ts) AS hour, avg(abs(value)) AS score FROM events GROUP BY 1),
 t AS (SELECT 1.05 * max(score) AS thr FROM s WHERE hour < TIMESTAMP '2024-01-21 00:00:00')
-SELECT hour, round(score, 6) AS score, round(thr, 6) AS threshold, score > thr AS anomaly FROM s, t""")
+SELECT hour, round(score, 9) AS score, round(thr, 9) AS threshold, score > thr AS anomaly FROM s, t""")
 def anomaly_flag_q(spark, sf):
     """threshold = 1.05 x max training-period score; flag = score > threshold."""
     ev = table(spark, sf, "events")
     s = ev.groupBy(trunc_ntz("ts", "hour").alias("hour")).agg(F.avg(F.abs("value")).alias("score"))
     out = anomaly_flags(s, "score", F.col("hour") < F.lit("2024-01-21 00:00:00").cast("timestamp_ntz"))
-    return out.select("hour", F.round("score", 6).alias("score"), F.round("threshold", 6).alias("threshold"), "anomaly")
+    return out.select("hour", F.round("score", 9).alias("score"), F.round("threshold", 9).alias("threshold"), "anomaly")
 
 
 @query("normal_pdf_grid", """

@@ -19,22 +19,22 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 
 @query("tumbling_mean_abs", """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
-       count(*) AS n, round(avg(abs(value)), 6) AS mean_abs_value FROM events GROUP BY 1, 2, 3""")
+       count(*) AS n, round(avg(abs(value)), 9) AS mean_abs_value FROM events GROUP BY 1, 2, 3""")
 def tumbling_mean_abs_q(spark, sf):
     """X1 batch twin: hourly tumbling windows per event type, mean |value|."""
     out = signal_windows(table(spark, sf, "events"), "ts", ["value"], "1 hour", keys=["event_type"])
-    return out.withColumn("mean_abs_value", F.round("mean_abs_value", 6))
+    return out.withColumn("mean_abs_value", F.round("mean_abs_value", 9))
 
 
 @query("sliding_mean_abs", """
 SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n,
-       round(avg(abs(value)), 6) AS mean_abs_value
+       round(avg(abs(value)), 9) AS mean_abs_value
 FROM (SELECT event_type, value, time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE AS w
       FROM events, generate_series(0, 3) g(k)) GROUP BY 1, 2, 3""")
 def sliding_mean_abs_q(spark, sf):
     """X2 batch twin: 1-hour windows sliding by 15 minutes."""
     out = signal_windows(table(spark, sf, "events"), "ts", ["value"], "1 hour", "15 minutes", keys=["event_type"])
-    return out.withColumn("mean_abs_value", F.round("mean_abs_value", 6))
+    return out.withColumn("mean_abs_value", F.round("mean_abs_value", 9))
 
 
 @query("session_counts", """
