@@ -7,7 +7,7 @@ pre-combined in every task and never reaches one reducer as raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import as_cols
@@ -46,13 +46,13 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False,
                  name: str | None = None) -> DataFrame:
     """Value counts (A2) or shares of the total (A3).
 
-    The share divides by the grand total, taken from a window over the already
-    aggregated table (one row per distinct value).
+    The share divides by the grand total, one number read from an aggregate and
+    inlined, so a column with many distinct values never meets in one task.
     """
     out = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
-        out = out.select(col, (F.col("count") / F.sum("count").over(Window.partitionBy()))
-                         .alias(name or "share"))
+        total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        out = out.select(col, (F.col("count") / F.lit(total)).alias(name or "share"))
     return out
 
 
@@ -80,8 +80,8 @@ def period_rate(df: DataFrame, date_col: str, flag: str) -> DataFrame:
     """Quarterly sum and count of a flag, labelled by quarter end, with empty
     quarters inside the range as zero rows (A9).
 
-    The quarter spine is derived from the data's min/max date: its size is the number
-    of quarters in the range, so it is broadcast into the left join.
+    The quarter spine is exploded from the data's min/max date: one row per quarter
+    in the range, so the planner broadcasts it into the left join.
     """
     from ..sources.spine import calendar_spine
     q = df.select(quarter_end(date_col).alias("quarter_end"), F.col(flag).cast("long").alias("_f"))
@@ -148,7 +148,7 @@ def mode_value(df: DataFrame, col: str, by=None) -> DataFrame:
     """Most frequent value, smallest wins a tie (A19; pandas ``mode()[0]``)."""
     keys = as_cols(by) if by else []
     counted = df.filter(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
-    # max_by over (count, -rank of value): pick the largest count, then the smallest value
+    # min_by over (-count, value): the largest count first, then the smallest value
     best = F.min_by(F.col(col), F.struct((-F.col("_c")).alias("c"), F.col(col).alias("v")))
     return counted.groupBy(*keys).agg(best.alias("mode"))
 

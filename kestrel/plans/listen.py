@@ -40,17 +40,23 @@ def listens(spark: SparkSession, sf: str) -> DataFrame:
 
 def artist_liking(spark: SparkSession, sf: str, n_top: int = TOP_ARTISTS) -> DataFrame:
     """Top-n artists -> per-user play counts (wide) + tag counters -> presence label of
-    the most-played artist -> cleaned column names."""
-    listen = listens(spark, sf)
-    top = top_n(listen, "artist", n_top)
+    the most-played artist -> cleaned column names.
+
+    The listen join runs once: it is reduced to (user, artist) counts (map-side
+    partial aggregation, so a hot artist or user is pre-combined per task) and that
+    aggregate feeds both the top-n ranking (an artist's listens = the sum of its
+    counts) and the per-user pivot.
+    """
+    pair_counts = group_count(listens(spark, sf), ["user_id", "artist"]).persist()
+    top = (pair_counts.groupBy("artist").agg(F.sum("cnt").alias("n"))
+           .orderBy(F.col("n").desc(), F.col("artist")).limit(n_top))
     top_list = [r["artist"] for r in top.collect()]          # n_top rows: bounded
     target = top_list[0]
-    plays = group_count(listen.join(F.broadcast(top.select("artist")), "artist", "left_semi"),
-                        ["user_id", "artist"])
+    plays = pair_counts.filter(F.col("artist").isin(*top_list))
     wide = pivot_values(plays, "user_id", "artist", "cnt", top_list)
     part = table(spark, sf, "part")
-    tags = (part.select(F.col("p_brand").alias("artist"), tag_normalize(F.col("p_type")).alias("tag"))
-            .join(F.broadcast(top.select("artist")), "artist", "left_semi").distinct())
+    tags = (part.filter(F.col("p_brand").isin(*top_list))
+            .select(F.col("p_brand").alias("artist"), tag_normalize(F.col("p_type")).alias("tag")).distinct())
     tag_long = tag_counts_long(plays.filter(F.col("cnt") > 0), tags, "user_id", "artist", "tag")
     tag_wide = pivot_values(tag_long, "user_id", "tag", "n", vocabulary(tags, "tag"))
     out = wide.join(tag_wide, "user_id", "left")
