@@ -262,3 +262,22 @@ def metric_log_append_q(spark, sf):
         append_rows(out, path, METRIC_SCHEMA)
     return spark.read.parquet(path)
 
+
+
+LOGREG_SPACE = {"regParam": ("log", 1e-4, 1.0), "elasticNetParam": ("float", 0.0, 1.0),
+                "maxIter": ("choice", [10, 25, 50])}
+
+
+@query("param_space_sample")
+def param_space_sample_q(spark, sf):
+    """Seeded draws from a declared space (log-uniform, uniform, discrete), each
+    fitted on an 80/20 hold-out of the labelled documents; every draw is reported with
+    its metric and whether it lies inside the declared bounds."""
+    from pyspark.ml.classification import LogisticRegression
+    rows = doc_rows(spark, sf)
+    est = LogisticRegression(labelCol="label", featuresCol="features")
+    _, trials = random_search(est, LOGREG_SPACE, 6, rows, "label", DOC_FEATURES, seed=11)
+    out = spark.createDataFrame(trials).select("trial", "regParam", "elasticNetParam", "maxIter", "metric")
+    inside = (F.col("regParam").between(1e-4, 1.0) & F.col("elasticNetParam").between(0.0, 1.0)
+              & F.col("maxIter").isin(10, 25, 50))
+    return out.withColumn("in_bounds", inside)
