@@ -265,7 +265,7 @@ def metric_log_append_q(spark, sf):
 
 
 LOGREG_SPACE = {"regParam": ("log", 1e-4, 1.0), "elasticNetParam": ("float", 0.0, 1.0),
-                "maxIter": ("choice", [10, 25, 50])}
+                "maxIter": ("choice", [5, 10, 20])}
 
 
 @query("param_space_sample")
@@ -279,5 +279,5 @@ def param_space_sample_q(spark, sf):
     _, trials = random_search(est, LOGREG_SPACE, 6, rows, "label", DOC_FEATURES, seed=11)
     out = spark.createDataFrame(trials).select("trial", "regParam", "elasticNetParam", "maxIter", "metric")
     inside = (F.col("regParam").between(1e-4, 1.0) & F.col("elasticNetParam").between(0.0, 1.0)
-              & F.col("maxIter").isin(10, 25, 50))
+              & F.col("maxIter").isin(5, 10, 20))
     return out.withColumn("in_bounds", inside)

@@ -85,13 +85,14 @@ t AS (SELECT hour, idx, v, CASE WHEN idx >= {PERIOD // 2} AND idx + {PERIOD // 2
         END AS trend FROM i),
 p AS (SELECT idx % {PERIOD} AS phase, avg(v - trend) AS pa FROM t GROUP BY 1),
 pc AS (SELECT phase, pa - avg(pa) OVER () AS seasonal FROM p)
-SELECT t.hour, t.idx, round(t.v, 9) AS v, round(t.trend, 6) AS trend, round(pc.seasonal, 6) AS seasonal,
-       round(t.v - t.trend - pc.seasonal, 6) AS resid
+SELECT t.hour, t.idx, round(t.v, 9) AS v, round(t.trend, 9) AS trend, round(pc.seasonal, 9) AS seasonal,
+       round(t.v - t.trend - pc.seasonal, 9) AS resid
 FROM t JOIN pc ON t.idx % {PERIOD} = pc.phase""")
 def seasonal_decompose_q(spark, sf):
     """Additive decomposition of the hourly signal, daily period."""
     out = seasonal_decompose(hourly_signal(spark, sf), "hour", "v", PERIOD)
-    return out.select("hour", "idx", F.round("v", 9).alias("v"), *[F.round(c, 6).alias(c) for c in ("trend", "seasonal", "resid")])
+    # sums of 2-decimal values over small divisors: exact decimals, so round clear of 6th-place ties
+    return out.select("hour", "idx", *[F.round(c, 9).alias(c) for c in ("v", "trend", "seasonal", "resid")])
 
 
 @query("acf", f"""
