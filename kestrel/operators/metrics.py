@@ -131,3 +131,22 @@ def best_trial(trials: DataFrame, metric: str, maximize: bool = True) -> DataFra
     others = [c for c in trials.columns]
     key = F.struct(F.col(metric) if maximize else -F.col(metric), -F.col("trial_id"))
     return trials.agg(F.max_by(F.struct(*others), key).alias("b")).select("b.*")
+
+
+TRIAL_STRUCT = ("struct<trialId: string, hyperparameters: map<string, string>, "
+                "finalMetric: struct<trainingStep: bigint, objectiveValue: double>>")
+
+
+def trial_table(df: DataFrame, json_col: str, params: list[str], trials_path: str | None = None) -> DataFrame:
+    """Trial records (id, hyper-parameter map, final metric) from JSON text to a table
+    (M11, S12, F28). With ``trials_path`` (e.g. 'trials') each document holds an array
+    of trials, exploded to one row per trial; otherwise one trial per document."""
+    if trials_path:
+        doc = F.from_json(F.col(json_col), f"struct<{trials_path}: array<{TRIAL_STRUCT}>>")
+        parsed = df.select(F.explode(doc[trials_path]).alias("t"))
+    else:
+        parsed = df.select(F.from_json(F.col(json_col), TRIAL_STRUCT).alias("t"))
+    return parsed.select(F.col("t.trialId").cast("bigint").alias("trial_id"),
+                         *[F.col("t.hyperparameters")[p].alias(p) for p in params],
+                         F.col("t.finalMetric.trainingStep").alias("step"),
+                         F.col("t.finalMetric.objectiveValue").alias("objective"))

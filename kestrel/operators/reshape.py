@@ -60,11 +60,23 @@ def tag_matrix(df: DataFrame, key: str, tag: str, vocab: list) -> DataFrame:
 
 
 def crosstab(df: DataFrame, a: str, b: str, b_vocab: list, margins: bool = False,
-             margin_name: str = "All") -> DataFrame:
+             margin_name: str = "All", percent_of=None, drop_margin_row: bool = False) -> DataFrame:
     """Cross-count of two columns, zeros for absent cells (R5); with margins the
-    ``All`` row and column are added from a CUBE in the same aggregate (R6, A20)."""
+    ``All`` row and column are added from a CUBE in the same aggregate (R6, A20).
+    ``percent_of=(value, name)`` adds round(100 * n[value] / All, 1), half-even like
+    pandas; ``drop_margin_row`` removes the ``All`` row afterwards."""
     if not margins:
         return pivot_counts(df, a, b, b_vocab, fill=0)
+    out = _crosstab_margins(df, a, b, b_vocab, margin_name)
+    if percent_of is not None:
+        v, name = percent_of
+        out = out.withColumn(name, F.bround(100 * F.col(f"`{v}`") / F.col(f"`{margin_name}`"), 1))
+    if drop_margin_row:
+        out = out.filter(F.col(a) != F.lit(margin_name))
+    return out
+
+
+def _crosstab_margins(df: DataFrame, a: str, b: str, b_vocab: list, margin_name: str) -> DataFrame:
     cube = (df.cube(a, b).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g")))
     lab_a = F.when(F.col("_g").bitwiseAND(2) == 2, F.lit(margin_name)).otherwise(F.col(a).cast("string"))
     lab_b = F.when(F.col("_g").bitwiseAND(1) == 1, F.lit(margin_name)).otherwise(F.col(b).cast("string"))

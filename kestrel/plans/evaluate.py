@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import argmax_index
 from ..operators.metrics import (best_f1_threshold, best_trial, binary_metrics, compare_scores, confusion_matrix,
-                                 exact_match_accuracy, log_loss, mae_mse, mape, roc_auc)
+                                 exact_match_accuracy, log_loss, mae_mse, mape, roc_auc, trial_table)
 from ..operators.profile import (column_summary, compare_splits, corr_matrix, data_summary, describe,
                                  describe_categorical, histogram, moments, shape)
 from ..session import table
@@ -326,11 +326,7 @@ def trial_table_q(spark, sf):
                      F.lit("n_estimators"), (50 + F.col("s_suppkey") % 100).cast("string")).alias("hyperparameters"),
         F.struct(F.lit(1000).alias("trainingStep"),
                  F.round(F.abs("s_acctbal") / 10000, 6).alias("objectiveValue")).alias("finalMetric")))
-    schema = ("trialId string, hyperparameters map<string,string>, "
-              "finalMetric struct<trainingStep: bigint, objectiveValue: double>")
-    parsed = sup.select(F.from_json(doc, schema).alias("t")).select(
-        F.col("t.trialId").cast("bigint").alias("trial_id"),
-        F.col("t.hyperparameters")["max_depth"].cast("int").alias("max_depth"),
-        F.col("t.hyperparameters")["n_estimators"].cast("int").alias("n_estimators"),
-        F.col("t.finalMetric.objectiveValue").alias("objective"))
+    trials = trial_table(sup.select(doc.alias("doc")), "doc", ["max_depth", "n_estimators"])
+    parsed = trials.select("trial_id", F.col("max_depth").cast("int").alias("max_depth"),
+                           F.col("n_estimators").cast("int").alias("n_estimators"), "objective")
     return best_trial(parsed, "objective")

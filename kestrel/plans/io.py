@@ -273,3 +273,13 @@ def sink_json_roundtrip_q(spark, sf):
         "o_orderkey", F.array(F.col("o_totalprice"), F.col("o_custkey").cast("double")).alias("instances"))
     write_json(o, path)
     return read_json_lines(spark, path, "o_orderkey long, instances array<double>")
+
+
+@query("sink_json_array", """
+SELECT [CAST(o_orderkey AS DOUBLE), o_totalprice, CAST(o_custkey AS DOUBLE)] AS instance FROM orders""")
+def sink_json_array_q(spark, sf):
+    """K7: each feature row written as a JSON array line (prediction-request instances),
+    read back as text and parsed."""
+    path = scratch_path(spark, "orders-json-array")
+    write_json(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey"), path, as_array=True)
+    return spark.read.text(path).select(F.from_json("value", "array<double>").alias("instance"))

@@ -331,6 +331,5 @@ def crosstab_margins_q(spark, sf):
     """Cross-count with 'All' margins (CUBE), percent column (half-even round
     as pandas), margin row removed."""
     base = table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_discount") > 0.05).cast("int").alias("bad"))
-    ct = crosstab(base, "l_returnflag", "bad", [0, 1], margins=True)
-    ct = ct.withColumn("pct_bad", F.bround(100 * F.col("1") / F.col("All"), 1))
-    return ct.filter(F.col("l_returnflag") != "All")
+    return crosstab(base, "l_returnflag", "bad", [0, 1], margins=True, percent_of=("1", "pct_bad"),
+                    drop_margin_row=True)

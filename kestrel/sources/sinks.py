@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,9 +29,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines of rows (K7)."""
-    df.write.mode(mode).json(path)
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", as_array: bool = False) -> None:
+    """JSON lines of rows (K7); with ``as_array`` each line is the JSON array of the
+    row's values (the instance format of a prediction request), one line per row."""
+    if as_array:
+        df.select(F.to_json(F.array(*[F.col(c).cast("double") for c in df.columns])).alias("value")) \
+            .write.mode(mode).text(path)
+    else:
+        df.write.mode(mode).json(path)
 
 
 class SchemaMismatch(ValueError):

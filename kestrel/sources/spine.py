@@ -27,3 +27,9 @@ def calendar_spine(bounds: DataFrame, lo: str, hi: str, step: str = "1 day",
 def date_bounds(df: DataFrame, col: str) -> DataFrame:
     """One-row frame with the min and max date of a column."""
     return df.agg(F.min(F.col(col).cast("date")).alias("lo"), F.max(F.col(col).cast("date")).alias("hi"))
+
+
+def calendar_spine_between(spark, start: str, end: str, step: str = "1 day", name: str = "day") -> DataFrame:
+    """Calendar rows between two literal dates (S15), made on an executor."""
+    bounds = spark.range(1).select(F.lit(start).cast("date").alias("lo"), F.lit(end).cast("date").alias("hi"))
+    return calendar_spine(bounds, "lo", "hi", step, name)

@@ -100,3 +100,21 @@ def test_onehot_unseen_is_all_zero(spark):
     test = spark.createDataFrame([("b",), ("z",), (None,)], "c string")
     got = [r["c_onehot"] for r in OneHot.fit(train, ["c"]).transform(test).collect()]
     assert got == [[0.0, 1.0], [0.0, 0.0], [0.0, 0.0]]
+
+
+def test_trial_table_array_document(spark):
+    from kestrel.operators.metrics import best_trial, trial_table
+    doc = ('{"trials": [{"trialId": "1", "hyperparameters": {"max_depth": "3"}, '
+           '"finalMetric": {"trainingStep": 1000, "objectiveValue": 0.82}}, '
+           '{"trialId": "2", "hyperparameters": {"max_depth": "7"}, '
+           '"finalMetric": {"trainingStep": 1000, "objectiveValue": 0.92}}]}')
+    t = trial_table(spark.createDataFrame([(doc,)], "j string"), "j", ["max_depth"], trials_path="trials")
+    assert t.count() == 2
+    best = best_trial(t, "objective").first()
+    assert (best["trial_id"], best["max_depth"], best["objective"]) == (2, "7", 0.92)
+
+
+def test_calendar_spine_between(spark):
+    from kestrel.sources.spine import calendar_spine_between
+    days = [str(r[0]) for r in calendar_spine_between(spark, "2024-02-27", "2024-03-01").collect()]
+    assert days == ["2024-02-27", "2024-02-28", "2024-02-29", "2024-03-01"]
