@@ -25,16 +25,32 @@ def vocabulary(df: DataFrame, col: str, max_values: int = 10_000) -> list:
     return sorted(r[0] for r in vals)
 
 
+# Up to this many pivot values, a pivot is one conditional aggregate (one shuffle,
+# partial aggregation per task); above it Spark's two-phase pivot is used.
+CONDITIONAL_PIVOT_MAX = 64
+
+
 def pivot_values(df: DataFrame, key, col: str, value: str | Column, vocab: list,
                  agg: str = "first") -> DataFrame:
     """Long -> wide: one column per vocabulary value; absent pairs stay NULL."""
     v = F.col(value) if isinstance(value, str) else value
+    if len(vocab) <= CONDITIONAL_PIVOT_MAX:
+        fn = {"first": lambda e: F.first(e, ignorenulls=True), "sum": F.sum, "max": F.max}[agg]
+        return df.groupBy(*as_cols(key)).agg(
+            *[fn(F.when(F.col(col) == F.lit(x), v)).alias(str(x)) for x in vocab])
     fn = {"first": F.first, "sum": F.sum, "max": F.max}[agg]
     return df.groupBy(*as_cols(key)).pivot(col, vocab).agg(fn(v))
 
 
 def pivot_counts(df: DataFrame, key, col: str, vocab: list, fill: int | None = None) -> DataFrame:
     """Count of rows per key and value, wide; NULL for absent pairs unless ``fill``."""
+    if len(vocab) <= CONDITIONAL_PIVOT_MAX:
+        if fill is None:
+            cells = [F.sum(F.when(F.col(col) == F.lit(x), F.lit(1).cast("long"))).alias(str(x)) for x in vocab]
+        else:
+            cells = [F.coalesce(F.sum(F.when(F.col(col) == F.lit(x), F.lit(1).cast("long"))),
+                                F.lit(fill).cast("long")).alias(str(x)) for x in vocab]
+        return df.groupBy(*as_cols(key)).agg(*cells)
     out = df.groupBy(*as_cols(key)).pivot(col, vocab).agg(F.count(F.lit(1)))
     if fill is not None:
         out = out.fillna(fill, subset=[str(v) for v in vocab])
@@ -55,6 +71,9 @@ def tag_counts_long(plays: DataFrame, tags: DataFrame, user: str, item: str, tag
 
 def tag_matrix(df: DataFrame, key: str, tag: str, vocab: list) -> DataFrame:
     """Boolean matrix: True where the key carries the tag, else False."""
+    if len(vocab) <= CONDITIONAL_PIVOT_MAX:
+        return df.groupBy(key).agg(*[F.bool_or(F.coalesce(F.col(tag) == F.lit(x), F.lit(False))).alias(str(x))
+                                     for x in vocab])
     out = df.groupBy(key).pivot(tag, vocab).agg(F.lit(True))
     return out.fillna(False, subset=[str(v) for v in vocab])
 

@@ -14,7 +14,7 @@ from ..functions.strings import tag_normalize
 from ..operators.aggregate import group_count, keep_top_n, top_n
 from ..operators.project import COLUMN_NAME_REPLACEMENTS, clean_names, label_presence
 from ..operators.reshape import pivot_counts, pivot_values, tag_counts_long, tag_matrix, vocabulary
-from ..session import table
+from ..session import cut_lineage, table
 from .registry import query
 
 TOP_ARTISTS = 10
@@ -43,11 +43,11 @@ def artist_liking(spark: SparkSession, sf: str, n_top: int = TOP_ARTISTS) -> Dat
     the most-played artist -> cleaned column names.
 
     The listen join runs once: it is reduced to (user, artist) counts (map-side
-    partial aggregation, so a hot artist or user is pre-combined per task) and that
-    aggregate feeds both the top-n ranking (an artist's listens = the sum of its
-    counts) and the per-user pivot.
+    partial aggregation, so a hot artist or user is pre-combined per task), written
+    once to the shared checkpoint folder, and that aggregate feeds both the top-n
+    ranking (an artist's listens = the sum of its counts) and the per-user pivot.
     """
-    pair_counts = group_count(listens(spark, sf), ["user_id", "artist"]).persist()
+    pair_counts = cut_lineage(group_count(listens(spark, sf), ["user_id", "artist"]))
     top = (pair_counts.groupBy("artist").agg(F.sum("cnt").alias("n"))
            .orderBy(F.col("n").desc(), F.col("artist")).limit(n_top))
     top_list = [r["artist"] for r in top.collect()]          # n_top rows: bounded

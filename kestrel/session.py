@@ -51,8 +51,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when the session names one; only when
-    it is unset (local tests) a folder is made and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir`` when the session names one. Only when
+    it is unset (local tests) a local folder is made and registered with
+    ``setCheckpointDir`` (``spark.checkpoint.dir`` itself cannot be set at runtime).
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -65,7 +66,6 @@ def scratch_dir(spark: SparkSession) -> str:
         # setCheckpointDir appends a per-application uuid folder; its parent is ours.
         return jdir.get().rsplit("/", 1)[0].replace("file:", "", 1)
     base = tempfile.mkdtemp(prefix="kestrel-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", base)
     sc.setCheckpointDir(base)
     return base
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,10 +11,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from kestrel.session import get_session
+    from kestrel.session import get_session, scratch_dir
     s = get_session("local[4]", 4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="kestrel-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    scratch_dir(s)  # the session's spark.checkpoint.dir, or a local folder only when unset
     yield s
