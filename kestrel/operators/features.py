@@ -16,6 +16,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import sized_broadcast
 from .ordering import global_row_index
 from .reshape import vocabulary
 
@@ -99,7 +100,7 @@ class LabelEncode:
         for c in self.cols:
             v = self.vocab.filter(F.col("column") == c).select(
                 F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}{suffix or '__code'}"))
-            out = out.join(v, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+            out = out.join(sized_broadcast(v), F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
             if not suffix:
                 out = out.drop(c).withColumnRenamed(f"{c}__code", c)
         return out

@@ -66,7 +66,10 @@ def tag_counts_long(plays: DataFrame, tags: DataFrame, user: str, item: str, tag
     """
     pairs = plays.select(user, item).distinct()
     item_tags = tags.select(item, tag).distinct()
-    return pairs.join(item_tags, item).groupBy(user, tag).agg(F.count(F.lit(1)).alias("n"))
+    # the item -> tag dimension is broadcast when its size estimate is small, so a hot
+    # item never funnels its pairs into one join task (else AQE splits the skew)
+    from .joins import sized_broadcast
+    return pairs.join(sized_broadcast(item_tags), item).groupBy(user, tag).agg(F.count(F.lit(1)).alias("n"))
 
 
 def tag_matrix(df: DataFrame, key: str, tag: str, vocab: list) -> DataFrame:

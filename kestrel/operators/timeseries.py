@@ -29,20 +29,21 @@ DF_CONSTANT_CRIT = {
 def split_first(df: DataFrame, key: str, order: Sequence[str], min_rows: int = 2):
     """First row of each group (target) and the remaining rows (features).
 
-    The first row is found with ``min_by`` (a partial aggregate), and the rest by a
-    left-anti join on (key, order), whose hash spreads a hot key over many tasks.
-    Groups with fewer than ``min_rows`` rows are dropped (nothing is left once the
-    target is removed).
+    The first row is found with ``min_by`` (a partial aggregate), and both parts come
+    from joins on (key, order), whose hash spreads a hot key over many tasks; no join
+    runs on the key alone. Groups with fewer than ``min_rows`` rows are dropped from
+    the target (nothing is left once the target is removed); their only row is a
+    first row, so the anti-join already keeps it out of the rest.
     """
     order = list(order)
     stats = df.groupBy(key).agg(
         F.min_by(F.struct(*[F.col(c) for c in order]), F.struct(*[F.col(c) for c in order])).alias("_first"),
         F.count(F.lit(1)).alias("_n"))
-    keep = stats.filter(F.col("_n") >= min_rows)
-    first_keys = keep.select(key, *[F.col(f"_first.{c}").alias(c) for c in order])
-    target = df.join(first_keys, on=[key, *order], how="left_semi")
-    rest = (df.join(keep.select(key), on=key, how="left_semi")
-            .join(first_keys, on=[key, *order], how="left_anti"))
+    firsts = stats.select(key, "_n", *[F.col(f"_first.{c}").alias(c) for c in order])
+    target = df.join(firsts.filter(F.col("_n") >= min_rows).drop("_n"), on=[key, *order], how="left_semi")
+    rest = df.join(firsts.drop("_n"), on=[key, *order], how="left_anti")
+    if min_rows > 2:
+        rest = rest.join(firsts.filter(F.col("_n") >= min_rows).select(key), on=key, how="left_semi")
     return target, rest
 
 
