@@ -1,4 +1,4 @@
-"""Math, casts and hashing."""
+"""Math and hashing helpers."""
 
 from __future__ import annotations
 
@@ -19,8 +19,9 @@ def normal_pdf(x, mu, sd) -> Column:
 
 
 def fill_nan(col, value=0.0) -> Column:
-    """NaN and NULL -> value."""
-    return F.coalesce(F.nanvl(_c(col), F.lit(None).cast("double")), F.lit(value))
+    """NaN and NULL -> value (F31); ``value`` may be a literal or a Column."""
+    v = value if isinstance(value, Column) else F.lit(value)
+    return F.coalesce(F.nanvl(_c(col), F.lit(None).cast("double")), v)
 
 
 def stable_bucket(key, n: int) -> Column:
@@ -30,9 +31,3 @@ def stable_bucket(key, n: int) -> Column:
     """
     h = F.conv(F.substring(F.md5(_c(key).cast("string")), 1, 8), 16, 10).cast("long")
     return F.pmod(h, F.lit(n))
-
-
-def log_round_trip(col) -> list[Column]:
-    """ln(x) and round(exp(ln(x)))."""
-    c = _c(col)
-    return [F.ln(c).alias("log_x"), F.round(F.exp(F.ln(c))).cast("long").alias("exp_back")]

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numeric import fill_nan
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -77,10 +79,10 @@ def fill_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
         if c not in values:
             out.append(F.col(c))
             continue
-        col = F.col(c)
         if types[c] in ("double", "float"):
-            col = F.nanvl(col, F.lit(None).cast(types[c]))
-        out.append(F.coalesce(col, F.lit(values[c]).cast(types[c])).alias(c))
+            out.append(fill_nan(c, F.lit(values[c]).cast(types[c])).alias(c))
+        else:
+            out.append(F.coalesce(F.col(c), F.lit(values[c]).cast(types[c])).alias(c))
     return df.select(*out)
 
 

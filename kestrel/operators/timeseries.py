@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import normal_pdf
 from .ordering import as_cols
 
 # MacKinnon (2010) response-surface coefficients for the Dickey-Fuller
@@ -78,8 +79,7 @@ def normal_pdf_grid(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     step = (6 * F.col("sigma")) / (points - 1)
     g = st.select("mu", "sigma", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     x = lo + F.col("i") * step
-    pdf = F.exp(-F.pow((x - F.col("mu")) / F.col("sigma"), 2) / 2) / (F.col("sigma") * F.lit(np.sqrt(2 * np.pi)))
-    return g.select("i", x.alias("x"), pdf.alias("pdf"))
+    return g.select("i", x.alias("x"), normal_pdf(x, "mu", "sigma").alias("pdf"))
 
 
 def indexed_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = ()) -> DataFrame:

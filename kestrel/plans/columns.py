@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.arrays import argmax_index, argmax_label
 from ..functions.dates import expand_year, time_parts, two_digit_year_date, weekday_name
 from ..functions.geo import haversine_m
-from ..functions.numeric import fill_nan
 from ..functions.strings import strip_chars, suffix_collapse, tag_normalize, zip_prefix
 from ..operators.clean import (LOAN_RULES, apply_rules, canonical_label, clip_upper, drop_null_rows,
                                fill_const, impute_mode, replace_value, tokens_to_null)

@@ -144,9 +144,8 @@ def feature_row_q(spark, sf):
     cnt_cols = [f"cnt_{v}" for v in vocab]
     base = c.join(cv, "c_custkey", "left").fillna(0, subset=cnt_cols)
     oh = OneHot.fit(c, ["c_mktsegment"]).transform(base)
-    counts = F.array(*[F.col(x).cast("double") for x in cnt_cols])
-    return oh.select("c_custkey", F.concat(F.array(F.col("c_acctbal")), counts, F.col("c_mktsegment_onehot"))
-                     .alias("features"))
+    oh = oh.withColumn("counts", F.array(*[F.col(x).cast("double") for x in cnt_cols]))
+    return oh.select("c_custkey", feature_array(["c_acctbal"], ["counts", "c_mktsegment_onehot"]).alias("features"))
 
 
 @query("class_weight", """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import stable_bucket
+from ..functions.strings import json_field
 from ..operators.project import drop_header_rows
 from ..session import scratch_path, table
 from ..sources.files import read_delimited, read_json_lines, read_with_filename
@@ -123,7 +124,7 @@ SELECT event_id, event_type AS kind, CAST(json_extract_string(props, '$.k') AS V
 def kv_map_parse_q(spark, sf):
     """key<TAB>value config lines parsed into a map, then read by key."""
     ev = table(spark, sf, "events")
-    text = F.concat(F.lit("kind\t"), F.col("event_type"), F.lit("\nk\t"), F.get_json_object("props", "$.k"), F.lit("\n"))
+    text = F.concat(F.lit("kind\t"), F.col("event_type"), F.lit("\nk\t"), json_field("props", "$.k"), F.lit("\n"))
     m = kv_map(text)
     return ev.select("event_id", m["kind"].alias("kind"), m["k"].alias("k"))
 

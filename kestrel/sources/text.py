@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.strings import last_path_part, zero_pad
+
 # Link text pattern of game links, 'AAA@BBB (m/d/yy)'.
 GAME_LINK_PATTERN = r"^([A-Z]{3})@([A-Z]{3})\s+\((\d+)/(\d+)/(\d+)\)"
 
@@ -15,7 +17,7 @@ def html_links(df: DataFrame, html_col: str, pattern: str = r'href="(/[^"]*)"',
     """One row per matching link: href group 1 and its last path part as id."""
     hrefs = F.regexp_extract_all(F.col(html_col), F.lit(pattern), 1)
     return (df.select(*keep, F.explode(hrefs).alias("href"))
-            .select(*keep, "href", F.substring_index("href", "/", -1).alias("link_id")))
+            .select(*keep, "href", last_path_part("href").alias("link_id")))
 
 
 def game_ids(df: DataFrame, text_col: str, year: int, keep=()) -> DataFrame:
@@ -24,7 +26,7 @@ def game_ids(df: DataFrame, text_col: str, year: int, keep=()) -> DataFrame:
     t = F.col(text_col)
     g = lambda i: F.regexp_extract(t, GAME_LINK_PATTERN, i)
     matched = df.filter(t.rlike(GAME_LINK_PATTERN))
-    gid = F.concat(F.lit(f"gid_{year}_"), F.lpad(g(3), 2, "0"), F.lit("_"), F.lpad(g(4), 2, "0"), F.lit("_"),
+    gid = F.concat(F.lit(f"gid_{year}_"), zero_pad(g(3), 2), F.lit("_"), zero_pad(g(4), 2), F.lit("_"),
                    F.lower(g(1)), F.lit("mlb_"), F.lower(g(2)), F.lit("mlb_1"))
     return matched.filter(g(5) == F.lit(str(year)[-2:])).select(*keep, gid.alias("game_id"))
 
