@@ -2,28 +2,45 @@
 
 The same window functions run on a batch DataFrame (the "batch twin", checked
 against SQL) and on a stream with a watermark (rows of windows the watermark has
-closed). Event time must be a TIMESTAMP for ``withWatermark``; NTZ inputs are cast
-in and the window bounds cast back, which keeps wall-clock boundaries when the
-session time zone is UTC (as ``kestrel.session.get_session`` sets it).
+closed). Event time must be a TIMESTAMP for ``withWatermark``; NTZ inputs are moved
+to the instant whose UTC wall clock equals them (through epoch microseconds, not a
+cast), and window bounds are moved back the same way, so window boundaries sit on
+wall-clock hours whatever the session time zone is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 
+_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(col) -> Column:
+    """TIMESTAMP_NTZ wall clock -> the TIMESTAMP whose UTC wall clock it is (zone-free)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c))
+
+
+def instant_to_ntz(col) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _EPOCH_NTZ)
+
+
 def event_time(df: DataFrame, ts: str, name: str = "event_time") -> DataFrame:
-    return df.withColumn(name, F.col(ts).cast("timestamp"))
+    t = dict(df.dtypes)[ts]
+    return df.withColumn(name, ntz_to_instant(ts) if t == "timestamp_ntz" else F.col(ts))
 
 
 def _bounds(win: str) -> list:
-    return [F.col(f"{win}.start").cast("timestamp_ntz").alias("window_start"),
-            F.col(f"{win}.end").cast("timestamp_ntz").alias("window_end")]
+    return [instant_to_ntz(f"{win}.start").alias("window_start"),
+            instant_to_ntz(f"{win}.end").alias("window_end")]
 
 
 def signal_windows(df: DataFrame, ts: str, values: Sequence[str], size: str, slide: str | None = None,
@@ -50,8 +67,8 @@ def session_counts(df: DataFrame, ts: str, key: str, gap: str, watermark: str |
     if watermark:
         e = e.withWatermark("event_time", watermark)
     agg = e.groupBy(key, F.session_window("event_time", gap).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    return agg.select(key, F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-                      F.col("s.end").cast("timestamp_ntz").alias("session_end"), "n")
+    return agg.select(key, instant_to_ntz("s.start").alias("session_start"),
+                      instant_to_ntz("s.end").alias("session_end"), "n")
 
 
 def flag_stream(stream: DataFrame, thresholds: DataFrame, key: str, score: str) -> DataFrame:
