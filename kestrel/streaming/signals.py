@@ -18,19 +18,20 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def ntz_to_instant(col) -> Column:
     """TIMESTAMP_NTZ wall clock -> the TIMESTAMP whose UTC wall clock it is (zone-free)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, c))
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
 
 
 def instant_to_ntz(col) -> Column:
     """Inverse of ``ntz_to_instant``."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
 
 
 def event_time(df: DataFrame, ts: str, name: str = "event_time") -> DataFrame:
