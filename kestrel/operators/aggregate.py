@@ -99,13 +99,17 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
-def nunique_all(df: DataFrame, cols=None) -> DataFrame:
+def nunique_all(df: DataFrame, cols=None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Exact distinct count of every column in ONE aggregate, long form.
 
     One job for all columns, not a job per column; nulls are not counted (as pandas).
+    Exact counts of several columns expand each row once per column before the
+    shuffle; ``approx=True`` uses HyperLogLog++ sketches instead (relative error
+    ``rsd``), which merge map-side and need no expansion.
     """
     cols = cols or df.columns
-    wide = df.agg(*[F.countDistinct(F.col(c)).alias(c) for c in cols])
+    fn = (lambda c: F.approx_count_distinct(F.col(c), rsd)) if approx else (lambda c: F.countDistinct(F.col(c)))
+    wide = df.agg(*[fn(c).alias(c) for c in cols])
     return unpivot_wide(wide, cols, "column", "nunique")
 
 

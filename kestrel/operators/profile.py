@@ -52,14 +52,21 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) ->
     return agg.select("column", "q", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias("value"))
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
+             accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column (E2), one
-    row per column."""
+    row per column. ``exact=False`` takes the quartiles from ``percentile_approx`` in
+    the same aggregate (rank error <= n / accuracy), avoiding the global sort."""
     cols = list(cols or select_by_type(df, ["numeric"]))
     long = long_values(df, cols)
-    base = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    stats = [F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+             F.min("value").alias("min"), F.max("value").alias("max")]
+    if not exact:
+        qs = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
+        out = long.groupBy("column").agg(*stats, qs.alias("_q"))
+        return out.select("column", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
+                          F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+    base = long.groupBy("column").agg(*stats)
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
     qw = q.groupBy("column").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
     qw = qw.toDF("column", "p25", "p50", "p75")

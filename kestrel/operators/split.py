@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import stable_bucket
-from .ordering import global_row_index
+from .ordering import rank_within
+from .reshape import vocabulary
 
 
 def mod_split(df: DataFrame, key: str, n: int = 5, test_rem: int = 0, name: str = "part") -> DataFrame:
@@ -52,25 +53,21 @@ def stratified_split(df: DataFrame, label: str, key: str, fractions: Sequence[tu
     bounded by the number of classes), so a class holding most rows is never pulled
     into one task."""
     h = df.withColumn("_h", seeded_hash(key, seed))
-    idx = global_row_index(h, [label, "_h", key], "_pos")
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    starts = counts.select(label, "_nc", F.coalesce(F.sum("_nc").over(
-        Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    j = idx.join(F.broadcast(starts), label)
-    local = F.col("_pos") - F.col("_start")
+    ranked = rank_within(h, label, ["_h", key], "_pos")  # adds _pos and the class size _pos_n
+    local = F.col("_pos")
     expr, acc = None, F.lit(0)
     for part, f in fractions[:-1]:
-        acc = acc + F.floor(F.col("_nc") * F.lit(float(f)))
+        acc = acc + F.floor(F.col("_pos_n") * F.lit(float(f)))
         expr = F.when(local < acc, F.lit(part)) if expr is None else expr.when(local < acc, F.lit(part))
     last = fractions[-1][0]
     expr = F.lit(last) if expr is None else expr.otherwise(F.lit(last))
-    return j.withColumn(name, expr).drop("_h", "_pos", "_nc", "_start")
+    return ranked.withColumn(name, expr).drop("_h", "_pos", "_pos_n")
 
 
 def split_counts(df: DataFrame, part: str = "part") -> DataFrame:
     """Row count per part and the conservation check against the input, in ONE
     aggregate (E18)."""
-    parts = [r[0] for r in df.select(part).distinct().collect()]  # a handful of part names
+    parts = vocabulary(df, part, max_values=1000)  # a handful of part names (guarded)
     aggs = [F.count(F.when(F.col(part) == p, 1)).alias(f"n_{p}") for p in sorted(parts)]
     total = F.count(F.lit(1))
     out = df.agg(*aggs, total.alias("n_total"))

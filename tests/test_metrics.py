@@ -58,3 +58,14 @@ def test_histogram_matches_numpy(spark):
     got = histogram(df, "x", 20).orderBy("bin").toPandas()
     counts, _ = np.histogram(x, bins=20)
     assert got["count"].tolist() == counts.tolist()
+
+
+def test_describe_approx_close_to_exact(spark):
+    from kestrel.operators.profile import describe
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame(pd.DataFrame({"x": rng.normal(size=2000)}))
+    ex = describe(df, ["x"]).first()
+    ap = describe(df, ["x"], exact=False).first()
+    for k in ("p25", "p50", "p75"):
+        assert abs(ex[k] - ap[k]) < 0.05
+    assert ex["count"] == ap["count"] == 2000
