@@ -17,6 +17,7 @@ _MODULES = (
     "io",
     "models",
     "streams",
+    "flows",
 )
 
 
