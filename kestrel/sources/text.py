@@ -4,13 +4,17 @@ yields 0..n output rows through ``explode``, so the work is spread like the inpu
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import last_path_part, zero_pad
 
-# Link text pattern of game links, 'AAA@BBB (m/d/yy)'.
+# Link text pattern of game links, 'AAA@BBB (m/d/yy)', and the game id
+# built from it: gid_<year>_<mm>_<dd>_<first team>mlb_<second team>mlb_1.
 GAME_LINK_PATTERN = r"^([A-Z]{3})@([A-Z]{3})\s+\((\d+)/(\d+)/(\d+)\)"
+GAME_ID_FORMAT = "gid_{year}_{month}_{day}_{first}mlb_{second}mlb_1"
 
 
 def html_links(df: DataFrame, html_col: str, pattern: str = r'href="(/[^"]*)"', keep=()) -> DataFrame:
@@ -26,11 +30,23 @@ def game_ids(df: DataFrame, text_col: str, year: int, keep=()) -> DataFrame:
     t = F.col(text_col)
     g = lambda i: F.regexp_extract(t, GAME_LINK_PATTERN, i)
     matched = df.filter(t.rlike(GAME_LINK_PATTERN))
-    gid = F.concat(F.lit(f"gid_{year}_"), zero_pad(g(3), 2), F.lit("_"), zero_pad(g(4), 2), F.lit("_"),
-                   F.lower(g(1)), F.lit("mlb_"), F.lower(g(2)), F.lit("mlb_1"))
+    parts = {"year": F.lit(str(year)), "month": zero_pad(g(3), 2), "day": zero_pad(g(4), 2),
+             "first": F.lower(g(1)), "second": F.lower(g(2))}
+    gid = F.concat(*_format_columns(GAME_ID_FORMAT, parts))
     return matched.filter(g(5) == F.lit(str(year)[-2:])).select(*keep, gid.alias("game_id"))
 
 
+def _format_columns(fmt: str, parts: dict) -> list:
+    """Split a '{name}' format into literal and column pieces for ``concat``."""
+    out = []
+    for lit_text, field, _, _ in string.Formatter().parse(fmt):
+        if lit_text:
+            out.append(F.lit(lit_text))
+        if field:
+            out.append(parts[field])
+    return out
+
+
 def html_table_rows(df: DataFrame, html_col: str, keep=()) -> DataFrame:
     """First <table> of each page as long rows (row number, column name, cell text):
     the first row holds the column names (S19)."""
