@@ -50,7 +50,8 @@ def taxi_flow_q(spark, sf):
              .select("unique_key", F.ln("trip_seconds").alias("log_trip_seconds"), "trip_seconds", "distance",
                      *time_parts("o_orderdate"), weekday_name("o_orderdate").alias("weekday"),
                      F.coalesce("pickup_area", F.lit(9999)).alias("pickup_area")))
-    parts = hash_split(feats, "unique_key", [("train", 8), ("valid", 1), ("test", 1)])
+    # the joined, filtered feature rows are written once; fits and scoring read them
+    parts = cut_lineage(hash_split(feats, "unique_key", [("train", 8), ("valid", 1), ("test", 1)]))
     train = parts.filter(F.col("part") == "train")
     oh = OneHot.fit(train, ["weekday"])
     mm = MinMax.fit(train, ["distance", "month", "hour"])
@@ -118,7 +119,8 @@ def loan_flow_q(spark, sf):
     lcd = read_delimited(spark, path, schema, sep="\t", null_tokens={"emp_length": "na"})
     lcd = lcd.withColumn("zip3", zip_prefix("zip_code")).withColumn("cr_date", two_digit_year_date("earliest_cr_line"))
     lcd = apply_rules(lcd, {k: v for k, v in LOAN_RULES.items() if k in lcd.columns})
-    parts = date_range_split(lcd, "cr_date", [("train", "1995-01-01", "1999-12-31"), ("test", "1999-12-31", "2001-12-31")])
+    parts = cut_lineage(date_range_split(lcd, "cr_date", [("train", "1995-01-01", "1999-12-31"),
+                                                           ("test", "1999-12-31", "2001-12-31")]))
     train, test = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
     oh = OneHot.fit(train, ["home_ownership"])
     cols = ["Id", "is_bad", "emp_length", "annual_inc", "zip3", "delinq_2yrs"] + oh.wide_columns()
@@ -145,7 +147,7 @@ def income_flow_q(spark, sf):
         F.concat(F.lit(" "), F.col("o_orderstatus"), F.when(F.col("o_orderkey") % 2 == 0, F.lit(".")).otherwise(F.lit(""))).alias("income"))
     clean = impute_mode(tokens_to_null(raw, [" ?"]), ["workclass", "occupation"])
     clean = clean.withColumn("label", (F.btrim("income", F.lit(". ")) == "F").cast("double"))
-    split = mod_split(clean, "o_orderkey", 5)
+    split = cut_lineage(mod_split(clean, "o_orderkey", 5))
     train = split.filter(F.col("part") == "train")
     enc = LabelEncode.fit(train, ["workclass", "occupation"])
     coded = enc.transform(split)
