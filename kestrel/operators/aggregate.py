@@ -135,10 +135,13 @@ def mean_abs(df: DataFrame, keys, cols, suffix: str = "") -> DataFrame:
 
 
 def min_max(df: DataFrame, cols) -> DataFrame:
-    """Per-column min and max; Spark's partial+final aggregate is the chunked fit."""
+    """Per-column min and max; Spark's partial+final aggregate is the chunked fit.
+
+    ``+ 0.0`` turns a -0.0 extreme into 0.0: min/max of equal zeros depends on row
+    order, and the sign would otherwise differ between runs and engines."""
     aggs = []
     for c in cols:
-        aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+        aggs += [(F.min(c) + 0.0).alias(f"{c}_min"), (F.max(c) + 0.0).alias(f"{c}_max")]
     return df.agg(*aggs)
 
 

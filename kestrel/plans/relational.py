@@ -272,9 +272,9 @@ def mean_abs_by_group_q(spark, sf):
 
 
 @query("minmax_stats", """
-SELECT min(l_quantity) AS l_quantity_min, max(l_quantity) AS l_quantity_max,
-       min(l_extendedprice) AS l_extendedprice_min, max(l_extendedprice) AS l_extendedprice_max,
-       min(l_discount) AS l_discount_min, max(l_discount) AS l_discount_max FROM lineitem""")
+SELECT min(l_quantity) + 0.0 AS l_quantity_min, max(l_quantity) + 0.0 AS l_quantity_max,
+       min(l_extendedprice) + 0.0 AS l_extendedprice_min, max(l_extendedprice) + 0.0 AS l_extendedprice_max,
+       min(l_discount) + 0.0 AS l_discount_min, max(l_discount) + 0.0 AS l_discount_max FROM lineitem""")
 def minmax_stats_q(spark, sf):
     """min/max in Spark's partial + final aggregate (the chunked partial fit)."""
     return min_max(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])

@@ -41,8 +41,21 @@ def rows_of(cols, records):
     return collections.Counter(tuple(norm(r[i]) for i in order) for r in records)
 
 
+def neg_zeros(records) -> int:
+    """Count -0.0 values (a value hash would tell them from 0.0)."""
+    def count(v):
+        if isinstance(v, float):
+            return int(v == 0 and math.copysign(1.0, v) < 0)
+        if isinstance(v, (list, tuple, np.ndarray)):
+            return sum(count(x) for x in v)
+        return 0
+    return sum(count(list(r)) for r in records)
+
+
 def compare(scols, srecs, dcols, drecs) -> list[str]:
     problems = []
+    if neg_zeros(srecs) != neg_zeros(drecs):
+        problems.append(f"-0.0 counts differ: {neg_zeros(srecs)} vs {neg_zeros(drecs)}")
     if sorted(scols) != sorted(dcols):
         problems.append(f"columns differ: {sorted(scols)} vs {sorted(dcols)}")
     elif len(srecs) != len(drecs):
