@@ -13,7 +13,7 @@ from ..functions.geo import haversine_m
 from ..functions.strings import zip_prefix
 from ..operators.aggregate import group_count
 from ..operators.clean import LOAN_RULES, apply_rules, impute_mode, tokens_to_null
-from ..operators.features import LabelEncode, MinMax, OneHot
+from ..operators.features import LabelEncode, MinMax, OneHot, class_weight
 from ..operators.metrics import binary_metrics, exact_match_accuracy, mape, roc_auc
 from ..operators.ml import fit_gbt, fit_log_regression, fit_rf, pca_residual, positive_probability
 from ..operators.project import map_values, ordinal_case
@@ -152,7 +152,8 @@ def income_flow_q(spark, sf):
     enc = LabelEncode.fit(train, ["workclass", "occupation"])
     coded = enc.transform(split)
     feats = ["capital_gain", "hours", "workclass", "occupation"]
-    model = fit_gbt(coded.filter(F.col("part") == "train"), "label", feats, maxIter=10, maxDepth=3)
+    weighted = class_weight(coded.filter(F.col("part") == "train"), "label")  # majority : minority
+    model = fit_gbt(weighted, "label", feats, weight="weight", maxIter=10, maxDepth=3)
     test = positive_probability(model.transform(coded.filter(F.col("part") == "test")))
     auc = roc_auc(test, "label", "score").first()["auc"]  # one number
     return binary_metrics(test, "label", "score", 0.5).withColumn("auc", F.lit(auc))

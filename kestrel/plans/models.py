@@ -88,7 +88,8 @@ def rf_target_vector_q(spark, sf):
 
 @query("random_search")
 def random_search_q(spark, sf):
-    """Seeded draws from a declared space, 80/20 hold-out, best kept."""
+    """Seeded draws from a declared space, each scored on an 80/20
+    hold-out; the trial table (the search's model keeps the best draw)."""
     rows = doc_rows(spark, sf)
     space = {"maxDepth": ("int", 2, 5), "maxIter": ("int", 5, 20), "stepSize": ("log", 0.01, 0.3)}
     est = GBTClassifier(labelCol="label", featuresCol="features", seed=42)
@@ -132,8 +133,9 @@ def mlp_scores_q(spark, sf):
 
 @query("log_regression")
 def log_regression_q(spark, sf):
-    """Boosted regression on ln(price) from scaled numerics and one-hots, fitted
-    on the train period; predictions mapped back with exp."""
+    """Boosted regression on ln(price) from numeric columns and a one-hot flag
+    (trees need no scaling; the taxi flow shows the min-max variant), fitted on the
+    train period; predictions mapped back with exp."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity",
                                              "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     stages = [StringIndexer(inputCol="l_returnflag", outputCol="rf_idx", handleInvalid="keep"),
