@@ -81,20 +81,20 @@ def best_f1_threshold(df: DataFrame, label, score, step: float = 0.001, points:
     # correct the float floor so that k*step <= score < (k+1)*step in double arithmetic
     k1 = F.when(k0.cast("double") * F.lit(step) > s, k0 - 1).otherwise(k0)
     k2 = F.when((k1 + 1).cast("double") * F.lit(step) <= s, k1 + 1).otherwise(k1)
-    kk = F.least(k2, F.lit(points - 1))
+    # scores below the grid (or NULL) are never predicted positive: bucket -1
+    kk = F.coalesce(F.greatest(F.least(k2, F.lit(points - 1)), F.lit(-1)), F.lit(-1))
     y = _c(label)
-    per = (df.filter(s.isNotNull()).select(kk.alias("kb"), (y == 1).cast("long").alias("pos"))
+    per = (df.select(kk.alias("kb"), (y == 1).cast("long").alias("pos"))
            .groupBy("kb").agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg")))
-    total_pos = df.agg(F.sum((y == 1).cast("long")).alias("P"))
-    grid = df.sparkSession.range(points).select(F.col("id").alias("k"))
-    joined = grid.join(per.filter(F.col("kb") >= 0), grid.k == per.kb, "left").fillna(0, subset=["pos", "neg"])
-    from_top = Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, 0)  # <= points rows
+    grid = df.sparkSession.range(-1, points).select(F.col("id").alias("k"))
+    joined = grid.join(per, grid.k == per.kb, "left").fillna(0, subset=["pos", "neg"])
+    from_top = Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, 0)  # <= points+1 rows
     cum = joined.select("k", F.sum("pos").over(from_top).alias("tp"), F.sum("neg").over(from_top).alias("fp"))
-    P = total_pos.first()["P"] or 0
-    f1 = F.when(2 * F.col("tp") + F.col("fp") + (F.lit(P) - F.col("tp")) > 0,
-                2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + (F.lit(P) - F.col("tp")))).otherwise(0.0)
-    scored = cum.select("k", f1.alias("f1"))
-    best = scored.orderBy(F.col("f1").desc(), F.col("k").asc()).limit(1)
+    # every row sits in some bucket >= -1, so tp at k = -1 is the number of positives P
+    cum = cum.withColumn("P", F.max("tp").over(Window.partitionBy())).filter(F.col("k") >= 0)
+    den = 2 * F.col("tp") + F.col("fp") + (F.col("P") - F.col("tp"))
+    f1 = F.when(den > 0, 2 * F.col("tp") / den).otherwise(0.0)
+    best = cum.select("k", f1.alias("f1")).orderBy(F.col("f1").desc(), F.col("k").asc()).limit(1)
     return best.select(F.when(F.col("f1") > 0, F.col("k").cast("double") * F.lit(step)).otherwise(F.lit(0.0))
                        .alias("threshold"), F.col("f1").alias("f1"))
 

@@ -128,7 +128,8 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> DataFrame:
     """k equal-width bins over [min, max]; the top edge falls in the last bin (numpy).
-    Empty bins are zero rows (bin spine exploded from the one-row bounds) (E7, E8)."""
+    The bounds are one aggregate row read as scalars; empty bins are zero rows from a
+    k-row bin spine (per class with ``by``) (E7, E8)."""
     st = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     lo, hi = float(st["lo"]), float(st["hi"])
     width = (hi - lo) / bins if hi > lo else 1.0
