@@ -50,15 +50,19 @@ def artist_liking(spark: SparkSession, sf: str, n_top: int = TOP_ARTISTS) -> Dat
     pair_counts = cut_lineage(group_count(listens(spark, sf), ["user_id", "artist"]))
     top = (pair_counts.groupBy("artist").agg(F.sum("cnt").alias("n"))
            .orderBy(F.col("n").desc(), F.col("artist")).limit(n_top))
-    top_list = [r["artist"] for r in top.collect()]          # n_top rows: bounded
+    artist_tags = (table(spark, sf, "part")
+                   .select(F.col("p_brand").alias("artist"), tag_normalize(F.col("p_type")).alias("tag")).distinct())
+    # one bounded read: the top-n artists with their tags (n_top x tags rows)
+    top_rows = top.join(artist_tags, "artist", "left").collect()
+    ranked = sorted({(r["n"], r["artist"]) for r in top_rows}, key=lambda t: (-t[0], t[1]))
+    top_list = [a for _, a in ranked]
     target = top_list[0]
+    tag_vocab = sorted({r["tag"] for r in top_rows if r["tag"] is not None})
     plays = pair_counts.filter(F.col("artist").isin(*top_list))
     wide = pivot_values(plays, "user_id", "artist", "cnt", top_list)
-    part = table(spark, sf, "part")
-    tags = (part.filter(F.col("p_brand").isin(*top_list))
-            .select(F.col("p_brand").alias("artist"), tag_normalize(F.col("p_type")).alias("tag")).distinct())
+    tags = artist_tags.filter(F.col("artist").isin(*top_list))
     tag_long = tag_counts_long(plays.filter(F.col("cnt") > 0), tags, "user_id", "artist", "tag")
-    tag_wide = pivot_values(tag_long, "user_id", "tag", "n", vocabulary(tags, "tag"))
+    tag_wide = pivot_values(tag_long, "user_id", "tag", "n", tag_vocab)
     out = wide.join(tag_wide, "user_id", "left")
     out = label_presence(out, target, "label")
     return clean_names(out)
