@@ -23,6 +23,7 @@ from ..operators.timeseries import anomaly_flags, split_first
 from ..session import cut_lineage, scratch_path, table
 from ..sources.files import read_delimited
 from ..sources.sinks import write_delimited
+from .columns import AGE_BAND_CODES
 from .registry import query
 
 
@@ -161,20 +162,24 @@ def income_flow_q(spark, sf):
 
 @query("retail_flow")
 def retail_flow_q(spark, sf):
-    """Retail next category (the per-user flow): age-band style ordinal code,
-    MOD(user, 5) train/test split, each user's first order as the one-hot target and
-    the count vector of the other orders' categories as features, a multiclass
-    forest, subset accuracy of predicted vs target vectors on test users."""
-    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    o = o.withColumn("status_code", ordinal_case("o_orderstatus", {"F": 1, "O": 2, "P": 3}, default_cast=False, default=0))
+    """Retail next category (the per-user flow): the age-band CASE code (unknown
+    bands -> 0), MOD(user, 5) train/test split, each user's first order as the one-hot
+    target and the count vector of the other orders' categories as features, a
+    multiclass forest, subset accuracy of predicted vs target vectors on test users."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
+    # stand-in age text per customer: the seven band labels and one unlisted value
+    bands = F.array(*[F.lit(b) for b in list(AGE_BAND_CODES) + ["unknown"]])
+    ages = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.element_at(bands, (F.col("c_nationkey") % 8 + 1).cast("int")).alias("age"))
+    o = o.join(ages, "o_custkey").withColumn("age_code", ordinal_case("age", AGE_BAND_CODES, default_cast=False, default=0))
     target, rest = split_first(o, "o_custkey", ["o_orderdate", "o_orderkey"])
     vocab = vocabulary(o, "o_orderpriority")
     feats = count_vector(rest, "o_custkey", "o_orderpriority", vocab, "n_")
     codes = group_count(rest, ["o_custkey"], "n_orders")
     idx = {v: i for i, v in enumerate(vocab)}
-    tgt = target.select("o_custkey", map_values("o_orderpriority", idx).cast("double").alias("label"), "status_code")
+    tgt = target.select("o_custkey", map_values("o_orderpriority", idx).cast("double").alias("label"), "age_code")
     rows = mod_split(feats.join(codes, "o_custkey").join(tgt, "o_custkey"), "o_custkey", 5)
-    fcols = [f"n_{v}" for v in vocab] + ["n_orders", "status_code"]
+    fcols = [f"n_{v}" for v in vocab] + ["n_orders", "age_code"]
     model = fit_rf(rows.filter(F.col("part") == "train"), "label", fcols, num_trees=20)
     pred = model.transform(rows.filter(F.col("part") == "test"))
     onehot = lambda c: F.array(*[(F.col(c) == F.lit(float(i))).cast("int") for i in range(len(vocab))])

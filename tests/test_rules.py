@@ -118,3 +118,10 @@ def test_calendar_spine_between(spark):
     from kestrel.sources.spine import calendar_spine_between
     days = [str(r[0]) for r in calendar_spine_between(spark, "2024-02-27", "2024-03-01").collect()]
     assert days == ["2024-02-27", "2024-02-28", "2024-02-29", "2024-03-01"]
+
+
+def test_age_band_codes(spark):
+    from kestrel.plans.columns import AGE_BAND_CODES
+    df = spark.createDataFrame([("0-17",), ("26-35",), ("55+",), ("unknown",)], "age string")
+    got = [r[0] for r in df.select(ordinal_case("age", AGE_BAND_CODES, default_cast=False, default=0)).collect()]
+    assert got == [1, 3, 7, 0]
