@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import trunc_ntz
-from ..session import table
+from ..session import cut_lineage, table
 from ..streaming.signals import flag_stream, read_stream, run_to_files, session_counts, signal_windows
 from .registry import query
 
@@ -67,10 +67,12 @@ def _thresholds(spark, sf):
 
 @query("stream_anomaly")
 def stream_anomaly_q(spark, sf):
-    """Live flag: each streamed event joined to its type's static threshold."""
+    """Live flag: each streamed event joined to its type's static threshold. The
+    threshold table is stored once (lineage cut), so every micro-batch joins a small
+    stored table instead of re-aggregating the training period."""
     s = read_stream(spark, sf, EVENT_SCHEMA, glob="events.parquet")
-    flagged = flag_stream(s.select("event_id", "ts", "event_type", "value"), _thresholds(spark, sf),
-                          "event_type", "value")
+    thresholds = cut_lineage(_thresholds(spark, sf))
+    flagged = flag_stream(s.select("event_id", "ts", "event_type", "value"), thresholds, "event_type", "value")
     return run_to_files(flagged, "stream-anomaly")
 
 
