@@ -27,7 +27,7 @@ from .registry import query
 SELECT l_orderkey AS order_id, l_partkey AS part_id, l_quantity AS qty, l_extendedprice AS price
 FROM lineitem""")
 def project_rename_q(spark, sf):
-    """Select + rename."""
+    """Select + rename."""
     return project_rename(table(spark, sf, "lineitem"), {
         "l_orderkey": "order_id", "l_partkey": "part_id", "l_quantity": "qty", "l_extendedprice": "price"})
 
@@ -148,7 +148,7 @@ _RAW_LABEL = "' ' || o_orderstatus || CASE WHEN o_orderkey % 2 = 0 THEN '.' ELSE
 @query("label_equals", f"""
 SELECT o_orderkey, trim({_RAW_LABEL}, '. ') = 'F' AS label FROM orders""")
 def label_equals_q(spark, sf):
-    """P13 + C8: ' F' (train) and ' F.' (test) both give label True after canonicalising."""
+    """P13 + C8/D10: ' F' (train) and ' F.' (test) both give label True after canonicalising."""
     o = table(spark, sf, "orders")
     raw = F.concat(F.lit(" "), F.col("o_orderstatus"),
                    F.when(F.col("o_orderkey") % 2 == 0, F.lit(".")).otherwise(F.lit("")))
@@ -179,7 +179,7 @@ def zero_indicator_q(spark, sf):
 SELECT event_id, CASE WHEN value >= 50 THEN 1 ELSE 0 END AS flag_ge,
        CASE WHEN value > 50 THEN 1 ELSE 0 END AS flag_gt FROM events""")
 def threshold_flag_q(spark, sf):
-    """Score >= t and strict score > t."""
+    """Score >= t and strict score > t."""
     ev = table(spark, sf, "events")
     return ev.select("event_id", threshold_flag("value", 50).alias("flag_ge"),
                      threshold_flag("value", 50, strict=True).alias("flag_gt"))
@@ -334,7 +334,7 @@ _ZIP_TEXT = "CAST(CAST(floor(abs(c_acctbal) * 100) AS BIGINT) AS VARCHAR)"
 @query("zip3_prefix", f"""
 SELECT c_custkey, {_ZIP_TEXT} AS zip_text, TRY_CAST(left({_ZIP_TEXT}, 3) AS INTEGER) AS zip3 FROM customer""")
 def zip3_prefix_q(spark, sf):
-    """First three characters to int."""
+    """First three characters to int."""
     c = table(spark, sf, "customer")
     z = F.floor(F.abs(F.col("c_acctbal")) * 100).cast("bigint").cast("string")
     return c.select("c_custkey", z.alias("zip_text"), zip_prefix(z, 3).alias("zip3"))
@@ -351,7 +351,7 @@ SELECT l_orderkey, l_linenumber, txt,
     CAST(split_part(txt, '/', 1) AS INTEGER), CAST(split_part(txt, '/', 2) AS INTEGER)) END AS parsed
 FROM (SELECT l_orderkey, l_linenumber, {_MDY} AS txt FROM lineitem)""")
 def two_digit_year_date_q(spark, sf):
-    """F9/S6: 'm/d/yy' with pivot 20 (yy > 20 -> 19yy); empty -> NULL."""
+    """F9/S6/D1: 'm/d/yy' with pivot 20 (yy > 20 -> 19yy); empty -> NULL."""
     li = table(spark, sf, "lineitem")
     txt = F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(F.date_format("l_shipdate", "M/d/yy"))
     return li.select("l_orderkey", "l_linenumber", txt.alias("txt"), two_digit_year_date(txt).alias("parsed"))
@@ -364,7 +364,7 @@ SELECT o_orderkey, txt, CASE
   ELSE txt END AS expanded
 FROM (SELECT o_orderkey, strftime(o_orderdate, '%b-%y') AS txt FROM orders)""")
 def expand_year_q(spark, sf):
-    """two-digit year expanded against a fixed current year (97)."""
+    """Two-digit year expanded against a fixed current year (97)."""
     o = table(spark, sf, "orders")
     txt = F.date_format("o_orderdate", "MMM-yy")
     return o.select("o_orderkey", txt.alias("txt"), expand_year(txt, 97).alias("expanded"))

@@ -260,7 +260,7 @@ c AS (SELECT g.k, g.t, count(*) FILTER (WHERE s.label = 1 AND s.score >= g.t) AS
 f AS (SELECT k, t, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1 FROM c)
 SELECT CASE WHEN f1 > 0 THEN t ELSE 0.0 END AS threshold, round(f1, 9) AS f1 FROM f ORDER BY f1 DESC, k LIMIT 1""")
 def threshold_sweep_q(spark, sf):
-    """F1-best threshold over 0, .001, ..., .999 (first best wins)."""
+    """F1-best threshold over 0, .001, ..., .999 (first best wins)."""
     out = best_f1_threshold(scored(spark, sf), "label", "score")
     return out.select("threshold", F.round("f1", 9).alias("f1"))
 
@@ -269,7 +269,7 @@ def threshold_sweep_q(spark, sf):
 SELECT CAST(round(avg(abs((l_extendedprice - l_quantity * 1500) / NULLIF(l_extendedprice, 0))) * 100) AS BIGINT) AS mape_pct,
        round(avg(abs((l_extendedprice - l_quantity * 1500) / NULLIF(l_extendedprice, 0))), 6) AS mape FROM lineitem""")
 def mape_q(spark, sf):
-    """M7: mean absolute percentage error."""
+    """Mean absolute percentage error."""
     li = table(spark, sf, "lineitem")
     return _round_all(mape(li, "l_extendedprice", F.col("l_quantity") * 1500))
 

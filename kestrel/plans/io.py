@@ -155,7 +155,7 @@ def calendar_spine_q(spark, sf):
 SELECT page_id, href, string_split(href, '/')[-1] AS link_id
 FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS href FROM pages)""")
 def html_links_q(spark, sf):
-    """Root-relative link rows from raw pages, id = last path part."""
+    """Root-relative link rows from raw pages, id = last path part."""
     return html_links(table(spark, sf, "pages"), "html", keep=["page_id"])
 
 
@@ -176,7 +176,7 @@ _GAME_SQL = (
 
 @query("game_id_build", _GAME_SQL)
 def game_id_build_q(spark, sf):
-    """Link texts 'AAA@BBB (m/d/yy)' matched, same-season kept, game id built."""
+    """Link texts 'AAA@BBB (m/d/yy)' matched, same-season kept, game id built."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
     seg = F.left(F.col("c_mktsegment"), F.lit(3))
@@ -195,7 +195,7 @@ SELECT o_orderkey, CAST(r.row AS BIGINT) AS row, r.column, r.value FROM orders,
            UNION ALL SELECT 1, 'gid', '/gid_' || CAST(o_custkey AS VARCHAR) || '/'
            UNION ALL SELECT 1, 'status', o_orderpriority) r""")
 def html_table_rows_q(spark, sf):
-    """First HTML table of each page to (row, column, value) rows."""
+    """First HTML table of each page to (row, column, value) rows."""
     o = table(spark, sf, "orders")
     td = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
     html = F.concat(F.lit("<html><body><p>x</p><table class='t'><tr><th>gid</th><th>status</th></tr><tr>"),

@@ -50,7 +50,7 @@ def emb_rows(spark, sf, dims: int | None = None):
 
 @query("gbt_scores")
 def gbt_scores_q(spark, sf):
-    """Weighted boosted trees with early stopping on a hash-held-out
+    """Weighted boosted trees with early stopping on a hash-held-out
     validation share; P(quality) for every labelled document."""
     rows = class_weight(doc_rows(spark, sf), "label")
     rows = rows.withColumn("is_valid", stable_bucket("doc_id", 10) < 2)
@@ -184,7 +184,7 @@ def stacked_scores_q(spark, sf):
 
 @query("batch_score")
 def batch_score_q(spark, sf):
-    """Fitted pipeline scores a whole table; results written and read back."""
+    """Fitted pipeline scores a whole table; results written and read back."""
     rows = doc_rows(spark, sf)
     model = fit_logreg(rows, "label", DOC_FEATURES, maxIter=30)
     path = scratch_path(spark, "batch-scores")

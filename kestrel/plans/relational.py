@@ -25,7 +25,7 @@ def md5_bucket_sql(expr: str, n: int) -> str:
 @query("profile_join", """
 SELECT c.c_custkey, c.c_nationkey, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def profile_join_q(spark, sf):
-    """Equi inner join on a named key."""
+    """Equi inner join on a named key."""
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return c.join(n, "c_nationkey").select("c_custkey", "c_nationkey", "n_name")
@@ -236,7 +236,7 @@ def nunique_all_q(spark, sf):
 @query("distinct_pairs", """
 SELECT count(DISTINCT (l_returnflag, l_linestatus)) AS n_pairs FROM lineitem""")
 def distinct_pairs_q(spark, sf):
-    """Distinct (a, b) tuples."""
+    """Distinct (a, b) tuples."""
     return distinct_pairs(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
 
 
@@ -285,7 +285,7 @@ SELECT o_custkey, COALESCE(COLUMNS(* EXCLUDE (o_custkey)), 0) FROM (
   PIVOT (SELECT o.o_custkey, 'cat_' || p.p_type AS cat FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
          JOIN part p ON l.l_partkey = p.p_partkey) ON cat USING count(*) GROUP BY o_custkey)""")
 def count_vector_q(spark, sf):
-    """Per customer, count of each product type over a fixed vocabulary, 0 if absent."""
+    """Per customer, count of each product type over a fixed vocabulary, 0 if absent."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf, "part").select("p_partkey", "p_type")

@@ -35,7 +35,7 @@ SELECT o_custkey, o_orderkey, CASE WHEN rk = 1 THEN 'target' ELSE 'rest' END AS
   SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rk,
          count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE n >= 2""")
 def first_vs_rest_q(spark, sf):
-    """First order of each customer is the target row, the rest are features;
+    """First order of each customer is the target row, the rest are features;
     single-order customers are dropped."""
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     target, rest = split_first(o, "o_custkey", ["o_orderdate", "o_orderkey"])
@@ -108,7 +108,7 @@ def acf_q(spark, sf):
 
 @query("pacf")
 def pacf_q(spark, sf):
-    """Partial autocorrelation (Durbin-Levinson over the acf), rows-only check."""
+    """Partial autocorrelation (Durbin-Levinson over the acf), rows-only check."""
     return pacf(acf(hourly_signal(spark, sf), "hour", "v", NLAGS))
 
 
@@ -133,7 +133,7 @@ SELECT o_orderkey, CASE WHEN o_totalprice > m + 3 * sd THEN 'Very Large'
   WHEN o_totalprice <= m + sd AND o_totalprice >= m - sd THEN 'Medium'
   WHEN o_totalprice < m - sd THEN 'Short' END AS segment FROM orders, s""")
 def sd_class_q(spark, sf):
-    """Four distance classes from whole-table mean and sd."""
+    """Four distance classes from whole-table mean and sd."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return sd_class(o, "o_totalprice").select("o_orderkey", "segment")
 
@@ -212,7 +212,7 @@ SELECT vec_id, list_slice(embedding, 9, 56) AS crop48,
        list_concat(list_concat(list_transform(range(8), lambda x: CAST(0.0 AS FLOAT)), embedding),
                    list_transform(range(8), lambda x: CAST(0.0 AS FLOAT))) AS pad80 FROM embeddings""")
 def array_center_fit_q(spark, sf):
-    """centre crop 64 -> 48 and centre pad 64 -> 80."""
+    """Centre crop 64 -> 48 and centre pad 64 -> 80."""
     e = table(spark, sf, "embeddings")
     return e.select("vec_id", center_fit("embedding", 48).alias("crop48"), center_fit("embedding", 80).alias("pad80"))
 
@@ -220,7 +220,7 @@ def array_center_fit_q(spark, sf):
 @query("array_scale", """
 SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 255.0) AS scaled FROM embeddings""")
 def array_scale_q(spark, sf):
-    """element-wise scale to [0, 1] style (divide by 255)."""
+    """Element-wise scale to [0, 1] style (divide by 255)."""
     e = table(spark, sf, "embeddings")
     return e.select("vec_id", array_scale("embedding").alias("scaled"))
 

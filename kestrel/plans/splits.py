@@ -66,7 +66,7 @@ def random_split_counts_q(spark, sf):
 
 @query("mod_split", "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'test' ELSE 'train' END AS part FROM customer")
 def mod_split_q(spark, sf):
-    """MOD(key, 5) = 0 is test (20%), else train."""
+    """MOD(key, 5) = 0 is test (20%), else train."""
     return mod_split(table(spark, sf, "customer").select("c_custkey"), "c_custkey")
 
 
