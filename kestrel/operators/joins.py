@@ -18,7 +18,8 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (from file sizes and operator statistics)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())  # py4j may convert BigInt
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
