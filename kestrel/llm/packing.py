@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks_of, discard, slices, store, text_or_empty
 
-#: Words kept in a worker's memo, and the longest word that is kept (bytes).
-MEMO_WORDS, MEMO_LENGTH = 1_000_000, 48
+#: About the memory that a worker's memo of word ids takes before it starts anew.
+MEMO_BYTES = 200 << 20
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = (PIECE_SCHEMA + ", part long, bin int, offset long, fill long, "
@@ -44,21 +44,23 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(vocab)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[bytes, bytes] = {}
+        self.room, self.memo = MEMO_BYTES, {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
+        if self.room < 0:
+            self.memo.clear()
+            self.room = MEMO_BYTES
         cut = [t.split() for t in texts]
-        memo = self.memo
-        fresh = list(dict.fromkeys(w for c in cut for w in c if w not in memo))
-        if len(memo) + len(fresh) > MEMO_WORDS:
-            memo.clear()
-            fresh = list(dict.fromkeys(w for c in cut for w in c))
-        long = {}
+        memo, words = self.memo, set()
+        for c in cut:
+            words.update(c)
+        fresh = list(words - memo.keys())
         if fresh:
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
             for w, e in zip(fresh, coded, strict=True):
-                (memo if len(w) <= MEMO_LENGTH else long)[w] = np.array(e.ids, "<u4").tobytes()
-        get = (lambda w: memo[w] if w in memo else long[w]) if long else memo.__getitem__
+                ids = memo[w] = np.array(e.ids, "<u4").tobytes()
+                self.room -= len(w) + len(ids) + 128
+        get = memo.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
 

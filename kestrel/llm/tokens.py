@@ -27,25 +27,30 @@ from pyspark.sql import functions as F
 
 from .common import slices, store, text_or_empty
 
-#: Pieces kept in a worker's memo, and the longest piece that is kept.
-MEMO_PIECES, MEMO_LENGTH = 1_000_000, 48
+#: About the memory that a worker's memo of piece counts takes before it starts anew.
+MEMO_BYTES = 160 << 20
 #: No special string of the vocabulary is longer; a splice stays so far from a cut.
 SPECIAL_LENGTH = 64
 
-_UNSAFE = re.compile(r" \s|\s ")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
-def pieces_of(text: str) -> list[str]:
-    """Cut a text before every lone space between two characters that are no white space.
+def segments_of(text: str) -> list[list[str]]:
+    """Cut a text to segments (joined by newlines) of pieces (joined by spaces).
 
-    The pre-tokenizer always starts a pre-token at such a space (it joins the space to the
-    letters, digits or signs that follow), so the pieces' encodings add up to the text's.
-    Pieces after the first come without their space.
+    The pre-tokenizer always starts a pre-token at a lone space between two characters that
+    are no white space (it joins the space to the letters, digits or signs that follow), and
+    makes a pre-token of a lone newline between two such characters. So the encodings of the
+    pieces, those after a segment's first with their space, and of the newlines add up to
+    the text's. A text with any other white space is one segment, cut at lone spaces only.
     """
-    if not text or text[0] == " " or text[-1] == " " or _UNSAFE.search(text):
-        return _LONE_SPACE.split(text)
-    return text.split(" ")
+    segments = []
+    for line in text.split("\n"):
+        words = line.split()
+        if not words or " ".join(words) != line:
+            return [_LONE_SPACE.split(text)]
+        segments.append(words)
+    return segments
 
 
 class Encoder:
@@ -58,58 +63,69 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocab)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.newline = len(self.tokenizer.encode("\n", add_special_tokens=False))
+        self.room = MEMO_BYTES
         self.first: dict[str, int] = {}
         self.later: dict[str, int] = {}
 
-    def _learn(self, memo: dict[str, int], pieces: list[str], lead: str) -> dict[str, int]:
-        """Counts of pieces that ``memo`` lacks; those that are too long to keep come back."""
-        fresh = list(dict.fromkeys(p for p in pieces if p not in memo))
-        extra: dict[str, int] = {}
+    def _learn(self, memo: dict[str, int], pieces: set[str], lead: str) -> None:
+        """Count the pieces that ``memo`` lacks."""
+        fresh = list(pieces - memo.keys())
         if fresh:
-            if len(memo) > MEMO_PIECES:
-                memo.clear()
-                fresh = list(dict.fromkeys(pieces))
+            self.room -= sum(map(len, fresh)) + 64 * len(fresh)
             for p, e in zip(fresh, self.tokenizer.encode_batch_fast(
                     [lead + p for p in fresh], add_special_tokens=False), strict=True):
-                (memo if len(p) <= MEMO_LENGTH else extra)[p] = len(e)
-        return extra
+                memo[p] = len(e)
+
+    def learn(self, cut: list[list[list[str]]]) -> None:
+        """Make ``first`` know every segment's first piece and ``later`` the others."""
+        if self.room < 0:
+            self.first.clear()
+            self.later.clear()
+            self.room = MEMO_BYTES
+        firsts, laters = set(), set()
+        for segments in cut:
+            for s in segments:
+                firsts.add(s[0])
+                laters.update(s[1:])
+        self._learn(self.first, firsts, "")
+        self._learn(self.later, laters, " ")
 
     def counts(self, texts: list[str]) -> list[int]:
         """Number of tokens of each text."""
-        cut = [pieces_of(t) for t in texts]
-        one = self._learn(self.first, [c[0] for c in cut], "")
-        more = self._learn(self.later, [p for c in cut for p in c[1:]], " ")
-        first, later = self.first, self.later
-        get = (lambda p: later[p] if p in later else more[p]) if more else later.__getitem__
-        return [(first[c[0]] if c[0] in first else one[c[0]]) + sum(map(get, c[1:])) for c in cut]
+        cut = [segments_of(t) for t in texts]
+        self.learn(cut)
+        first, later = self.first, self.later.__getitem__
+        return [sum([first[s[0]] + sum(map(later, s[1:])) for s in segments], self.newline * (len(segments) - 1))
+                for segments in cut]
 
     def starts(self, text: str, lo: int, hi: int) -> tuple[list[int], list[int]]:
         """Pre-token starts of ``text`` in [lo, hi), and the number of tokens before each."""
-        cut = pieces_of(text)
-        counts = self.counts_of(cut)
+        cut = segments_of(text)
+        self.learn([cut])
         where, before = [], []
         at, done = 0, 0
-        for k, p in enumerate(cut):
-            shown = p if k == 0 else " " + p
-            if at + len(shown) > lo and at < hi:
-                e = self.tokenizer.encode(shown, add_special_tokens=False)
-                last = None
-                for i, (word, (s, _)) in enumerate(zip(e.word_ids, e.offsets, strict=True)):
-                    if word != last:
-                        if lo <= at + s < hi:
+        for k, segment in enumerate(cut):
+            if k:
+                if lo <= at < hi:
+                    where.append(at)
+                    before.append(done)
+                at += 1
+                done += self.newline
+            for j, p in enumerate(segment):
+                shown = " " + p if j else p
+                if at + len(shown) > lo and at < hi:
+                    e = self.tokenizer.encode(shown, add_special_tokens=False)
+                    last = None
+                    for i, (word, (s, _)) in enumerate(zip(e.word_ids, e.offsets, strict=True)):
+                        if word != last and lo <= at + s < hi:
                             where.append(at + s)
                             before.append(done + i)
                         last = word
-            at += len(shown)
-            done += counts[k]
+                at += len(shown)
+                done += self.later[p] if j else self.first[p]
         return where, before
 
-    def counts_of(self, cut: list[str]) -> list[int]:
-        """Number of tokens of each piece of one text."""
-        one, more = self._learn(self.first, cut[:1], ""), self._learn(self.later, cut[1:], " ")
-        return [self.first[cut[0]] if cut[0] in self.first else one[cut[0]],
-                *(self.later[p] if p in self.later else more[p] for p in cut[1:])]
-
 
 @functools.lru_cache(maxsize=2)
 def encoder(vocab: str) -> Encoder:
@@ -174,7 +190,7 @@ def _encode_chunks(vocab: str, chunk: int, overlap: int):
                 if not last:
                     safe = len(body[:len(body) - SPECIAL_LENGTH].rstrip())
                     right = enc.starts(body, chunk, min(safe, len(body)))
-                for o, v in zip(out, (sum(enc.counts_of(pieces_of(body))), [base + p for p in left[0]],
+                for o, v in zip(out, (enc.counts([body])[0], [base + p for p in left[0]],
                                       left[1], [base + p for p in right[0]], right[1]), strict=True):
                     o.append(v)
             longs = pa.list_(pa.int64())
