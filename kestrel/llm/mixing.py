@@ -64,7 +64,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_epochs: int)
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
-    """Words that the mix takes from each document: (doc_id, source, size, source_size, target, taken).
+    """Words that the mix takes of each document: (doc_id, source, text_hash, size, source_size, target, taken).
 
     ``weights`` repeat along the sources in code point order, a null source last. The mix is as
     large as the input; no source takes more than ``max_epochs`` times its size, and what it
@@ -97,4 +97,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               .join(ranges, ["source_rank", "key_range"]))
     left = F.col("rest") - F.col("before") - F.col("inner")
     taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), left))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "text_hash", "size", "source_size", "target",
+                         taken.cast("long").alias("taken"))

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import langid, toxicity
 from .common import load
 from .exactdup import exact_groups
+from .extract import extract_text
 from .mixing import mix
+from .neardup import near_duplicates
 from .packing import pack_documents
 from .tokens import count_tokens
+from .topk import top_k
+from .warc import round_trip
 
 QUERIES = {}
 ORACLES = {}
@@ -35,6 +40,29 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(load(spark, sf_dir, "documents"))
 
 
+LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+
+@query("op3_minhash_near_dedup", rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.y) AS component_id, d.doc_id = min(r.y) AS kept
+FROM documents d JOIN r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles are 85 % alike or more."""
+    return near_duplicates(load(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
 SIZED = r"""
 WITH sized AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
@@ -73,7 +101,7 @@ FROM run r JOIN cut c ON r.source IS NOT DISTINCT FROM c.source
 """)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document in the mix to target weights 1, 2, 3, repeating by source."""
-    return mix(load(spark, sf_dir, "documents")).drop("source")
+    return mix(load(spark, sf_dir, "documents")).drop("source", "text_hash")
 
 
 @query("op8_exact_dedup", """
@@ -87,3 +115,56 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents equal after lower-casing A-Z; the largest id stays."""
     return exact_groups(load(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, by sentences; learned from labels outside of the held-out fifth."""
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(CAST('0x' || substr(h, {5 * i + 1}, 5) AS BIGINT) // {d} % 32 + 1 "
+    "AS BIGINT), 1)" for i in range(8) for d in (32768, 1024, 32, 1))
+
+
+@query("op6_warc_records", f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM g
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, written to WARC archives and read back."""
+    return round_trip(load(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                           "refers_to")
+
+
+@query("op7_topk_search", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every vector whose id is divisible by 50."""
+    return top_k(load(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; learned from documents outside of the held-out fifth."""
+    return langid.identify_languages(load(spark, sf_dir, "documents"))
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(load(spark, sf_dir, "pages"))
