@@ -23,18 +23,31 @@ from pyspark.sql import functions as F
 from .common import blocks_of, discard, slices, store, text_or_empty
 
 #: About the memory that a worker's memo of word ids takes before it starts anew.
-MEMO_BYTES = 200 << 20
+MEMO_BYTES = 120 << 20
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = (PIECE_SCHEMA + ", part long, bin int, offset long, fill long, "
                  "part_bins int, part_bound int")
 
 
+def stem_of(word: bytes) -> tuple[bytes, bytes]:
+    """(stem, sign) whose ids, one after the other, are the word's.
+
+    The vocabulary lower-cases, and starts a pre-token at a sign after a letter or digit. A
+    word that may hold a special string is left as it is.
+    """
+    if b"<|" in word:
+        return word, b""
+    low = word.lower()
+    if low[-1:] in (b",", b".") and low[-2:-1].isalnum():
+        return low[:-1], low[-1:]
+    return low, b""
+
+
 class WordEncoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes, by a memo of words.
 
-    The vocabulary drops white space and pre-tokenizes between it, so the ids of the words
-    between ASCII white space, one after another, are the ids of the text.
+    A full memo becomes the older one and gives its words to the new one as they recur.
     """
 
     def __init__(self, vocab: str):
@@ -44,22 +57,28 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(vocab)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.room, self.memo = MEMO_BYTES, {}
+        self.room, self.memo, self.older = MEMO_BYTES, {}, {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if self.room < 0:
-            self.memo.clear()
-            self.room = MEMO_BYTES
+            self.memo, self.older, self.room = {}, self.memo, MEMO_BYTES
         cut = [t.split() for t in texts]
         memo, words = self.memo, set()
         for c in cut:
             words.update(c)
-        fresh = list(words - memo.keys())
-        if fresh:
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-            for w, e in zip(fresh, coded, strict=True):
-                ids = memo[w] = np.array(e.ids, "<u4").tobytes()
-                self.room -= len(w) + len(ids) + 128
+        fresh = words - memo.keys()
+        known = fresh & self.older.keys()
+        for w in known:
+            memo[w] = self.older[w]
+        split = {w: stem_of(w) for w in fresh - known}
+        stems = list({p for pair in split.values() for p in pair} - memo.keys())
+        if stems:
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in stems], add_special_tokens=False)
+            for w, e in zip(stems, coded, strict=True):
+                memo[w] = np.array(e.ids, "<u4").tobytes()
+        for w, (stem, sign) in split.items():
+            memo[w] = memo[stem] + memo[sign]
+        self.room -= sum(len(memo[w]) + len(w) + 160 for w in {*known, *split, *stems})
         get = memo.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 

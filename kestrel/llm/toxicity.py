@@ -70,18 +70,18 @@ def features(word: str) -> list[str]:
 
 
 def sentences(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words) of sentences with a word, long ones in parts of ``SENTENCE_WORDS`` words."""
+    """(start, end, distinct words) of sentences with a word, long ones in parts of ``SENTENCE_WORDS`` words."""
     for m in _SENTENCE.finditer(text):
         words = _WORD.findall(m[0])
         if not words:
             continue
         if len(words) <= SENTENCE_WORDS:
-            yield m.start(), m.end(), words
+            yield m.start(), m.end(), list(dict.fromkeys(words))
             continue
         spans = list(_WORD.finditer(m[0]))
         for k in range(0, len(spans), SENTENCE_WORDS):
             part = spans[k:k + SENTENCE_WORDS]
-            yield m.start() + part[0].start(), m.start() + part[-1].end(), [w[0] for w in part]
+            yield m.start() + part[0].start(), m.start() + part[-1].end(), list(dict.fromkeys(w[0] for w in part))
 
 
 def _select(docs: list[set[str]], gold: np.ndarray, max_features: int) -> list[str]:

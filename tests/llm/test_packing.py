@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from kestrel.llm.packing import best_fit, lower_bound, pack_documents
+from kestrel.llm.packing import best_fit, encoder, lower_bound, pack_documents
 
 from .helpers import EDGE, documents
 
@@ -40,6 +40,14 @@ def test_pieces_and_sequences(spark):
     assert used <= bound * 1.05 + 1
 
 
+def test_words_give_the_ids_of_the_text():
+    t, enc = Tokenizer.from_file(VOCAB), encoder(VOCAB)
+    texts = ["Don't STOP, now. it's!, x.", "<|ENDOFTEXT|> <|endoftext|>A, b.", "A\u0301, e\u0301. \u0130, \u03a3\u03a3.", "a,b c., d ,e",
+             "word.\nNext,\tx\x1cy\u00a0z, 1, 2. \u4e2d\u6587, ok,", "", " ", "I'm, 's. 'LL. they'll,"]
+    assert enc.ids([x.encode() for x in texts]) == [
+        np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
 def test_edges(spark):
     rows = pack_documents(documents(spark, EDGE, ["piece", "part", "bin"]), capacity=128).collect()
     check(rows, EDGE, 128)
