@@ -21,9 +21,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import crc_remainder, slices, text_or_empty
 
-#: Labelled documents that the model learns from, features it keeps, words of a sentence (longer
-#: ones are read in parts), words in a worker's memo.
-MAX_LABELLED, MAX_FEATURES, SENTENCE_WORDS, MEMO_WORDS = 6_000, 50_000, 64, 1_000_000
+#: Labelled documents that the model learns from, features it keeps, words of a sentence (least and
+#: most), words in a worker's memo.
+MAX_LABELLED, MAX_FEATURES, SHORT_WORDS, SENTENCE_WORDS, MEMO_WORDS = 6_000, 50_000, 8, 32, 1_000_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
@@ -70,18 +70,34 @@ def features(word: str) -> list[str]:
 
 
 def sentences(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, distinct words) of sentences with a word, long ones in parts of ``SENTENCE_WORDS`` words."""
+    """(start, end, distinct words) of a text's sentences.
+
+    Short ones are joined to the next until they have ``SHORT_WORDS`` words, long ones are read
+    in parts of ``SENTENCE_WORDS`` words.
+    """
+    start, end, words = 0, 0, []
     for m in _SENTENCE.finditer(text):
-        words = _WORD.findall(m[0])
-        if not words:
+        own = _WORD.findall(m[0])
+        if not own:
             continue
-        if len(words) <= SENTENCE_WORDS:
-            yield m.start(), m.end(), list(dict.fromkeys(words))
+        if len(own) > SENTENCE_WORDS:
+            if words:
+                yield start, end, list(dict.fromkeys(words))
+                words = []
+            spans = list(_WORD.finditer(m[0]))
+            for k in range(0, len(spans), SENTENCE_WORDS):
+                part = spans[k:k + SENTENCE_WORDS]
+                yield m.start() + part[0].start(), m.start() + part[-1].end(), list(dict.fromkeys(w[0] for w in part))
             continue
-        spans = list(_WORD.finditer(m[0]))
-        for k in range(0, len(spans), SENTENCE_WORDS):
-            part = spans[k:k + SENTENCE_WORDS]
-            yield m.start() + part[0].start(), m.start() + part[-1].end(), list(dict.fromkeys(w[0] for w in part))
+        if not words:
+            start = m.start()
+        words += own
+        end = m.end()
+        if len(words) >= SHORT_WORDS:
+            yield start, end, list(dict.fromkeys(words))
+            words = []
+    if words:
+        yield start, end, list(dict.fromkeys(words))
 
 
 def _select(docs: list[set[str]], gold: np.ndarray, max_features: int) -> list[str]:
@@ -119,7 +135,7 @@ def fit_rows(rows: list[tuple[str, int]], max_features: int = MAX_FEATURES, roun
                 sent.extend([len(doc)] * len(known[w]))
             doc.append(d)
     sent, feat, doc = np.array(sent, np.int64), np.array(feat, np.int64), np.array(doc, np.int64)
-    theta, bias, rate = np.zeros(len(chosen)), -3.0, 0.15
+    theta, bias, rate = np.zeros(len(chosen)), -5.0, 0.3
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
     for r in range(1, rounds + 1):
         z = bias + np.bincount(sent, theta[feat], len(doc))
