@@ -135,11 +135,12 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def text_features(block: Block) -> list[str]:
-    """Figures of a block's own text."""
+def text_features(block: Block, place: tuple[str, str]) -> list[str]:
+    """Figures of a block's own text, alone and with its ``place`` (own tag, telling element)."""
     t = block.text
     words = t.count(" ") + 1
-    return ["w:%d" % min(6, int(math.log2(words) / 1.2)), "l:%d" % min(4, 4 * block.linked // max(1, len(t))),
+    linked = "l:%d" % min(4, 4 * block.linked // max(1, len(t)))
+    return ["w:%d" % min(6, int(math.log2(words) / 1.2)), linked, linked + place[0], linked + place[1],
             "e:" + (t[-1] if t[-1] in ".!?:;,|" else "x"), "c" if "©" in t else "-c", "y" if "|" in t or "·" in t else "-y"]
 
 
@@ -187,9 +188,9 @@ class _Composer:
     def paragraphs(self, label: int, low: int, high: int) -> str:
         out = []
         for _ in range(self.rng.randint(low, high)):
-            text = ". ".join(self.sentence(3, 14) for _ in range(self.rng.randint(1, 5))) + self.rng.choice(["."] * 5 + [""])
-            if self.rng.random() < 0.15:
-                text = f'{text} <a href="#">{self.sentence(1, 4)}</a>'
+            text = ". ".join(self.sentence(1, 14) for _ in range(self.rng.randint(1, 5))) + self.rng.choice(["."] * 5 + [""])
+            for _ in range(self.rng.choice([0, 0, 0, 1, 1, 3])):
+                text = f'{text} <a href="#">{self.sentence(1, 5)}</a> {self.sentence(1, 5)}.'
             self.labels.append(label)
             out.append(f"<p>{text}" + ("</p>" if self.rng.random() < 0.8 else ""))
         return "".join(out)
@@ -230,19 +231,21 @@ class _Composer:
             out.append(f"<header>{title}</header>" if r.random() < 0.15 else title)
         for _ in range(r.randint(1, 6)):
             kind = r.random()
-            if kind < 0.6:
+            if kind < 0.5:
                 out.append(self.paragraphs(1, 1, 5))
-            elif kind < 0.68:
+            elif kind < 0.58:
                 out.append(self.leaf(r.choice(["h2", "h3", "h4"]), self.sentence(2, 8), 1))
-            elif kind < 0.74:
-                out.append("<ul>" + "".join(self.leaf("li", self.sentence(2, 14), 1) for _ in range(r.randint(2, 5))) + "</ul>")
-            elif kind < 0.78:
+            elif kind < 0.7:
+                tag = r.choice(["ul", "ul", "ol"])
+                out.append(f"<{tag}>" + "".join(self.leaf("li", self.sentence(1, 14), 1) for _ in range(r.randint(2, 5)))
+                           + f"</{tag}>")
+            elif kind < 0.76:
                 out.append("<blockquote>" + self.paragraphs(1, 1, 2) + "</blockquote>")
-            elif kind < 0.81:
+            elif kind < 0.79:
                 out.append("<table><tr>" + "".join(self.leaf("td", self.sentence(1, 3), 1) for _ in range(4)) + "</tr></table>")
-            elif kind < 0.83:
+            elif kind < 0.81:
                 out.append(self.leaf("pre", self.sentence(2, 20), 1))
-            elif kind < 0.86:
+            elif kind < 0.84:
                 out.append("<figure><img>" + self.leaf("figcaption", self.sentence(3, 10), 1) + "</figure>")
             else:
                 out.append(self.boilerplate(r.choice(["ad", "aside", "share", "form", "notice", "ad", "comments", "nav"])))
@@ -283,7 +286,7 @@ class Field:
     weights: dict[str, tuple[float, float]]
     transitions: list[list[float]]
     start: list[float]
-    memo: dict[tuple[str, ...], tuple[float, float]] = field(default_factory=dict)
+    memo: dict[tuple[str, ...], tuple[float, float, tuple[str, str]]] = field(default_factory=dict)
 
     def _sum(self, names) -> tuple[float, float]:
         a = b = 0.0
@@ -299,8 +302,9 @@ class Field:
         if known is None:
             if len(self.memo) > 50_000:
                 self.memo.clear()
-            known = self.memo[block.ancestors] = self._sum(ancestor_features(block.ancestors))
-        own = self._sum(text_features(block))
+            around = ancestor_features(block.ancestors)
+            known = self.memo[block.ancestors] = (*self._sum(around), place_of(around))
+        own = self._sum(text_features(block, known[2]))
         return known[0] + own[0], known[1] + own[1]
 
     def labels(self, page: list[Block]) -> list[int]:
@@ -325,14 +329,33 @@ class Field:
         return "\n\n".join(b.text for b, y in zip(found, self.labels(found), strict=True) if y)
 
 
+#: Elements that say what they hold.
+_TELLING = frozenset("t:" + t for t in "article main nav aside header footer form".split())
+
+
 def ancestor_features(ancestors: tuple[str, ...]) -> list[str]:
-    """Each feature of the elements around once, the innermost tags, and an innermost named element."""
-    tags = [f for f in ancestors if f.startswith("t:")]
-    return [*dict.fromkeys(ancestors), "p:" + (tags[-1] if tags else ""), "pp:" + ">".join(tags[-2:])]
+    """Each feature of the elements around once, the innermost tags, and the innermost element that tells its kind."""
+    tags, telling, named = [], ["s:none"], []
+    for f in ancestors:
+        if f.startswith("t:"):
+            tags.append(f)
+            named = ["s:" + f] if f in _TELLING else []
+            telling = named or telling
+        else:
+            if not named:
+                telling = named = []
+            named.append("s:" + f)
+            telling = named
+    return [*dict.fromkeys(ancestors), *telling, "p:" + (tags[-1] if tags else ""), "pp:" + ">".join(tags[-2:])]
+
+
+def place_of(around: list[str]) -> tuple[str, str]:
+    """Own tag and first feature of the telling element, out of ``ancestor_features``."""
+    return around[-2], next(f for f in around if f.startswith("s:"))
 
 
 @functools.cache
-def trained(pages: int = 700, rounds: int = 80) -> Field:
+def trained(pages: int = 1000, rounds: int = 80) -> Field:
     """Train on the labelled pages."""
     names: dict[str, int] = {}
     index, counts, gold, lengths = [], [], [], []
@@ -341,7 +364,8 @@ def trained(pages: int = 700, rounds: int = 80) -> Field:
         if len(found) != len(labels):
             raise ValueError("a labelled page's blocks and labels differ in number")
         for block, y in zip(found, labels, strict=True):
-            fs = [*ancestor_features(block.ancestors), *text_features(block)]
+            around = ancestor_features(block.ancestors)
+            fs = [*around, *text_features(block, place_of(around))]
             index += [names.setdefault(f, len(names)) for f in fs]
             counts.append(len(fs))
             gold.append(y)
