@@ -1,7 +1,6 @@
 """Joins and set operations.
 
-Broadcast is used only where the small side has a proven bound (a top-N list, a
-per-key first match from a dimension that passed a size check). Everything else is
+Broadcast is used only where the small side has a proven bound (a top-N list). Everything else is
 left to the planner: with AQE on, a side that turns out small at runtime is
 broadcast, and a skewed partition of a sort-merge join is split (skewJoin).
 """
@@ -13,31 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (from file sizes and operator statistics)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) if isinstance(size, int) else int(size.toString())  # py4j may convert BigInt
-
-
-def sized_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the optimizer's size estimate is under ``max_bytes``;
-    otherwise the frame is returned unchanged and the join shuffles on its keys."""
-    try:
-        size = estimated_bytes(df)
-    except Exception:  # noqa: BLE001 - no estimate: do not broadcast
-        return df
-    return F.broadcast(df) if size <= max_bytes else df
-
-
 def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     """Join on every column name the two frames share."""
     common = [c for c in a.columns if c in set(b.columns)]
     if not common:
         raise ValueError("natural join needs at least one common column")
-    return a.join(sized_broadcast(b), on=common, how=how)
+    return a.join(b, on=common, how=how)
 
 
 def keyed_left_join(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -70,7 +50,7 @@ def enrich(df: DataFrame, dim: DataFrame, on: str, order: str, tags_col: str,
     """Left join each row to the first matching dimension row and explode its tag
     array; a failed lookup keeps the row with a NULL tag (J8)."""
     m = first_match(dim, on, order)
-    joined = df.join(sized_broadcast(m), on=on, how="left")
+    joined = df.join(m, on=on, how="left")
     return joined.select(*[c for c in joined.columns if c != tags_col],
                          F.explode_outer(tags_col).alias(tag_name))
 

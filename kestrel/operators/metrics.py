@@ -45,7 +45,7 @@ def roc_auc(df: DataFrame, label, score) -> DataFrame:
     """Exact ROC AUC = P(score_pos > score_neg) + 0.5 P(tie) (M2).
 
     Per distinct score: positives p(s), negatives n(s); negatives strictly below s
-    come from a running sum; U = sum_s p(s) * (neg_below(s) + n(s)/2).
+    come from a running sum; U = sum_s p(s) * (neg_below(s) + n(s)/2). NULL with one class.
     """
     y = _c(label)
     per = df.groupBy(_c(score).alias("s")).agg(F.sum((y == 1).cast("long")).alias("p"),
@@ -53,7 +53,7 @@ def roc_auc(df: DataFrame, label, score) -> DataFrame:
     cum = global_running_sum(per, ["s"], ["n"])
     u = cum.select((F.col("p") * (F.col("n_cum") - F.col("n") + F.col("n") / 2.0)).alias("u"), "p", "n")
     tot = u.agg(F.sum("u").alias("u"), F.sum("p").alias("np"), F.sum("n").alias("nn"))
-    return tot.select((F.col("u") / (F.col("np") * F.col("nn"))).alias("auc"), F.col("np").alias("n_pos"),
+    return tot.select((F.col("u") / F.nullif(F.col("np") * F.col("nn"), F.lit(0))).alias("auc"), F.col("np").alias("n_pos"),
                       F.col("nn").alias("n_neg"))
 
 

@@ -107,12 +107,14 @@ def global_running_sum(df: DataFrame, order, values, suffix: str = "_cum",
 
 def rank_within(df: DataFrame, group: str, order, name: str = "pos") -> DataFrame:
     """0-based position inside each group along ``order`` (group, order must be a
-    total order), from one global row index minus the group's start offset; the
-    per-group count table is bounded by the number of groups."""
+    total order), and the group's row count as ``<name>_n``. NULL is a group of its own.
+
+    One global row index minus the group's first position: both come from the indexed rows
+    that were written once, and the per-group table is joined null-safe (AQE broadcasts it
+    when small and splits a hot group otherwise).
+    """
     idx = global_row_index(df, [group, *as_cols(order)], "_k_gpos")
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_k_gn"))
-    starts = counts.select(group, "_k_gn", F.coalesce(F.sum("_k_gn").over(
-        Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_k_start"))
-    out = idx.join(F.broadcast(starts), group)
-    return out.withColumn(name, F.col("_k_gpos") - F.col("_k_start")).drop("_k_gpos", "_k_start") \
-        .withColumnRenamed("_k_gn", f"{name}_n")
+    starts = idx.groupBy(F.col(group).alias("_k_g")).agg(F.count(F.lit(1)).alias(f"{name}_n"),
+                                                         F.min("_k_gpos").alias("_k_start"))
+    out = idx.join(starts, F.col(group).eqNullSafe(F.col("_k_g")))
+    return out.withColumn(name, F.col("_k_gpos") - F.col("_k_start")).drop("_k_gpos", "_k_start", "_k_g")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .aggregate import unpivot_wide
-from .ordering import rank_within
+from .ordering import global_running_sum
 from .project import select_by_type
 
 
@@ -31,27 +31,38 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .select("kv.*").filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles per column (pandas/numpy default), exact.
+def value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n): one row per distinct value of each column, counted with partial
+    aggregation, so a value that most rows share is one row per task before the shuffle."""
+    return long_values(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
 
-    Position of q in n sorted values is h = (n-1) q; the result is
-    v[floor h] + (h - floor h) (v[ceil h] - v[floor h]). Positions come from a
-    distributed row index inside each column; only the needed rows are kept.
+def quantiles_of_counts(counts: DataFrame, qs: Sequence[float]) -> DataFrame:
+    """Linear-interpolated quantiles per column of (column, value, n) rows, exact.
+
+    Position of q in N sorted values is h = (N-1) q; the result is
+    v[floor h] + (h - floor h) (v[ceil h] - v[floor h]). A distinct value covers the positions
+    between two running sums of counts along (column, value), a distributed sum.
     """
-    long = long_values(df, cols)
-    ranked = rank_within(long, "column", ["value"], "pos")
-    n = F.col("pos_n")
-    picks = []
-    for q in qs:
-        h = (n - 1) * F.lit(float(q))
-        picks.append(F.struct(F.lit(float(q)).alias("q"), h.alias("h")))
-    need = ranked.select("column", "pos", "value", F.explode(F.array(*picks)).alias("p"))
-    need = need.filter((F.col("pos") == F.floor("p.h")) | (F.col("pos") == F.ceil("p.h")))
-    agg = need.groupBy("column", F.col("p.q").alias("q"), F.col("p.h").alias("h")).agg(
-        F.min_by("value", "pos").alias("lo"), F.max_by("value", "pos").alias("hi"))
+    run = global_running_sum(counts, ["column", "value"], ["n"])
+    ends = run.groupBy("column").agg(F.max("n_cum").alias("_end"), F.min(F.col("n_cum") - F.col("n")).alias("_start"))
+    placed = run.join(ends, "column").withColumn("_to", F.col("n_cum") - F.col("_start")) \
+        .withColumn("_from", F.col("_to") - F.col("n"))
+    total = F.col("_end") - F.col("_start")
+    picks = F.array(*[F.struct(F.lit(float(q)).alias("q"), ((total - 1) * F.lit(float(q))).alias("h")) for q in qs])
+    need = placed.select("column", "value", "_from", "_to", F.explode(picks).alias("p"))
+    covers = lambda pos: (F.col("_from") <= pos) & (pos < F.col("_to"))
+    lo, hi = F.floor("p.h"), F.ceil("p.h")
+    agg = need.filter(covers(lo) | covers(hi)).groupBy("column", F.col("p.q").alias("q"), F.col("p.h").alias("h")).agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"))
     return agg.select("column", "q", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias("value"))
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
+    """Linear-interpolated quantiles per column (pandas/numpy default), exact, from value counts."""
+    return quantiles_of_counts(value_counts_long(df, cols), qs)
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
              accuracy: int = 10_000) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column (E2), one
@@ -67,7 +78,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
         return out.select("column", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
                           F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
     base = long.groupBy("column").agg(*stats)
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])  # the second scan counts values
     qw = q.groupBy("column").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
     qw = qw.toDF("column", "p25", "p50", "p75")
     return base.join(qw, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -119,23 +130,23 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair in one aggregate, long (a, b, corr)."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     wide = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("corr"))
-                     for a, b in pairs])
-    half = wide.select(F.explode(rows).alias("s")).select("s.*")
-    mirror = half.filter(F.col("a") != F.col("b")).select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    return half.unionByName(mirror)
+    rows = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"{a}__{b}").alias("corr"))
+                     for a, b in pairs for x, y in dict.fromkeys([(a, b), (b, a)])])
+    return wide.select(F.explode(rows).alias("s")).select("s.*")
 
 
 def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> DataFrame:
     """k equal-width bins over [min, max]; the top edge falls in the last bin (numpy).
     The bounds are one aggregate row read as scalars; empty bins are zero rows from a
-    k-row bin spine (per class with ``by``) (E7, E8)."""
+    k-row bin spine (per class with ``by``) (E7, E8). NULL and NaN are in no bin; without any
+    other value all bins are empty, from 0 with width 1."""
+    df = df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
     st = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    lo, hi = float(st["lo"]), float(st["hi"])
+    lo, hi = (0.0, 0.0) if st["lo"] is None else (float(st["lo"]), float(st["hi"]))
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     keys = [by] if by else []
-    counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     if by:
         spine = df.select(by).distinct().select(by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

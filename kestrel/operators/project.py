@@ -106,8 +106,9 @@ def ordinal_case(col: Column | str, mapping: Mapping[str, int], default_cast: bo
 
 
 def one_vs_rest(df: DataFrame, col: str, values: Sequence, prefix: str = "") -> DataFrame:
-    """Add one 0/1 flag column per class value."""
-    return df.select("*", *[(F.col(col) == F.lit(v)).cast("int").alias(f"{prefix}{v}") for v in values])
+    """Add one 0/1 flag column per class value; NULL has 0 in all."""
+    return df.select("*", *[F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{prefix}{v}")
+                            for v in values])
 
 
 def label_equals(col: Column | str, value: str, normalise: Callable[[Column], Column] | None = None) -> Column:
@@ -133,8 +134,8 @@ def map_values(col: Column | str, mapping: Mapping) -> Column:
 
 
 def zero_indicator(col: str, suffix: str = "_zero") -> Column:
-    """1 when the value is 0, else 0."""
-    return (F.col(col) == 0).cast("int").alias(f"{col}{suffix}")
+    """1 when the value is 0, else 0, NULL included."""
+    return F.coalesce((F.col(col) == 0).cast("int"), F.lit(0)).alias(f"{col}{suffix}")
 
 
 def threshold_flag(score: Column | str, t: float, strict: bool = False) -> Column:

@@ -16,8 +16,9 @@ from .ordering import as_cols
 def vocabulary(df: DataFrame, col: str, max_values: int = 10_000) -> list:
     """Sorted distinct values of a category column (a fitted vocabulary).
 
-    A vocabulary becomes column names, so it must be small; the guard refuses to
-    pull an unbounded distinct set to the driver.
+    For wide outputs only: a vocabulary becomes column names, and ``max_values`` is the
+    widest frame wanted; more values raise (nothing is dropped). The long forms
+    (``group_count``, ``tag_counts_long``) take any number of values.
     """
     vals = df.select(col).distinct().filter(F.col(col).isNotNull()).limit(max_values + 1).collect()
     if len(vals) > max_values:
@@ -25,36 +26,44 @@ def vocabulary(df: DataFrame, col: str, max_values: int = 10_000) -> list:
     return sorted(r[0] for r in vals)
 
 
-# Up to this many pivot values, a pivot is one conditional aggregate (one shuffle,
-# partial aggregation per task); above it Spark's two-phase pivot is used.
-CONDITIONAL_PIVOT_MAX = 64
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _pivoted(df: DataFrame, key, col: str, vocab: list, cell: Column, fill=None) -> DataFrame:
+    """One column per vocabulary value, named by ``str(value)``, at any vocabulary size.
+
+    Spark's two-phase pivot: (key, value) cells are aggregated first (partial
+    aggregation per task), then spread; absent cells are NULL or ``fill``.
+    """
+    keys = as_cols(key)
+    out = df.groupBy(*keys).pivot(col, vocab).agg(cell)
+    n = len(out.columns) - len(vocab)
+    out = out.toDF(*out.columns[:n], *[str(v) for v in vocab])
+    if fill is None:
+        return out
+    return out.select(*[F.col(_quoted(c)) for c in out.columns[:n]],
+                      *[F.coalesce(F.col(_quoted(str(v))), F.lit(fill)).alias(str(v)) for v in vocab])
 
 
 def pivot_values(df: DataFrame, key, col: str, value: str | Column, vocab: list,
                  agg: str = "first") -> DataFrame:
     """Long -> wide: one column per vocabulary value; absent pairs stay NULL."""
     v = F.col(value) if isinstance(value, str) else value
-    if len(vocab) <= CONDITIONAL_PIVOT_MAX:
-        fn = {"first": lambda e: F.first(e, ignorenulls=True), "sum": F.sum, "max": F.max}[agg]
-        return df.groupBy(*as_cols(key)).agg(
-            *[fn(F.when(F.col(col) == F.lit(x), v)).alias(str(x)) for x in vocab])
-    fn = {"first": F.first, "sum": F.sum, "max": F.max}[agg]
-    return df.groupBy(*as_cols(key)).pivot(col, vocab).agg(fn(v))
+    fn = {"first": lambda e: F.first(e, ignorenulls=True), "sum": F.sum, "max": F.max}[agg]
+    return _pivoted(df, key, col, vocab, fn(v))
 
 
 def pivot_counts(df: DataFrame, key, col: str, vocab: list, fill: int | None = None) -> DataFrame:
     """Count of rows per key and value, wide; NULL for absent pairs unless ``fill``."""
-    if len(vocab) <= CONDITIONAL_PIVOT_MAX:
-        if fill is None:
-            cells = [F.sum(F.when(F.col(col) == F.lit(x), F.lit(1).cast("long"))).alias(str(x)) for x in vocab]
-        else:
-            cells = [F.coalesce(F.sum(F.when(F.col(col) == F.lit(x), F.lit(1).cast("long"))),
-                                F.lit(fill).cast("long")).alias(str(x)) for x in vocab]
-        return df.groupBy(*as_cols(key)).agg(*cells)
-    out = df.groupBy(*as_cols(key)).pivot(col, vocab).agg(F.count(F.lit(1)))
-    if fill is not None:
-        out = out.fillna(fill, subset=[str(v) for v in vocab])
-    return out
+    return _pivoted(df, key, col, vocab, F.count(F.lit(1)), None if fill is None else F.lit(fill).cast("long"))
+
+
+def melt_long(wide: DataFrame, key: str, column: str = "column", value: str = "value") -> DataFrame:
+    """A wide frame as long rows (key, column name, value): the form without a schema that
+    depends on the data."""
+    rest = [F.col(_quoted(c)) for c in wide.columns if c != key]
+    return wide.unpivot([F.col(_quoted(key))], rest, column, value)
 
 
 def tag_counts_long(plays: DataFrame, tags: DataFrame, user: str, item: str, tag: str) -> DataFrame:
@@ -66,19 +75,13 @@ def tag_counts_long(plays: DataFrame, tags: DataFrame, user: str, item: str, tag
     """
     pairs = plays.select(user, item).distinct()
     item_tags = tags.select(item, tag).distinct()
-    # the item -> tag dimension is broadcast when its size estimate is small, so a hot
-    # item never funnels its pairs into one join task (else AQE splits the skew)
-    from .joins import sized_broadcast
-    return pairs.join(sized_broadcast(item_tags), item).groupBy(user, tag).agg(F.count(F.lit(1)).alias("n"))
+    # AQE broadcasts the item -> tag side when it turns out small, else splits a hot item's pairs
+    return pairs.join(item_tags, item).groupBy(user, tag).agg(F.count(F.lit(1)).alias("n"))
 
 
 def tag_matrix(df: DataFrame, key: str, tag: str, vocab: list) -> DataFrame:
     """Boolean matrix: True where the key carries the tag, else False."""
-    if len(vocab) <= CONDITIONAL_PIVOT_MAX:
-        return df.groupBy(key).agg(*[F.bool_or(F.coalesce(F.col(tag) == F.lit(x), F.lit(False))).alias(str(x))
-                                     for x in vocab])
-    out = df.groupBy(key).pivot(tag, vocab).agg(F.lit(True))
-    return out.fillna(False, subset=[str(v) for v in vocab])
+    return _pivoted(df, key, tag, vocab, F.bool_or(F.lit(True)), fill=False)
 
 
 def crosstab(df: DataFrame, a: str, b: str, b_vocab: list, margins: bool = False,
@@ -108,9 +111,9 @@ def _crosstab_margins(df: DataFrame, a: str, b: str, b_vocab: list, margin_name:
 
 
 def one_hot_columns(col: str, vocab: list, prefix: str | None = None, sep: str = "_") -> list[Column]:
-    """Dummy columns ``prefix_value`` as 0/1 ints over a fitted vocabulary."""
+    """Dummy columns ``prefix_value`` as 0/1 ints over a fitted vocabulary, NULL gives 0."""
     p = col if prefix is None else prefix
-    return [(F.col(col) == F.lit(v)).cast("int").alias(f"{p}{sep}{v}") for v in vocab]
+    return [F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{p}{sep}{v}") for v in vocab]
 
 
 def dummies(df: DataFrame, cols: dict[str, list], keep=(), sep: str = "_") -> DataFrame:

@@ -30,21 +30,28 @@ DF_CONSTANT_CRIT = {
 def split_first(df: DataFrame, key: str, order: Sequence[str], min_rows: int = 2):
     """First row of each group (target) and the remaining rows (features).
 
-    The first row is found with ``min_by`` (a partial aggregate), and both parts come
-    from joins on (key, order), whose hash spreads a hot key over many tasks; no join
-    runs on the key alone. Groups with fewer than ``min_rows`` rows are dropped from
-    the target (nothing is left once the target is removed); their only row is a
-    first row, so the anti-join already keeps it out of the rest.
+    NULL order values come last; rows that tie on ``order`` are ranked by all their other
+    columns, so each group has one first row; rows equal in every column count as one row
+    repeated, of which one is first. The first row is found with ``min_by`` (a partial
+    aggregate), and both parts come from null-safe joins on the key and a hash of the whole
+    row, which spread a hot key over many tasks. Groups with fewer than ``min_rows`` rows are
+    dropped from the target; their only row is a first row and is not among the rest.
     """
     order = list(order)
-    stats = df.groupBy(key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in order]), F.struct(*[F.col(c) for c in order])).alias("_first"),
-        F.count(F.lit(1)).alias("_n"))
-    firsts = stats.select(key, "_n", *[F.col(f"_first.{c}").alias(c) for c in order])
-    target = df.join(firsts.filter(F.col("_n") >= min_rows).drop("_n"), on=[key, *order], how="left_semi")
-    rest = df.join(firsts.drop("_n"), on=[key, *order], how="left_anti")
+    rest_cols = [c for c in df.columns if c not in (key, *order)]
+    ranked = [x for c in [*order, *rest_cols] for x in (F.col(c).isNull(), F.col(c))]
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.withColumn("_h", F.xxhash64(*[x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]))
+    firsts = rows.groupBy(F.col(key).alias("_k")).agg(
+        F.min_by("_h", F.struct(*ranked)).alias("_first"), F.sum("_n").alias("_rows"))
+    at_first = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_first"))
+    target = rows.join(firsts.filter(F.col("_rows") >= min_rows), at_first, "left_semi").select(*df.columns)
+    rest = rows.join(firsts.select("_k", "_first", F.lit(1).alias("_one")), at_first, "left")
+    rest = rest.withColumn("_left", F.col("_n") - F.coalesce(F.col("_one"), F.lit(0))).filter("_left > 0")
+    rest = rest.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_left").cast("int")))).select(*df.columns)
     if min_rows > 2:
-        rest = rest.join(firsts.filter(F.col("_n") >= min_rows).select(key), on=key, how="left_semi")
+        big = firsts.filter(F.col("_rows") >= min_rows).select("_k")
+        rest = rest.join(big, F.col(key).eqNullSafe(F.col("_k")), "left_semi")
     return target, rest
 
 

@@ -131,10 +131,11 @@ def case_ordinal_cast_q(spark, sf):
     return p.select("p_partkey", ordinal_case(stay, {"4+": 4}).alias("stay_years"))
 
 
-@query("one_vs_rest_flags", """
-SELECT o_orderkey, COALESCE(COLUMNS(* EXCLUDE (o_orderkey)), 0) FROM (
-  PIVOT (SELECT o_orderkey, o_orderpriority, 1 AS f FROM orders) ON o_orderpriority USING max(f)
-  GROUP BY o_orderkey)""")
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query("one_vs_rest_flags", "SELECT o_orderkey, " + ", ".join(
+    f"coalesce(CAST(o_orderpriority = '{p}' AS INTEGER), 0) AS \"{p}\"" for p in _PRIORITIES) + " FROM orders")
 def one_vs_rest_flags_q(spark, sf):
     """One 0/1 flag column per class value."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")

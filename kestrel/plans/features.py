@@ -69,11 +69,12 @@ def onehot_vector_q(spark, sf):
     return oh.transform(o.select("o_orderkey", "o_orderpriority")).drop("o_orderpriority")
 
 
-@query("dummies_wide", """
-SELECT o_orderkey, COALESCE(COLUMNS(* EXCLUDE (o_orderkey)), 0) FROM (
-  PIVOT (SELECT o_orderkey, 'o_orderpriority_' || o_orderpriority AS k, 1 AS v FROM orders
-         UNION ALL SELECT o_orderkey, 'o_orderstatus_' || o_orderstatus AS k, 1 AS v FROM orders)
-  ON k USING max(v) GROUP BY o_orderkey)""")
+_DUMMIES = [("o_orderpriority", p) for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]
+_DUMMIES += [("o_orderstatus", x) for x in "FOP"]
+
+
+@query("dummies_wide", "SELECT o_orderkey, " + ", ".join(
+    f"coalesce(CAST({c} = '{v}' AS INTEGER), 0) AS \"{c}_{v}\"" for c, v in _DUMMIES) + " FROM orders")
 def dummies_wide_q(spark, sf):
     """prefix_value dummy columns over fitted vocabularies."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
@@ -83,16 +84,9 @@ def dummies_wide_q(spark, sf):
 _YR = "CAST(year(o_orderdate) AS VARCHAR)"
 
 
-_TR_YRS = f"(SELECT DISTINCT {_YR} AS yr FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01')"
-_TE_ROWS = f"(SELECT o_orderkey, {_YR} AS yr FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')"
-
-
-@query("align_columns", f"""
-SELECT te.o_orderkey, COALESCE(COLUMNS(pv.* EXCLUDE (o_orderkey)), 0)
-FROM {_TE_ROWS} te LEFT JOIN (
-  PIVOT (SELECT o_orderkey, 'yr_' || yr AS k, 1 AS v FROM {_TE_ROWS} WHERE yr IN (SELECT yr FROM {_TR_YRS})
-         UNION ALL SELECT -1 AS o_orderkey, 'yr_' || yr AS k, 0 AS v FROM {_TR_YRS})
-  ON k USING max(v) GROUP BY o_orderkey) pv ON te.o_orderkey = pv.o_orderkey""")
+@query("align_columns", "SELECT o_orderkey, " + ", ".join(
+    f"CAST({_YR} = '{y}' AS INTEGER) AS yr_{y}" for y in range(1995, 1999))
+    + " FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'")
 def align_columns_q(spark, sf):
     """Test dummies aligned to the train columns (absent -> 0, unseen dropped)."""
     o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").cast("string").alias("yr"), "o_orderdate")

@@ -42,7 +42,7 @@ def src_csv_skip_lines_q(spark, sf):
     junk = reg.limit(1).select(F.lit("|1x3 Cross validator").alias("a"), F.lit(None).cast("string").alias("b"))
     head = reg.limit(1).select(F.lit("r_regionkey").alias("a"), F.lit("r_name").alias("b"))
     write_delimited(head.unionByName(junk).unionByName(text), path, header=False)
-    return read_delimited(spark, path, "r_regionkey int, r_name string", header=False,
+    return read_delimited(spark, path, "r_regionkey int, r_name string", header=False, drop_repeated_headers=True,
                           junk_lines=["|1x3 Cross validator"])
 
 

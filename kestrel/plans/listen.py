@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.strings import tag_normalize
 from ..operators.aggregate import group_count, keep_top_n, top_n
 from ..operators.project import COLUMN_NAME_REPLACEMENTS, clean_names, label_presence
-from ..operators.reshape import pivot_counts, pivot_values, tag_counts_long, tag_matrix, vocabulary
+from ..operators.reshape import melt_long, pivot_counts, pivot_values, tag_counts_long, tag_matrix, vocabulary
 from ..session import cut_lineage, table
 from .registry import query
 
@@ -38,9 +38,9 @@ def listens(spark: SparkSession, sf: str) -> DataFrame:
             .select(F.col("o_custkey").alias("user_id"), F.col("p_brand").alias("artist")))
 
 
-def artist_liking(spark: SparkSession, sf: str, n_top: int = TOP_ARTISTS) -> DataFrame:
+def artist_liking(spark: SparkSession, sf: str, target: str, n_top: int = TOP_ARTISTS) -> DataFrame:
     """Top-n artists -> per-user play counts (wide) + tag counters -> presence label of
-    the most-played artist -> cleaned column names.
+    the ``target`` artist -> cleaned column names.
 
     The listen join runs once: it is reduced to (user, artist) counts (map-side
     partial aggregation, so a hot artist or user is pre-combined per task), written
@@ -50,20 +50,18 @@ def artist_liking(spark: SparkSession, sf: str, n_top: int = TOP_ARTISTS) -> Dat
     pair_counts = cut_lineage(group_count(listens(spark, sf), ["user_id", "artist"]))
     top = (pair_counts.groupBy("artist").agg(F.sum("cnt").alias("n"))
            .orderBy(F.col("n").desc(), F.col("artist")).limit(n_top))
+    top_list = [r["artist"] for r in top.collect()]  # n_top rows
     artist_tags = (table(spark, sf, "part")
                    .select(F.col("p_brand").alias("artist"), tag_normalize(F.col("p_type")).alias("tag")).distinct())
-    # one bounded read: the top-n artists with their tags (n_top x tags rows)
-    top_rows = top.join(artist_tags, "artist", "left").collect()
-    ranked = sorted({(r["n"], r["artist"]) for r in top_rows}, key=lambda t: (-t[0], t[1]))
-    top_list = [a for _, a in ranked]
-    target = top_list[0]
-    tag_vocab = sorted({r["tag"] for r in top_rows if r["tag"] is not None})
+    tags = artist_tags.filter(F.col("artist").isin(*top_list))
+    tag_vocab = vocabulary(tags, "tag")
     plays = pair_counts.filter(F.col("artist").isin(*top_list))
     wide = pivot_values(plays, "user_id", "artist", "cnt", top_list)
-    tags = artist_tags.filter(F.col("artist").isin(*top_list))
     tag_long = tag_counts_long(plays.filter(F.col("cnt") > 0), tags, "user_id", "artist", "tag")
     tag_wide = pivot_values(tag_long, "user_id", "tag", "n", tag_vocab)
     out = wide.join(tag_wide, "user_id", "left")
+    if target not in top_list:
+        out = out.withColumn(target, F.lit(None).cast("long"))
     out = label_presence(out, target, "label")
     return clean_names(out)
 
@@ -88,26 +86,61 @@ _TAGS_SUB = f"""(
   SELECT DISTINCT p_brand AS artist, 'tag_' || replace(lower(p_type), '-', ' ') AS tag
   FROM part WHERE p_brand IN (SELECT artist FROM {_TOP_SUB}))"""
 
-# DuckDB's dynamic PIVOT cannot see CTEs, so every pivot source is an inline subquery.
+#: The artist whose presence is the label, and the columns of the wide oracles.
+TARGET = "Brand#13"
+_BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_EVENTS = ["click", "error", "purchase", "signup", "view"]
+
+
+def py_clean_name(name: str) -> str:
+    for old, new in COLUMN_NAME_REPLACEMENTS:
+        name = name.replace(old, new)
+    return name
+
+
+def cells_sql(column: str, values, cell: str, names=None) -> str:
+    """One conditional aggregate per value (a wide result that a view can hold)."""
+    return ", ".join(f"{cell} FILTER (WHERE {column} = '{v}') AS \"{n}\"" for v, n in zip(values, names or values))
+
+
+_TAGS = ["tag_" + t.lower() for t in _TYPES]
+
 PLAY_COUNTS_PIVOT_SQL = f"""
-SELECT w.* EXCLUDE ("__target"), tw.* EXCLUDE (user_id), w."__target" IS NOT NULL AS label
-FROM (PIVOT (
-        SELECT user_id,
-               CASE WHEN artist = (SELECT artist FROM {_TOP_SUB} WHERE rk = 1) THEN '__target'
-                    ELSE {sql_clean_name('artist')} END AS artist, cnt
-        FROM {_PLAYS_SUB}) ON artist USING first(cnt) GROUP BY user_id) w
-LEFT JOIN (PIVOT (
-        SELECT pl.user_id, {sql_clean_name('t.tag')} AS tag, count(*) AS n
-        FROM {_PLAYS_SUB} pl JOIN {_TAGS_SUB} t ON pl.artist = t.artist
-        WHERE pl.cnt > 0 GROUP BY 1, 2) ON tag USING first(n) GROUP BY user_id) tw
-ON w.user_id = tw.user_id
+WITH {_LISTEN_SQL},
+pairs AS (SELECT user_id, artist, count(*) AS cnt FROM listen GROUP BY 1, 2),
+w AS (SELECT user_id, {cells_sql("artist", [b for b in _BRANDS if b != TARGET], "max(cnt)",
+                                 [py_clean_name(b) for b in _BRANDS if b != TARGET])},
+             bool_or(artist = '{TARGET}') AS label FROM pairs GROUP BY user_id),
+tags AS (SELECT DISTINCT p_brand AS artist, 'tag_' || replace(lower(p_type), '-', ' ') AS tag FROM part),
+t AS (SELECT user_id, tag, count(*) AS n FROM pairs JOIN tags USING (artist) GROUP BY 1, 2),
+tw AS (SELECT user_id, {cells_sql("tag", _TAGS, "max(n)", [py_clean_name(t) for t in _TAGS])} FROM t GROUP BY user_id)
+SELECT w.*, tw.* EXCLUDE (user_id) FROM w LEFT JOIN tw ON w.user_id = tw.user_id
 """
 
 
 @query("play_counts_pivot", PLAY_COUNTS_PIVOT_SQL)
 def play_counts_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    """§3d end to end: A1 + L1 + J1 + R1 + R3 + P14 + P5."""
-    return artist_liking(spark, sf)
+    """§3d end to end: A1 + L1 + J1 + R1 + R3 + P14 + P5, the top 25 artists."""
+    return artist_liking(spark, sf, TARGET, n_top=25)
+
+
+@query("play_counts_top10", f"""
+WITH pl AS (SELECT * FROM {_PLAYS_SUB}), tg AS (SELECT * FROM {_TAGS_SUB}),
+cells AS (
+  SELECT user_id, {sql_clean_name('artist')} AS "column", cnt AS "value" FROM pl WHERE artist <> '{TARGET}'
+  UNION ALL
+  SELECT user_id, {sql_clean_name('tag')}, count(*) FROM pl JOIN tg USING (artist) GROUP BY 1, 2),
+names AS (SELECT DISTINCT {sql_clean_name('artist')} AS "column" FROM pl WHERE artist <> '{TARGET}'
+          UNION SELECT {sql_clean_name('tag')} FROM tg),
+users AS (SELECT user_id, bool_or(artist = '{TARGET}') AS label FROM pl GROUP BY 1)
+SELECT user_id, label, "column", "value" FROM users CROSS JOIN names LEFT JOIN cells USING (user_id, "column")
+""")
+def play_counts_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """§3d for the top 10 artists, whose names depend on the data: the wide result as long rows."""
+    wide = artist_liking(spark, sf, TARGET)
+    long = melt_long(wide.drop("label"), "user_id")
+    return long.join(wide.select("user_id", "label"), "user_id")
 
 
 @query("play_counts", """
@@ -147,9 +180,9 @@ def top_n_semi_join(spark, sf):
     return keep_top_n(table(spark, sf, "events"), "user_id", 20)
 
 
-@query("pivot_counts", """
-SELECT * FROM (PIVOT (SELECT user_id, event_type, count(*) AS cnt FROM events GROUP BY ALL)
-               ON event_type USING first(cnt) GROUP BY user_id)
+@query("pivot_counts", f"""
+SELECT user_id, {cells_sql("event_type", _EVENTS, "max(cnt)")}
+FROM (SELECT user_id, event_type, count(*) AS cnt FROM events GROUP BY ALL) GROUP BY user_id
 """)
 def pivot_counts_q(spark, sf):
     """User x event type counts, absent pairs NULL, vocabulary passed in."""
@@ -161,9 +194,9 @@ def pivot_counts_q(spark, sf):
 WITH {_LISTEN_SQL},
 pairs AS (SELECT DISTINCT user_id, artist FROM listen),
 tags AS (SELECT DISTINCT p_brand AS artist, 'tag_' || replace(lower(p_type), '-', ' ') AS tag FROM part)
-SELECT * FROM (PIVOT (SELECT pr.user_id, t.tag, count(*) AS n FROM pairs pr JOIN tags t
-                      ON pr.artist = t.artist GROUP BY ALL)
-               ON tag USING first(n) GROUP BY user_id)
+SELECT user_id, {cells_sql("tag", _TAGS, "max(n)")}
+FROM (SELECT pr.user_id, t.tag, count(*) AS n FROM pairs pr JOIN tags t ON pr.artist = t.artist GROUP BY ALL)
+GROUP BY user_id
 """)
 def tag_counts_q(spark, sf):
     """Per customer, number of distinct brands bought that carry each type tag."""
@@ -174,20 +207,32 @@ def tag_counts_q(spark, sf):
 
 
 @query("tag_matrix", """
-SELECT p_brand, COALESCE(COLUMNS(* EXCLUDE (p_brand)), false) FROM (
-  PIVOT (SELECT DISTINCT p_brand, 'tag_' || replace(lower(p_name), '-', ' ') AS tag, true AS v FROM part)
-  ON tag USING bool_or(v) GROUP BY p_brand)
+WITH t AS (SELECT DISTINCT p_brand, 'tag_' || replace(lower(p_name), '-', ' ') AS "column" FROM part)
+SELECT b.p_brand, v."column", t.p_brand IS NOT NULL AS "value"
+FROM (SELECT DISTINCT p_brand FROM t) b CROSS JOIN (SELECT DISTINCT "column" FROM t) v LEFT JOIN t
+ON t.p_brand = b.p_brand AND t."column" = v."column"
 """)
 def tag_matrix_q(spark, sf):
-    """Brand x name-tag boolean matrix, True where present then False-filled."""
+    """Brand x name-tag boolean matrix, True where present then False-filled, as long rows
+    (its columns depend on the data)."""
     part = table(spark, sf, "part").select("p_brand", tag_normalize(F.col("p_name")).alias("tag"))
+    return melt_long(tag_matrix(part, "p_brand", "tag", vocabulary(part, "tag")), "p_brand")
+
+
+@query("tag_matrix_types", f"""
+WITH t AS (SELECT p_brand, 'tag_' || replace(lower(p_type), '-', ' ') AS tag FROM part)
+SELECT p_brand, {", ".join(f"bool_or(tag = '{t}') AS \"{t}\"" for t in _TAGS)} FROM t GROUP BY p_brand
+""")
+def tag_matrix_types_q(spark, sf):
+    """Brand x type-tag boolean matrix, wide."""
+    part = table(spark, sf, "part").select("p_brand", tag_normalize(F.col("p_type")).alias("tag"))
     return tag_matrix(part, "p_brand", "tag", vocabulary(part, "tag"))
 
 
-@query("label_presence", """
-SELECT * EXCLUDE (purchase), purchase IS NOT NULL AS label FROM (
-  PIVOT (SELECT user_id, event_type, count(*) AS cnt FROM events GROUP BY ALL)
-  ON event_type USING first(cnt) GROUP BY user_id)
+@query("label_presence", f"""
+SELECT user_id, {cells_sql("event_type", [e for e in _EVENTS if e != "purchase"], "max(cnt)")},
+       bool_or(event_type = 'purchase') AS label
+FROM (SELECT user_id, event_type, count(*) AS cnt FROM events GROUP BY ALL) GROUP BY user_id
 """)
 def label_presence_q(spark, sf):
     """label = user has any 'purchase' event; the source column is dropped."""
@@ -197,11 +242,24 @@ def label_presence_q(spark, sf):
 
 
 @query("clean_column_names", f"""
-SELECT * FROM (PIVOT (SELECT p_brand, {sql_clean_name('p_name')} AS name, count(*) AS n FROM part GROUP BY ALL)
-               ON name USING first(n) GROUP BY p_brand)
+WITH c AS (SELECT p_brand, {sql_clean_name('p_name')} AS "column", count(*) AS "value" FROM part GROUP BY ALL)
+SELECT b.p_brand, v."column", c."value"
+FROM (SELECT DISTINCT p_brand FROM c) b CROSS JOIN (SELECT DISTINCT "column" FROM c) v LEFT JOIN c
+ON c.p_brand = b.p_brand AND c."column" = v."column"
 """)
 def clean_column_names_q(spark, sf):
-    """P5: pivot brand x part name, then rewrite names by the ordered replacement list."""
+    """P5: pivot brand x part name, rewrite names by the ordered replacement list, show the
+    result as long rows (its columns depend on the data)."""
     part = table(spark, sf, "part")
     wide = pivot_counts(part, "p_brand", "p_name", vocabulary(part, "p_name"))
-    return clean_names(wide)
+    return melt_long(clean_names(wide), "p_brand")
+
+
+@query("clean_brand_names", f"""
+SELECT p_type, {cells_sql("p_brand", _BRANDS, "max(n)", [py_clean_name(b) for b in _BRANDS])}
+FROM (SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY ALL) GROUP BY p_type
+""")
+def clean_brand_names_q(spark, sf):
+    """P5: pivot type x brand, then rewrite the wide names."""
+    part = table(spark, sf, "part")
+    return clean_names(pivot_counts(part, "p_type", "p_brand", vocabulary(part, "p_brand")))

@@ -24,7 +24,7 @@ from ..operators.ml import (feature_importance, fit_gbt, fit_history, fit_log_re
 from ..operators.project import map_values
 from ..operators.reshape import count_vector, vocabulary
 from ..operators.timeseries import anomaly_flags, split_first
-from ..session import scratch_path, table
+from ..session import cut_lineage, scratch_path, table
 from ..sources.sinks import append_rows
 from .registry import query
 
@@ -100,9 +100,9 @@ def random_search_q(spark, sf):
 @query("grid_search_cv")
 def grid_search_cv_q(spark, sf):
     """Forest size grid with 10-fold cross-validation."""
-    rows = emb_rows(spark, sf, dims=16)
+    rows = emb_rows(spark, sf)
     est = RandomForestClassifier(labelCol="label", featuresCol="features", seed=42)
-    _, res = grid_search_cv(est, {"numTrees": [10, 50]}, rows, "label", ["features"], folds=10)
+    _, res = grid_search_cv(est, {"numTrees": [10, 100, 1000]}, rows, "label", ["features"], folds=10)
     return spark.createDataFrame([(p["numTrees"], m) for p, m in res], "num_trees int, accuracy double")
 
 
@@ -156,29 +156,40 @@ def pca_anomaly_q(spark, sf):
     return anomaly_flags(res, "residual", F.col("is_train")).drop("is_train")
 
 
+_OVR: dict = {}
+
+
 def _ovr_models(spark, sf):
-    rows = emb_rows(spark, sf, dims=16).persist()
-    classes = sorted(r[0] for r in rows.select("label").distinct().collect())  # class list: bounded
-    models = one_vs_rest_models(rows, "label", classes, ["features"], maxIter=5, maxDepth=3)
-    return rows, classes, models
+    """All vectors, the classes (guarded: at most 1,000) and one model per class, fitted on the
+    hash-chosen 80 % of the rows; the three queries of a session share one fit."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _OVR:
+        rows = cut_lineage(emb_rows(spark, sf).withColumn("base_part", stable_bucket("vec_id", 10) < 8))
+        classes = vocabulary(rows, "label", max_values=1000)
+        base = rows.filter("base_part").drop("base_part")
+        _OVR.clear()
+        _OVR[key] = (rows, classes, one_vs_rest_models(base, "label", classes, ["features"], maxIter=5, maxDepth=3))
+    return _OVR[key]
 
 
 @query("one_vs_rest_scores")
 def one_vs_rest_scores_q(spark, sf):
     """One boosted model per class; each class's score as a column."""
     rows, classes, models = _ovr_models(spark, sf)
-    return stacked_scores(rows, models).drop("features")
+    return stacked_scores(rows, models).drop("features", "base_part")
 
 
 @query("stacked_scores")
 def stacked_scores_q(spark, sf):
-    """Per-class scores -> forest -> class index -> class name."""
+    """Per-class scores -> forest -> class index -> class name. The forest
+    is fitted on the 20 % of the rows that its base models never saw."""
     rows, classes, models = _ovr_models(spark, sf)
     st = stacked_scores(rows, models)
     pred_cols = [f"{c}_pred" for c in classes]
-    forest = fit_rf(st.drop("features"), "label", pred_cols, num_trees=20)
+    held = st.filter(~F.col("base_part")).drop("features", "base_part")
+    forest = fit_rf(held, "label", pred_cols, num_trees=20)
     names = {float(c): f"class_{c}" for c in classes}
-    out = forest.transform(st.drop("features"))
+    out = forest.transform(st.drop("features", "base_part"))
     return out.select("vec_id", "label", map_values("prediction", names).alias("predicted_name"))
 
 
@@ -226,13 +237,18 @@ def feature_importance_q(spark, sf):
 
 @query("kmeans_summary")
 def kmeans_summary_q(spark, sf):
-    """K-means on standardised vectors, then a summary per cluster."""
+    """K-means on standardised vectors, then count, mean, deviation, minimum and maximum
+    of every component per cluster."""
     e = table(spark, sf, "embeddings")
-    cols = [F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(8)]
-    rows = e.select("vec_id", "label", *cols)
-    assigned = kmeans_assign(rows, [f"d{i}" for i in range(8)], k=10)
-    return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("d0").alias("mean_d0"),
-                                           F.countDistinct("label").alias("n_labels"))
+    size = e.select(F.max(F.size("embedding"))).first()[0] or 0
+    names = [f"d{i}" for i in range(size)]
+    rows = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    assigned = kmeans_assign(rows, names, k=10)
+    long = assigned.select("cluster", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column"), F.col(n).alias("value")) for n in names])).alias("kv")).select("cluster", "kv.*")
+    return long.groupBy("cluster", "column").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
 
 
 @query("fit_history")
@@ -243,6 +259,7 @@ def fit_history_q(spark, sf):
     return fit_history(rows.filter(b >= 2), rows.filter(b < 2), "label", DOC_FEATURES, maxIter=10, maxDepth=3)
 
 
+# The field names of a metric row.
 METRIC_SCHEMA = ("model_type string, pitch_type string, precision double, accuracy double, recall double, "
                  "f1 double, threshold double, date string")
 
@@ -255,7 +272,7 @@ def metric_log_append_q(spark, sf):
     st = stacked_scores(rows, models)
     path = scratch_path(spark, "metric-log")
     today = dt.date(2026, 1, 1).isoformat()
-    for c in classes[:3]:
+    for c in classes:
         y = (F.col("label") == c).cast("int")
         t = best_f1_threshold(st, y, f"{c}_pred").first()["threshold"]
         m = binary_metrics(st, y, f"{c}_pred", t)

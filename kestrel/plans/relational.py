@@ -99,7 +99,8 @@ def anti_join_rest_q(spark, sf):
 def union_parts_q(spark, sf):
     """Parts by status concatenated back (UNION ALL by name)."""
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("part"))
-    parts = [o.filter(F.col("part") == s) for s in ("F", "O", "P")]
+    known = vocabulary(o, "part")
+    parts = [o.filter(F.col("part") == s) for s in known] + [o.filter(F.col("part").isNull())]
     return union_parts(parts)
 
 
@@ -281,9 +282,10 @@ def minmax_stats_q(spark, sf):
 
 
 @query("count_vector", """
-SELECT o_custkey, COALESCE(COLUMNS(* EXCLUDE (o_custkey)), 0) FROM (
-  PIVOT (SELECT o.o_custkey, 'cat_' || p.p_type AS cat FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-         JOIN part p ON l.l_partkey = p.p_partkey) ON cat USING count(*) GROUP BY o_custkey)""")
+SELECT o.o_custkey, """ + ", ".join(f"count(*) FILTER (WHERE p.p_type = '{t}') AS \"cat_{t}\"" for t in (
+    "ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")) + """
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY o.o_custkey""")
 def count_vector_q(spark, sf):
     """Per customer, count of each product type over a fixed vocabulary, 0 if absent."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import array_scale, center_fit, mean_abs_diff
 from ..functions.dates import parse_file_time, trunc_ntz
-from ..operators.joins import sized_broadcast
 from ..operators.ordering import row_index
 from ..operators.timeseries import (acf, adf_no_lag, anomaly_flags, class_share_by, first_valid, normal_pdf_grid,
                                     pacf, sd_class, seasonal_decompose, split_first)
@@ -160,7 +159,7 @@ def row_mae_q(spark, sf):
     # one array per class, bounded by (classes x dimensions); size-checked broadcast
     arrs = cent.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "c"))).alias("_s")) \
         .select("label", F.transform("_s", lambda s: s["c"]).alias("centroid"))
-    j = e.join(sized_broadcast(arrs), "label")
+    j = e.join(arrs, "label")
     return j.select("vec_id", F.round(mean_abs_diff("embedding", "centroid"), 6).alias("mae"))
 
 

@@ -6,7 +6,9 @@ library assumes (UTC session zone, AQE on, Arrow for pandas functions).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -22,20 +24,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "kestrel", event_log_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings this library is tuned for.
 
-    On a cluster, leave ``master`` unset and size ``spark.sql.shuffle.partitions``
-    to the data (AQE coalesces small partitions and splits skewed ones at runtime).
+    On a cluster, leave ``master`` unset: the shuffle width is then the cluster's own
+    setting (size it to the data; AQE coalesces small partitions and splits skewed ones at
+    runtime). A width from the CPU count is only taken for a local master. Checkpoints are
+    removed once nothing refers to them.
     ``event_log_dir`` turns on Spark's event log there (stage and task times without
     the web UI).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    cpus = os.cpu_count() or 8
-    b = (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-          .config("spark.sql.adaptive.enabled", "true")
+    if shuffle_partitions or (master or "").startswith("local"):
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or os.cpu_count() or 8))
+    b = (b.config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
@@ -55,9 +60,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when the session names one. Only when
-    it is unset (local tests) a local folder is made and registered with
-    ``setCheckpointDir`` (``spark.checkpoint.dir`` itself cannot be set at runtime).
+    Uses the cluster's ``spark.checkpoint.dir`` when the session names one. Where it is
+    unset, a local master (tests) gets a local folder, registered with ``setCheckpointDir``
+    and removed when Python exits; any other master raises, as its executors would not
+    see a local folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -69,7 +75,10 @@ def scratch_dir(spark: SparkSession) -> str:
     if not jdir.isEmpty():
         # setCheckpointDir appends a per-application uuid folder; its parent is ours.
         return jdir.get().rsplit("/", 1)[0].replace("file:", "", 1)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     base = tempfile.mkdtemp(prefix="kestrel-ckpt-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
     sc.setCheckpointDir(base)
     return base
 

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, *, sep: str = ",",
                    header: bool = True, trim: bool = False, null_tokens: Mapping[str, str] | None = None,
-                   junk_lines: Sequence[str] = (), glob: str | None = None) -> DataFrame:
+                   junk_lines: Sequence[str] = (), glob: str | None = None,
+                   drop_repeated_headers: bool = False) -> DataFrame:
     """Typed read of CSV/TSV.
 
     Columns are read as text, then NULL tokens (per column) and junk / repeated
@@ -34,8 +35,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, *
     first = F.col(names[0])
     if junk_lines:
         raw = raw.filter(~F.coalesce(first.isin(*junk_lines), F.lit(False)))
-    # a header line inside the data (one per shard of a concatenated export)
-    raw = raw.filter(~F.coalesce(first == F.lit(names[0]), F.lit(False)))
+    if drop_repeated_headers:  # one header line per shard of a concatenated export
+        raw = raw.filter(~F.coalesce(first == F.lit(names[0]), F.lit(False)))
     tokens = dict(null_tokens or {})
     cols = []
     for f in st.fields:

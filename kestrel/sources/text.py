@@ -63,11 +63,16 @@ def html_table_rows(df: DataFrame, html_col: str, keep=()) -> DataFrame:
 
 
 def kv_map(text: Column, line_sep: str = "\n", kv_sep: str = "\t") -> Column:
-    """'key<TAB>value' lines to a map."""
+    """'key<TAB>value' lines to a map (S13): the value is all after the first separator, the
+    last line of a repeated key wins, a line without a separator is its own value."""
     lines = F.filter(F.split(text, line_sep), lambda x: F.length(x) > 0)
-    entries = F.transform(lines, lambda x: F.struct(F.substring_index(x, kv_sep, 1).alias("key"),
-                                                     F.substring_index(x, kv_sep, -1).alias("value")))
-    return F.map_from_entries(entries)
+    key = lambda x: F.substring_index(x, kv_sep, 1)
+    value = lambda x: F.when(F.contains(x, F.lit(kv_sep)),
+                             F.substring(x, F.length(key(x)) + F.lit(len(kv_sep) + 1), F.length(x))).otherwise(x)
+    entry = lambda x: F.struct(key(x).alias("key"), value(x).alias("value"))
+    last = F.filter(F.transform(lines, entry), lambda e, i: ~F.exists(
+        F.slice(lines, i + 2, F.size(lines)), lambda y: key(y) == e["key"]))
+    return F.map_from_entries(last)
 
 
 def record_lines(df: DataFrame, text_col: str, keep=(), sep: str = ": ") -> DataFrame:

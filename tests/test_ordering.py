@@ -44,14 +44,3 @@ def test_chunks_and_percent_range(spark):
     pr = percent_range(df, ["id"], 10, 12).select("id").toPandas()
     assert sorted(pr["id"]) == list(range(300, 360))
     assert df.filter(F.col("g") == 0).count() > len(pdf) / 2
-
-
-def test_sized_broadcast_respects_bound(spark):
-    from kestrel.operators.joins import estimated_bytes, sized_broadcast
-    small = spark.range(100)
-    assert estimated_bytes(small) > 0
-    assert sized_broadcast(small, max_bytes=1) is small          # over the bound: left to the planner
-    hinted = sized_broadcast(small, max_bytes=1 << 30)
-    assert hinted is not small
-    plan = spark.range(10).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
