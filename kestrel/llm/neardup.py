@@ -35,7 +35,7 @@ from .exactdup import _bit_table
 MINIMA, ROWS, LOW_BITS = 128, 4, 2
 BANDS = MINIMA // ROWS
 #: Representatives of a bucket that are compared in one task; members of a block; common members.
-BUCKET, BLOCK, HUBS = 1024, 256, 16
+BUCKET, BLOCK, HUBS = 1024, 128, 16
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PAIRS = np.uint64(0x5555555555555555)

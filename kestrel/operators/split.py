@@ -106,22 +106,25 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return df.withColumn("shuffle_key", seeded_hash(key, seed)).orderBy("shuffle_key", key)
 
 
-def row_md5(df: DataFrame, seed: int) -> Column:
-    """md5 of the seed and the row's values as text, joined by '|' ('~' for NULL)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns]
+def row_md5(df: DataFrame, seed: int, key: Sequence[str] | None = None) -> Column:
+    """md5 of the seed and the row's ``key`` values (all values without one) as text, joined by
+    '|' ('~' for NULL)."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in key or df.columns]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n random rows (L6, L7): order by a seeded md5 of the whole row and take n; each task
-    keeps an n-row heap (TakeOrderedAndProject). The same rows at any partitioning."""
-    return df.orderBy(row_md5(df, seed), *df.columns).limit(n)
+def sample_n(df: DataFrame, n: int, seed: int = 0, key: Sequence[str] | None = None) -> DataFrame:
+    """n random rows (L6, L7): order by a seeded md5 of the row's key (of the whole row without
+    one) and take n; each task keeps an n-row heap (TakeOrderedAndProject). The same rows at
+    any partitioning."""
+    return df.orderBy(row_md5(df, seed, key), *(key or df.columns)).limit(n)
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int = 0) -> list[DataFrame]:
+def random_split(df: DataFrame, weights: Sequence[float], seed: int = 0,
+                 key: Sequence[str] | None = None) -> list[DataFrame]:
     """Seeded random fractions (L13, L14): each row's seeded md5 is a number in [0, 1), and the
     weights' running shares cut that range; the same rows at any partitioning."""
-    at = F.conv(F.substring(row_md5(df, seed), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    at = F.conv(F.substring(row_md5(df, seed, key), 1, 8), 16, 10).cast("double") / float(1 << 32)
     total, low, parts = float(sum(weights)), 0.0, []
     for i, w in enumerate(weights):
         high = low + w / total

@@ -127,23 +127,17 @@ def seasonal_decompose(df: DataFrame, ts: str, value: str, period: int,
 
 def acf(df: DataFrame, ts: str, value: str, nlags: int, keys: Sequence[str] = ()) -> DataFrame:
     """Autocorrelation for lags 0..nlags (W6): sum of lagged products of deviations
-    over the total sum of squares. Each step is paired with the steps 0..nlags ahead
-    by an equi-join on (series, idx + lag); work grows with length x nlags."""
+    over the total sum of squares, per series (``keys``). One window per series with a
+    bounded look back of ``nlags`` rows, then one aggregate; no row is multiplied."""
     keys = list(keys)
     s = indexed_series(df, ts, value, keys)
     pw = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    s = s.withColumn("dev", F.col(value) - F.avg(value).over(pw)).select(*keys, "idx", "dev")
-    lags = s.select(*keys, "idx", "dev", F.explode(F.sequence(F.lit(0), F.lit(nlags))).alias("lag"))
-    ahead = s.select(*keys, F.col("idx").alias("idx2"), F.col("dev").alias("dev2"))
-    cond = [lags[k] == ahead[k] for k in keys] + [(lags.idx + lags.lag) == ahead.idx2]
-    prods = lags.join(ahead, on=cond).select(*[lags[k] for k in keys], "lag", (F.col("dev") * F.col("dev2")).alias("p"))
-    num = prods.groupBy(*keys, "lag").agg(F.sum("p").alias("num"))
-    den = s.groupBy(*keys).agg(F.sum(F.col("dev") * F.col("dev")).alias("den"))
-    if keys:
-        out = num.join(den, on=keys)
-        return out.select(*keys, "lag", (F.col("num") / F.col("den")).alias("acf"))
-    total = den.first()["den"]
-    return num.select("lag", (F.col("num") / F.lit(total)).alias("acf"))
+    s = s.withColumn("dev", F.col(value) - F.avg(value).over(pw))
+    w = pw.orderBy("idx")
+    lagged = s.select(*keys, *[(F.col("dev") * F.lag("dev", k).over(w)).alias(f"p{k}") for k in range(nlags + 1)])
+    sums = lagged.groupBy(*keys).agg(F.array(*[F.sum(f"p{k}") for k in range(nlags + 1)]).alias("_s"))
+    out = sums.select(*keys, "_s", F.posexplode("_s").alias("lag", "num")).where(F.col("num").isNotNull())
+    return out.select(*keys, "lag", (F.col("num") / F.nullif(F.col("_s")[0], F.lit(0.0))).alias("acf"))
 
 
 def _durbin_levinson(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -21,12 +21,13 @@ NLAGS = 100
 
 
 def hourly_signal(spark, sf):
-    """One row per hour: mean value of the events in that hour."""
+    """One row per event type (series) and hour: mean value of the events in that hour."""
     ev = table(spark, sf, "events")
-    return ev.groupBy(trunc_ntz("ts", "hour").alias("hour")).agg(F.avg("value").alias("v"))
+    return ev.groupBy("event_type", trunc_ntz("ts", "hour").alias("hour")).agg(F.avg("value").alias("v"))
 
 
-_HOURLY_SQL = "(SELECT date_trunc('hour', ts) AS hour, avg(value) AS v FROM events GROUP BY 1)"
+_HOURLY_SQL = "(SELECT event_type, date_trunc('hour', ts) AS hour, avg(value) AS v FROM events GROUP BY 1, 2)"
+_SERIES = "PARTITION BY event_type ORDER BY"
 
 
 @query("first_vs_rest", """
@@ -77,52 +78,58 @@ def parse_sort_time_q(spark, sf):
 
 
 @query("seasonal_decompose", f"""
-WITH i AS (SELECT hour, v, row_number() OVER (ORDER BY hour) - 1 AS idx, count(*) OVER () AS n FROM {_HOURLY_SQL}),
-t AS (SELECT hour, idx, v, CASE WHEN idx >= {PERIOD // 2} AND idx + {PERIOD // 2} <= n - 1 THEN
-        (sum(v) OVER (ORDER BY idx ROWS BETWEEN {PERIOD // 2} PRECEDING AND {PERIOD // 2} FOLLOWING)
-         - 0.5 * lag(v, {PERIOD // 2}) OVER (ORDER BY idx) - 0.5 * lead(v, {PERIOD // 2}) OVER (ORDER BY idx)) / {PERIOD}
+WITH i AS (SELECT event_type, hour, v, row_number() OVER ({_SERIES} hour) - 1 AS idx,
+                  count(*) OVER (PARTITION BY event_type) AS n FROM {_HOURLY_SQL}),
+t AS (SELECT event_type, hour, idx, v, CASE WHEN idx >= {PERIOD // 2} AND idx + {PERIOD // 2} <= n - 1 THEN
+        (sum(v) OVER ({_SERIES} idx ROWS BETWEEN {PERIOD // 2} PRECEDING AND {PERIOD // 2} FOLLOWING)
+         - 0.5 * lag(v, {PERIOD // 2}) OVER ({_SERIES} idx) - 0.5 * lead(v, {PERIOD // 2}) OVER ({_SERIES} idx)) / {PERIOD}
         END AS trend FROM i),
-p AS (SELECT idx % {PERIOD} AS phase, avg(v - trend) AS pa FROM t GROUP BY 1),
-pc AS (SELECT phase, pa - avg(pa) OVER () AS seasonal FROM p)
-SELECT t.hour, t.idx, round(t.v, 9) AS v, round(t.trend, 9) AS trend, round(pc.seasonal, 9) AS seasonal,
+p AS (SELECT event_type, idx % {PERIOD} AS phase, avg(v - trend) AS pa FROM t GROUP BY 1, 2),
+pc AS (SELECT event_type, phase, pa - avg(pa) OVER (PARTITION BY event_type) AS seasonal FROM p)
+SELECT t.event_type, t.hour, t.idx, round(t.v, 9) AS v, round(t.trend, 9) AS trend, round(pc.seasonal, 9) AS seasonal,
        round(t.v - t.trend - pc.seasonal, 9) AS resid
-FROM t JOIN pc ON t.idx % {PERIOD} = pc.phase""")
+FROM t JOIN pc ON t.idx % {PERIOD} = pc.phase AND t.event_type = pc.event_type""")
 def seasonal_decompose_q(spark, sf):
-    """Additive decomposition of the hourly signal, daily period."""
-    out = seasonal_decompose(hourly_signal(spark, sf), "hour", "v", PERIOD)
+    """Additive decomposition of each event type's hourly signal, daily period."""
+    out = seasonal_decompose(hourly_signal(spark, sf), "hour", "v", PERIOD, keys=["event_type"])
     # sums of 2-decimal values over small divisors: exact decimals, so round clear of 6th-place ties
-    return out.select("hour", "idx", *[F.round(c, 9).alias(c) for c in ("v", "trend", "seasonal", "resid")])
+    return out.select("event_type", "hour", "idx", *[F.round(c, 9).alias(c) for c in ("v", "trend", "seasonal", "resid")])
 
 
 @query("acf", f"""
-WITH i AS (SELECT row_number() OVER (ORDER BY hour) - 1 AS idx, v - avg(v) OVER () AS dev FROM {_HOURLY_SQL}),
-l AS (SELECT g.lag, a.dev * b.dev AS p FROM i a CROSS JOIN generate_series(0, {NLAGS}) g(lag)
-      JOIN i b ON b.idx = a.idx + g.lag)
-SELECT lag, round(sum(p) / (SELECT sum(dev * dev) FROM i), 6) AS acf FROM l GROUP BY lag""")
+WITH i AS (SELECT event_type, row_number() OVER ({_SERIES} hour) - 1 AS idx,
+                  v - avg(v) OVER (PARTITION BY event_type) AS dev FROM {_HOURLY_SQL}),
+l AS (SELECT a.event_type, g.lag, a.dev * b.dev AS p FROM i a CROSS JOIN generate_series(0, {NLAGS}) g(lag)
+      JOIN i b ON b.idx = a.idx + g.lag AND a.event_type = b.event_type),
+d AS (SELECT event_type, sum(dev * dev) AS den FROM i GROUP BY 1)
+SELECT l.event_type, l.lag, round(sum(l.p) / any_value(d.den), 6) AS acf FROM l JOIN d USING (event_type) GROUP BY 1, 2""")
 def acf_q(spark, sf):
-    """Autocorrelation of the hourly signal to 100 lags."""
-    out = acf(hourly_signal(spark, sf), "hour", "v", NLAGS)
-    return out.select(F.col("lag").cast("long").alias("lag"), F.round("acf", 6).alias("acf"))
+    """Autocorrelation of each event type's hourly signal to 100 lags."""
+    out = acf(hourly_signal(spark, sf), "hour", "v", NLAGS, keys=["event_type"])
+    return out.select("event_type", F.col("lag").cast("long").alias("lag"), F.round("acf", 6).alias("acf"))
 
 
 @query("pacf")
 def pacf_q(spark, sf):
-    """Partial autocorrelation (Durbin-Levinson over the acf), rows-only check."""
-    return pacf(acf(hourly_signal(spark, sf), "hour", "v", NLAGS))
+    """Partial autocorrelation per event type (Durbin-Levinson over the acf); its
+    values are tested against least squares on a small series."""
+    return pacf(acf(hourly_signal(spark, sf), "hour", "v", NLAGS, keys=["event_type"]), keys=["event_type"])
 
 
 @query("adf_stat", f"""
-WITH d AS (SELECT v - lag(v) OVER (ORDER BY hour) AS dy, lag(v) OVER (ORDER BY hour) AS ylag FROM {_HOURLY_SQL}),
-a AS (SELECT CAST(regr_count(dy, ylag) AS BIGINT) AS n, regr_slope(dy, ylag) AS slope, regr_sxx(dy, ylag) AS sxx,
-             regr_syy(dy, ylag) AS syy, regr_sxy(dy, ylag) AS sxy FROM d WHERE dy IS NOT NULL)
-SELECT n, round(slope / sqrt((syy - slope * sxy) / (n - 2) / sxx), 6) AS adf_stat,
+WITH d AS (SELECT event_type, v - lag(v) OVER ({_SERIES} hour) AS dy, lag(v) OVER ({_SERIES} hour) AS ylag
+           FROM {_HOURLY_SQL}),
+a AS (SELECT event_type, CAST(regr_count(dy, ylag) AS BIGINT) AS n, regr_slope(dy, ylag) AS slope,
+             regr_sxx(dy, ylag) AS sxx, regr_syy(dy, ylag) AS syy, regr_sxy(dy, ylag) AS sxy
+      FROM d WHERE dy IS NOT NULL GROUP BY 1)
+SELECT event_type, n, round(slope / sqrt((syy - slope * sxy) / (n - 2) / sxx), 6) AS adf_stat,
        round(-3.43035 + -6.5393 / n + -16.786 / (n * n) + -79.433 / (n * n * n), 6) AS crit_1,
        round(-2.86154 + -2.8903 / n + -4.234 / (n * n) + -40.040 / (n * n * n), 6) AS crit_5,
        round(-2.56677 + -1.5384 / n + -2.809 / (n * n) + 0.0 / (n * n * n), 6) AS crit_10 FROM a""")
 def adf_stat_q(spark, sf):
-    """Dickey-Fuller statistic (constant, no lags) and critical values."""
-    out = adf_no_lag(hourly_signal(spark, sf), "hour", "v")
-    return out.select("n", *[F.round(c, 6).alias(c) for c in ("adf_stat", "crit_1", "crit_5", "crit_10")])
+    """Dickey-Fuller statistic (constant, no lags) and critical values per event type."""
+    out = adf_no_lag(hourly_signal(spark, sf), "hour", "v", keys=["event_type"])
+    return out.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("adf_stat", "crit_1", "crit_5", "crit_10")])
 
 
 @query("sd_class", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.ordering import chunk_ids, percent_range
-from ..operators.split import (date_range_split, hash_split, kfold, mod_split, sample_n, shuffle_rows,
+from ..operators.split import (date_range_split, hash_split, kfold, mod_split, random_split, sample_n, shuffle_rows,
                                split_counts, stratified_split, time_split)
 from ..session import table
 from .registry import query
@@ -41,22 +41,24 @@ def top_pairs_q(spark, sf):
     return agg.orderBy(F.col("cnt").desc(), "l_partkey", "l_suppkey").limit(100)
 
 
-@query("sample_one")
+@query("sample_one", "SELECT * FROM orders ORDER BY md5('7|' || o_orderkey), o_orderkey LIMIT 1")
 def sample_one_q(spark, sf):
-    """One random row (seeded); rows-only check."""
-    return sample_n(table(spark, sf, "orders"), 1, seed=7)
+    """One random row (seeded)."""
+    return sample_n(table(spark, sf, "orders"), 1, seed=7, key=["o_orderkey"])
 
 
-@query("sample_n")
+@query("sample_n", "SELECT * FROM orders ORDER BY md5('200|' || o_orderkey), o_orderkey LIMIT 200")
 def sample_n_q(spark, sf):
-    """200 random rows (seeded); rows-only check."""
-    return sample_n(table(spark, sf, "orders"), 200, seed=200)
+    """200 random rows (seeded)."""
+    return sample_n(table(spark, sf, "orders"), 200, seed=200, key=["o_orderkey"])
 
 
-@query("random_split_counts")
+@query("random_split_counts", """
+SELECT count(*) AS n, CASE WHEN u < 0.6 THEN 'train' WHEN u < 0.8 THEN 'valid' ELSE 'test' END AS part
+FROM (SELECT CAST('0x' || substr(md5('200|' || o_orderkey), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM orders) GROUP BY 2""")
 def random_split_counts_q(spark, sf):
-    """Seeded random 60/20/20 split; part sizes (rows-only check)."""
-    parts = table(spark, sf, "orders").randomSplit([0.6, 0.2, 0.2], seed=200)
+    """Seeded random 60/20/20 split; part sizes."""
+    parts = random_split(table(spark, sf, "orders"), [0.6, 0.2, 0.2], seed=200, key=["o_orderkey"])
     out = None
     for name, p in zip(("train", "valid", "test"), parts):
         c = p.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit(name))

@@ -48,14 +48,18 @@ def session_counts_q(spark, sf):
     return session_counts(table(spark, sf, "events"), "ts", "user_id", "30 minutes")
 
 
-@query("stream_tumbling")
+@query("stream_tumbling", """
+SELECT * FROM (
+  SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
+         count(*) AS n, round(avg(abs(value)), 9) AS mean_abs_value FROM events GROUP BY 1, 2, 3)
+WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def stream_tumbling_q(spark, sf):
     """X1/X5 streaming: the event table as a file stream, hourly windows with a
     10-minute watermark, append mode; windows still open behind the final watermark
     are not emitted."""
     s = read_stream(spark, sf, EVENT_SCHEMA, glob="events.parquet")
     w = signal_windows(s, "ts", ["value"], "1 hour", keys=["event_type"], watermark="10 minutes")
-    return run_to_files(w, "stream-tumbling")
+    return run_to_files(w, "stream-tumbling").withColumn("mean_abs_value", F.round("mean_abs_value", 9))
 
 
 def _thresholds(spark, sf):
@@ -65,24 +69,27 @@ def _thresholds(spark, sf):
     return hourly.groupBy("event_type").agg((F.max("s") * 1.05).alias("threshold"))
 
 
-@query("stream_anomaly")
-def stream_anomaly_q(spark, sf):
-    """Live flag: each streamed event joined to its type's static threshold. The
-    threshold table is stored once (lineage cut), so every micro-batch joins a small
-    stored table instead of re-aggregating the training period."""
-    s = read_stream(spark, sf, EVENT_SCHEMA, glob="events.parquet")
-    thresholds = cut_lineage(_thresholds(spark, sf))
-    flagged = flag_stream(s.select("event_id", "ts", "event_type", "value"), thresholds, "event_type", "value")
-    return run_to_files(flagged, "stream-anomaly")
-
-
-@query("stream_anomaly_batch", """
+_ANOMALY_SQL = """
 WITH h AS (SELECT event_type, avg(abs(value)) AS s FROM events WHERE ts < TIMESTAMP '2024-01-21'
            GROUP BY event_type, date_trunc('hour', ts)),
 t AS (SELECT event_type, max(s) * 1.05 AS threshold FROM h GROUP BY 1)
 SELECT e.event_id, e.event_type, COALESCE(e.value > t.threshold, false) AS anomaly
-FROM events e LEFT JOIN t ON e.event_type = t.event_type""")
+FROM events e LEFT JOIN t ON e.event_type = t.event_type"""
+
+
+@query("stream_anomaly_batch", _ANOMALY_SQL)
 def stream_anomaly_batch_q(spark, sf):
     """X4 batch twin: the same static-threshold flag over the table."""
     ev = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
     return flag_stream(ev, _thresholds(spark, sf), "event_type", "value").select("event_id", "event_type", "anomaly")
+
+
+@query("stream_anomaly", _ANOMALY_SQL)
+def stream_anomaly_q(spark, sf):
+    """Live flag: each streamed event joined to its type's static threshold. The
+    threshold table is stored once (lineage cut), so every micro-batch joins a small
+    stored table instead of re-aggregating the training period."""
+    s = read_stream(spark, sf, EVENT_SCHEMA, glob="events.parquet")
+    thresholds = cut_lineage(_thresholds(spark, sf))
+    flagged = flag_stream(s.select("event_id", "ts", "event_type", "value"), thresholds, "event_type", "value")
+    return run_to_files(flagged, "stream-anomaly").select("event_id", "event_type", "anomaly")

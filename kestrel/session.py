@@ -41,6 +41,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+          # sessions merge inside each input partition before the shuffle: a key with a large
+          # share of the events arrives at its reducer as sessions, not raw rows
+          .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")

@@ -61,9 +61,6 @@ def signal_windows(df: DataFrame, ts: str, values: Sequence[str], size: str, sli
 def session_counts(df: DataFrame, ts: str, key: str, gap: str, watermark: str | None = None) -> DataFrame:
     """Sessions per key: a new session starts when the gap since the previous event
     reaches ``gap``; rows per session, start and end (= last event + gap) (X3)."""
-    # merge sessions inside each input partition before the shuffle, so a key with a
-    # large share of the events arrives at its reducer as sessions, not raw rows
-    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     e = event_time(df, ts)
     if watermark:
         e = e.withWatermark("event_time", watermark)

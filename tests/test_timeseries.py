@@ -64,3 +64,22 @@ def test_split_first_drops_single_row_groups(spark):
     target, rest = split_first(df, "k", ["o"])
     assert [tuple(r) for r in target.collect()] == [(1, 1, 5)]
     assert sorted(tuple(r) for r in rest.collect()) == [(1, 2, 3), (1, 3, 9)]
+
+
+def test_pacf_equals_least_squares(spark):
+    """The k-th partial autocorrelation is the last coefficient of the Yule-Walker system."""
+    import numpy as np
+    from kestrel.operators.timeseries import acf, pacf
+    rng = np.random.default_rng(0)
+    x = [0.0, 0.0]
+    for _ in range(400):
+        x.append(0.6 * x[-1] - 0.3 * x[-2] + rng.normal())
+    df = spark.createDataFrame([("s", i, float(v)) for i, v in enumerate(x)], "k string, t long, v double")
+    a = acf(df, "t", "v", 6, keys=["k"])
+    r = [row.acf for row in a.orderBy("lag").collect()]
+    dev = np.array(x) - np.mean(x)
+    assert np.allclose(r, [(dev[k:] * dev[:len(dev) - k]).sum() / (dev ** 2).sum() for k in range(7)])
+    got = {row.lag: row.pacf for row in pacf(a, keys=["k"]).collect()}
+    for k in range(1, 7):
+        m = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
+        assert abs(got[k] - np.linalg.solve(m, np.array(r[1:k + 1]))[-1]) < 1e-9
