@@ -42,6 +42,25 @@ def center_fit(arr, n: int, pad: float = 0.0) -> Column:
     return F.when(ln >= n, crop).otherwise(padded)
 
 
+def center_fit_image(img, height: int, width: int) -> Column:
+    """Centre-crop or centre-pad an H x W x C image (nested arrays of double) to height x width
+    x C (F29, D6): rows first, then the pixels of every row; padding pixels are zeros of the
+    image's own channel count."""
+    a = _c(img)
+    pixel = F.transform(a[0][0], lambda x: F.lit(0.0))
+
+    def fit(x, n: int, blank):
+        ln = F.size(x)
+        before = F.floor((F.lit(n) - ln) / 2).cast("int")
+        padded = F.concat(F.array_repeat(blank, F.greatest(before, F.lit(0))), x,
+                          F.array_repeat(blank, F.greatest((F.lit(n) - ln - before).cast("int"), F.lit(0))))
+        cut = F.slice(x, F.greatest(F.floor((ln - n) / 2).cast("int"), F.lit(0)) + 1, F.lit(n))
+        return F.when(ln >= n, cut).otherwise(padded)
+
+    rows = F.transform(a, lambda r: fit(r, width, pixel))
+    return fit(rows, height, F.array_repeat(pixel, width))
+
+
 def array_scale(arr, divisor: float = 255.0) -> Column:
     """Element-wise divide (uint8 -> [0, 1]; F30)."""
     return F.transform(_c(arr), lambda x: x.cast("double") / F.lit(divisor))

@@ -44,7 +44,7 @@ def keep_top_n(df: DataFrame, key: str, n: int, by=None) -> DataFrame:
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False,
                  name: str | None = None) -> DataFrame:
-    """Value counts (A2) or shares of the total (A3).
+    """Value counts, the most frequent first (A2), or shares of the total (A3).
 
     The share divides by the grand total, one number read from an aggregate and
     inlined, so a column with many distinct values never meets in one task.
@@ -52,8 +52,8 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False,
     out = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
         total = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        out = out.select(col, (F.col("count") / F.lit(total)).alias(name or "share"))
-    return out
+        return out.select(col, (F.col("count") / F.lit(total)).alias(name or "share"))
+    return out.orderBy(F.desc("count"), col)
 
 
 def group_sums(df: DataFrame, keys, values: dict[str, Column | str], how: str = "sum") -> DataFrame:

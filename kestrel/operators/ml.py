@@ -18,7 +18,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
+                                   RegressionEvaluator)
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -131,12 +132,14 @@ def sample_param_maps(space: Mapping[str, tuple], n: int, seed: int = 0) -> list
 
 def random_search(estimator, space: Mapping[str, tuple], n: int, train: DataFrame, label: str,
                   features: Sequence[str], metric: str = "areaUnderROC", seed: int = 0,
-                  train_ratio: float = 0.8, parallelism: int = 4):
+                  train_ratio: float = 0.8, parallelism: int = 4, minimise: bool = False):
     """Random search with a seeded hold-out (G4, G6): each sampled map is fitted on
-    the train share and scored on the rest; returns (best PipelineModel, trials)."""
+    the train share and scored on the rest; returns (best PipelineModel, trials). With
+    ``minimise`` the metric is one of a regression (rmse, mse, mae) and its least value is best."""
     draws = sample_param_maps(space, n, seed)
     maps = [{getattr(estimator, k): v for k, v in d.items()} for d in draws]
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
+    ev = (RegressionEvaluator(labelCol=label, metricName=metric) if minimise
+          else BinaryClassificationEvaluator(labelCol=label, metricName=metric))
     tvs = TrainValidationSplit(estimator=estimator, estimatorParamMaps=maps, evaluator=ev,
                                trainRatio=train_ratio, seed=seed, parallelism=parallelism)
     fitted = Pipeline(stages=[*feature_stages(features), tvs]).fit(train)

@@ -107,7 +107,25 @@ def column_summary(df: DataFrame) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__u").alias("unique"),
                               F.lit(types[c]).alias("dtype"),
                               (F.col(f"{c}__m") * 100.0 / F.col("_n")).alias("missing_pct")) for c in df.columns])
-    return r.select(F.explode(rows).alias("s")).select("s.*")
+    return r.select(F.explode(rows).alias("s")).select("s.*").orderBy(F.desc("missing_pct"), "column")
+
+
+def profile_report(df: DataFrame, top: int = 5) -> DataFrame:
+    """Full profile in the minimal form (E16): per column its type, distinct count, missing %,
+    the numeric statistics of E2 (NULL for other types) and the ``top`` most frequent values.
+
+    Each column's top values are a count with partial aggregation and a bounded sort.
+    """
+    numeric = select_by_type(df, ["numeric"])
+    best = None
+    for c in df.columns:
+        n = (df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value"))
+             .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(top)
+             .select(F.lit(c).alias("column"), "value", "n"))
+        best = n if best is None else best.unionByName(n)
+    order = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "value", "n")))  # ``top`` rows a column
+    tops = best.groupBy("column").agg(F.transform(order, lambda x: F.struct(x["value"], x["n"])).alias("top_values"))
+    return (column_summary(df).join(describe(df, numeric), "column", "left").join(tops, "column", "left"))
 
 
 def data_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ _MODULES = (
     "models",
     "streams",
     "flows",
+    "extra",
 )
 
 

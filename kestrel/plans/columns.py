@@ -450,17 +450,14 @@ def cast_matrix_q(spark, sf):
 
 @query("argmax_label", """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) AS INTEGER) AS argmax_pos,
-  CASE WHEN embedding[1] = greatest(embedding[1], embedding[2], embedding[3], embedding[4]) THEN 'c1'
-       WHEN embedding[2] = greatest(embedding[1], embedding[2], embedding[3], embedding[4]) THEN 'c2'
-       WHEN embedding[3] = greatest(embedding[1], embedding[2], embedding[3], embedding[4]) THEN 'c3'
-       ELSE 'c4' END AS best4
-FROM embeddings""")
+       'c' || list_position(embedding, list_max(embedding)) AS best FROM embeddings""")
 def argmax_label_q(spark, sf):
-    """Index of the max (first wins) and name of the best column."""
+    """Index of the max (first wins) and name of the best column, over all of them."""
     e = table(spark, sf, "embeddings")
-    four = e.select("vec_id", "embedding", *[F.col("embedding")[i].alias(f"c{i + 1}") for i in range(4)])
-    return four.select("vec_id", argmax_index("embedding").alias("argmax_pos"),
-                       argmax_label(["c1", "c2", "c3", "c4"]).alias("best4"))
+    size = e.select(F.max(F.size("embedding"))).first()[0] or 0
+    names = [f"c{i + 1}" for i in range(size)]
+    wide = e.select("vec_id", "embedding", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
+    return wide.select("vec_id", argmax_index("embedding").alias("argmax_pos"), argmax_label(names).alias("best"))
 
 
 @query("label_to_name", """

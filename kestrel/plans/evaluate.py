@@ -43,12 +43,13 @@ def shape_q(spark, sf):
     return shape(table(spark, sf, "lineitem"))
 
 
-_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+_DESC_COLS = [  # every number of lineitem
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _describe_sql(cols, src):
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std, "
+        f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 6) AS std, "
         f"round(min({c}), 9) AS min, round(quantile_cont({c}, 0.25), 9) AS p25, round(quantile_cont({c}, 0.5), 9) AS p50, "
         f"round(quantile_cont({c}, 0.75), 9) AS p75, round(max({c}), 9) AS max FROM {src}" for c in cols)
 
@@ -56,7 +57,7 @@ def _describe_sql(cols, src):
 @query("describe_long", _describe_sql(_DESC_COLS, "lineitem"))
 def describe_long_q(spark, sf):
     """Count, mean, sd, min, exact quartiles, max per column, one row each."""
-    return _round_all(describe(table(spark, sf, "lineitem"), _DESC_COLS), 9)
+    return _round_all(describe(table(spark, sf, "lineitem"), _DESC_COLS), 9).withColumn("std", F.round("std", 6))
 
 
 @query("describe_categorical", " UNION ALL ".join(
@@ -92,21 +93,21 @@ def column_summary_q(spark, sf):
     return _round_all(column_summary(_ns_base(spark, sf)), nine=("missing_pct",))
 
 
-_DS_COLS = ["l_quantity", "l_discount", "l_tax"]
+_DS_COLS = _DESC_COLS
 
 
 @query("data_summary", " UNION ALL ".join(
-    f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std, "
+    f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 6) AS std, "
     f"round(min({c}), 9) AS min, round(quantile_cont({c}, 0.25), 9) AS p25, round(quantile_cont({c}, 0.5), 9) AS p50, "
     f"round(quantile_cont({c}, 0.75), 9) AS p75, round(max({c}), 9) AS max, "
     f"count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(*) FILTER (WHERE {c} = 0) AS zeros, "
     f"count(DISTINCT {c}) AS unique FROM lineitem" for c in _DS_COLS))
 def data_summary_q(spark, sf):
     """E5: describe + NULL, zero and distinct counts."""
-    return _round_all(data_summary(table(spark, sf, "lineitem"), _DS_COLS), 9)
+    return _round_all(data_summary(table(spark, sf, "lineitem"), _DS_COLS), 9).withColumn("std", F.round("std", 6))
 
 
-_CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_CORR_COLS = _DESC_COLS
 
 
 @query("corr_matrix", " UNION ALL ".join(
@@ -239,15 +240,15 @@ def confusion_matrix_q(spark, sf):
 
 @query("exact_match_accuracy", """
 SELECT CAST(round(avg(CAST(
-  list_transform(range(10), lambda i: CAST(label = i AS INTEGER)) =
-  list_transform(range(10), lambda i: CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 = i AS INTEGER))
+  list_transform(range(64), lambda i: CAST(label = i AS INTEGER)) =
+  list_transform(range(64), lambda i: CAST(list_position(embedding, list_max(embedding)) - 1 = i AS INTEGER))
   AS DOUBLE)) * 100) AS BIGINT) AS accuracy_pct FROM embeddings""")
 def exact_match_accuracy_q(spark, sf):
     """Share of rows whose one-hot prediction vector equals the truth, %."""
     e = table(spark, sf, "embeddings")
-    pred_idx = argmax_index(F.slice("embedding", 1, 10)) - 1
-    truth = F.array(*[(F.col("label") == i).cast("int") for i in range(10)])
-    pred = F.array(*[(pred_idx == i).cast("int") for i in range(10)])
+    pred_idx = argmax_index("embedding") - 1
+    one_hot = lambda k: F.transform("embedding", lambda x, i: (i == k).cast("int"))
+    truth, pred = one_hot(F.col("label")), one_hot(pred_idx)
     return exact_match_accuracy(e.select(truth.alias("t"), pred.alias("p")), "t", "p")
 
 
