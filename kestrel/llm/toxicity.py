@@ -120,7 +120,9 @@ def _select(docs: list[set[str]], gold: np.ndarray, max_features: int) -> list[s
 
 def fit_rows(rows: list[tuple[str, int]], max_features: int = MAX_FEATURES, rounds: int = 120) -> Model:
     """Maximise the noisy-or likelihood of (text, label) rows by Adam."""
-    texts = [[(s, e, [w.lower() for w in ws]) for s, e, ws in sentences(t)] or [(0, 0, [])] for t, _ in rows]
+    pool: dict[str, str] = {}  # equal words share one string
+    texts = [[(s, e, [pool.setdefault(w, w) for w in map(str.lower, ws)]) for s, e, ws in sentences(t)] or [(0, 0, [])]
+             for t, _ in rows]
     gold = np.array([y for _, y in rows], float)
     chosen = _select([{w for _, _, ws in s for w in ws} for s in texts], gold, max_features)
     number = {f: i for i, f in enumerate(chosen)}
