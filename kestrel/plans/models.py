@@ -101,8 +101,9 @@ def random_search_q(spark, sf):
 def grid_search_cv_q(spark, sf):
     """Forest size grid with 10-fold cross-validation."""
     rows = emb_rows(spark, sf)
-    est = RandomForestClassifier(labelCol="label", featuresCol="features", seed=42)
-    _, res = grid_search_cv(est, {"numTrees": [10, 100, 1000]}, rows, "label", ["features"], folds=10)
+    est = RandomForestClassifier(labelCol="label", featuresCol="features", seed=42, maxDepth=3, maxBins=16)
+    _, res = grid_search_cv(est, {"numTrees": [10, 100, 1000]}, cut_lineage(rows), "label", ["features"], folds=10,
+                            parallelism=8)
     return spark.createDataFrame([(p["numTrees"], m) for p, m in res], "num_trees int, accuracy double")
 
 
