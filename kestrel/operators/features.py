@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordering import global_row_index
 from .reshape import vocabulary
 
@@ -86,11 +87,10 @@ class LabelEncode:
         long = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
         ])).alias("kv")).select("kv.*").filter(F.col("value").isNotNull()).distinct()
-        idx = global_row_index(long, ["column", "value"], "_pos")
-        starts = long.groupBy("column").agg(F.count(F.lit(1)).alias("_n"))
-        starts = starts.select("column", F.coalesce(F.sum("_n").over(
-            Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-        vocab = idx.join(F.broadcast(starts), "column").select(
+        # numbered once; a column's first position comes from the stored numbering itself
+        idx = cut_lineage(global_row_index(long, ["column", "value"], "_pos"))
+        starts = idx.groupBy("column").agg(F.min("_pos").alias("_start"))  # one row per column
+        vocab = idx.join(starts, "column").select(
             "column", "value", (F.col("_pos") - F.col("_start")).cast("int").alias("code"))
         return cls(vocab, list(cols))
 

@@ -99,10 +99,11 @@ def best_f1_threshold(df: DataFrame, label, score, step: float = 0.001, points:
                        .alias("threshold"), F.col("f1").alias("f1"))
 
 
-def mape(df: DataFrame, y, p) -> DataFrame:
-    """Mean absolute percentage error, %, rounded to int; y = 0 rows skipped (M7)."""
+def mape(df: DataFrame, y, p, by: str | None = None) -> DataFrame:
+    """Mean absolute percentage error, %, rounded to int; y = 0 rows skipped (M7). With ``by`` one
+    row per value of that column, in one aggregate."""
     err = F.abs((_c(y) - _c(p)) / F.nullif(_c(y), F.lit(0)))
-    return df.agg(F.round(F.avg(err) * 100).cast("long").alias("mape_pct"), F.avg(err).alias("mape"))
+    return (df.groupBy(by) if by else df).agg(F.round(F.avg(err) * 100).cast("long").alias("mape_pct"), F.avg(err).alias("mape"))
 
 
 def mae_mse(df: DataFrame, y, p) -> DataFrame:
