@@ -4,8 +4,8 @@ A record's block is cut to segments of bounded size: rows (record, segment numbe
 format's own segmentation has it (a first record and ``continuation`` records). Each row
 becomes one WARC record; Spark's text writer puts the record separator between rows, so
 executors stream archives to any store Spark writes to. Readers split archives at record
-starts, so that large archives are read in parallel; a payload that holds the text of a
-record start is segmented inside it. Digests go on chunk by chunk: every segment carries the
+starts, so that large uncompressed archives are read in parallel; a payload that holds the
+text of a record start is segmented inside it. Digests go on chunk by chunk: every segment carries the
 digest of the payload so far, and reading back checks it at every segment.
 """
 
@@ -108,8 +108,11 @@ def _write(limit: int):
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
-                   html_col: str = "html", min_bytes: int = 0, segment_chars: int = SEGMENT_CHARS) -> None:
-    """Write a record per page under ``path``.
+                   html_col: str = "html", min_bytes: int = 0, segment_chars: int = SEGMENT_CHARS,
+                   compression: str = "gzip") -> None:
+    """Write a record per page under ``path``, as files of a task's records each.
+
+    ``compression``: of whole files; "none" gives archives that many tasks can read at once.
 
     Of equal payloads (SHA-256 of the UTF-8 bytes) of at least ``min_bytes`` bytes the smallest
     page id is a response, other ids are revisits of it. Rows that repeat the smallest id are
@@ -129,7 +132,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                          F.when(again, F.lit("")).otherwise(F.col("html")).alias("html"))
     # The name only has to be unique inside this archive; a task's rows are written once.
     ready = ready.withColumn("name", F.concat_ws("/", F.lit(uuid.uuid4().hex), F.monotonically_increasing_id()))
-    ready.mapInArrow(_write(segment_chars), "value string").write.option("lineSep", SEPARATOR).text(path)
+    ready.mapInArrow(_write(segment_chars), "value string").write.option("lineSep", SEPARATOR).text(
+        path, compression=compression)
 
 
 def parse_record(value: bytes) -> tuple[str, dict[str, str], bytes]:
