@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from kestrel.session import scratch_path
 
-from .common import slices, store, text_or_empty
+from .common import blocks_of, slices, store, text_or_empty
 
 #: What separates records, and what starts one. Fixed by the format (and the field order written here).
 SEPARATOR, START = "\r\n\r\n", "WARC/1.0\r\nWARC-Type: "
@@ -109,8 +109,8 @@ def _write(limit: int):
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html", min_bytes: int = 0, segment_chars: int = SEGMENT_CHARS,
-                   compression: str = "gzip") -> None:
-    """Write a record per page under ``path``, as files of a task's records each.
+                   compression: str = "gzip", archive_bytes: int = 32 << 20) -> None:
+    """Write a record per page under ``path``, as files of about ``archive_bytes`` of payloads.
 
     ``compression``: of whole files; "none" gives archives that many tasks can read at once.
 
@@ -130,6 +130,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     ready = named.select("page_id", "url", F.when(again, F.col("first.page_id")).alias("refers_to"),
                          F.when(again, F.col("first.url")).alias("refers_url"), "n", "sha1",
                          F.when(again, F.lit("")).otherwise(F.col("html")).alias("html"))
+    archives = blocks_of(rows.agg(F.sum("n")).first()[0] or 0, archive_bytes)
+    if archives < int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        ready = ready.coalesce(archives)
     # The name only has to be unique inside this archive; a task's rows are written once.
     ready = ready.withColumn("name", F.concat_ws("/", F.lit(uuid.uuid4().hex), F.monotonically_increasing_id()))
     ready.mapInArrow(_write(segment_chars), "value string").write.option("lineSep", SEPARATOR).text(
