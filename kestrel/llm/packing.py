@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import functools
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import blocks_of, discard, slices, store, text_or_empty
 
 #: About the memory that a worker's memo of word ids takes before it starts anew.
-MEMO_BYTES = 120 << 20
+MEMO_BYTES, ENTRY_BYTES = 120 << 20, 160
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = (PIECE_SCHEMA + ", part long, bin int, offset long, fill long, "
@@ -54,6 +56,8 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are packed as the machine's own 32-bit integers, which must be little-endian")
         self.tokenizer = Tokenizer.from_file(vocab)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -66,19 +70,19 @@ class WordEncoder:
         memo, words = self.memo, set()
         for c in cut:
             words.update(c)
-        fresh = words - memo.keys()
-        known = fresh & self.older.keys()
+        fresh = words.difference(memo)
+        known = fresh.intersection(self.older)
         for w in known:
             memo[w] = self.older[w]
         split = {w: stem_of(w) for w in fresh - known}
-        stems = list({p for pair in split.values() for p in pair} - memo.keys())
+        stems = list({p for pair in split.values() for p in pair}.difference(memo))
         if stems:
             coded = self.tokenizer.encode_batch_fast([w.decode() for w in stems], add_special_tokens=False)
             for w, e in zip(stems, coded, strict=True):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
+                memo[w] = array("I", e.ids).tobytes()
         for w, (stem, sign) in split.items():
-            memo[w] = memo[stem] + memo[sign]
-        self.room -= sum(len(memo[w]) + len(w) + 160 for w in {*known, *split, *stems})
+            memo[w] = memo[stem] + memo[sign] if sign else memo[stem]
+        self.room -= sum(map(len, stems)) + ENTRY_BYTES * (len(known) + len(split) + len(stems))
         get = memo.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 

@@ -70,7 +70,7 @@ class Encoder:
 
     def _learn(self, memo: dict[str, int], pieces: set[str], lead: str) -> None:
         """Count the pieces that ``memo`` lacks."""
-        fresh = list(pieces - memo.keys())
+        fresh = list(pieces.difference(memo))
         if fresh:
             self.room -= sum(map(len, fresh)) + 64 * len(fresh)
             for p, e in zip(fresh, self.tokenizer.encode_batch_fast(
