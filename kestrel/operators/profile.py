@@ -145,12 +145,19 @@ def data_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair in one aggregate, long (a, b, corr)."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    rows = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"{a}__{b}").alias("corr"))
-                     for a, b in pairs for x, y in dict.fromkeys([(a, b), (b, a)])])
-    return wide.select(F.explode(rows).alias("s")).select("s.*")
+    """Pearson correlation of every column pair, long (a, b, corr).
+
+    One scan: each row becomes one (a, b, x, y) row per unordered pair, which partial
+    aggregation sums in the same task; one row per pair is shuffled, and mirrored at the end.
+    """
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
+                               F.col(b).cast("double").alias("y"))
+                      for i, a in enumerate(cols) for b in cols[i:]])
+    half = (df.select(F.explode(pairs).alias("p")).select("p.*")
+            .groupBy("a", "b").agg(F.corr("x", "y").alias("corr")))
+    both = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
+                   F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return half.select(F.explode(F.array_distinct(both)).alias("p"), "corr").select("p.*", "corr")
 
 
 def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> DataFrame:
