@@ -23,7 +23,7 @@ from .common import crc_remainder, slices, text_or_empty
 
 #: Labelled documents that the model learns from, features it keeps, words of a sentence (least and
 #: most), words in a worker's memo.
-MAX_LABELLED, MAX_FEATURES, SHORT_WORDS, SENTENCE_WORDS, MEMO_WORDS = 6_000, 50_000, 8, 32, 1_000_000
+MAX_LABELLED, MAX_FEATURES, SHORT_WORDS, SENTENCE_WORDS, MEMO_WORDS = 6_000, 50_000, 8, 32, 400_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
