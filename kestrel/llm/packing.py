@@ -35,12 +35,13 @@ PACKED_SCHEMA = (PIECE_SCHEMA + ", part long, bin int, offset long, fill long, "
 def stem_of(word: bytes) -> tuple[bytes, bytes]:
     """(stem, sign) whose ids, one after the other, are the word's.
 
-    The vocabulary lower-cases, and starts a pre-token at a sign after a letter or digit. A
-    word that may hold a special string is left as it is.
+    The vocabulary composes (NFC), lower-cases, and starts a pre-token at a sign after a letter
+    or digit. A word that may hold a special string is left as it is. Only pure ASCII is
+    lower-cased here: a capital before a combining mark may compose in lower case only.
     """
     if b"<|" in word:
         return word, b""
-    low = word.lower()
+    low = word.lower() if word.isascii() else word
     if low[-1:] in (b",", b".") and low[-2:-1].isalnum():
         return low[:-1], low[-1:]
     return low, b""

@@ -48,6 +48,13 @@ def test_words_give_the_ids_of_the_text():
         np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
 
 
+def test_capitals_that_compose_in_lower_case_only():
+    t, enc = Tokenizer.from_file(VOCAB), encoder(VOCAB)
+    texts = ["H\u0331", "T\u0308 T\u0308, xT\u0308y.", "J\u030c", "W\u030a", "H\u0331amza, MUH\u0331AMMAD. \u00c9T\u00c9, \u00e9A."]
+    assert enc.ids([x.encode() for x in texts]) == [
+        np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
 def test_edges(spark):
     rows = pack_documents(documents(spark, EDGE, ["piece", "part", "bin"]), capacity=128).collect()
     check(rows, EDGE, 128)
