@@ -40,10 +40,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the one at a source's cut if half or more is taken."""
+    """Documents as often as the mix takes them; the one at a source's cut if half or more is taken.
+
+    The mix counts words: a document without any (null, empty or blank text) takes nothing of a
+    source's budget and is kept once.
+    """
     taken = (mix(docs).groupBy(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), "text_hash")
-             .agg((F.sum("taken") / F.sum("size")).alias("epochs")))
-    copies = F.floor(F.coalesce(F.col("epochs"), F.lit(0.0)) + 0.5).cast("int")
+             .agg(F.coalesce(F.try_divide(F.sum("taken"), F.sum("size")), F.lit(1.0)).alias("epochs")))
+    copies = F.floor(F.col("epochs") + 0.5).cast("int")
     columns = docs.columns
     return (docs.join(taken, F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source"))
                       & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("text_hash")))

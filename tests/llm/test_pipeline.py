@@ -4,6 +4,7 @@ import corpus_pipeline as cp
 from kestrel.llm import toxicity
 from kestrel.llm.common import load, store
 
+from .helpers import EDGE, documents
 from .test_exactdup import brute as exact_brute
 from .test_neardup import brute as near_brute
 
@@ -49,3 +50,30 @@ def test_empty_documents(spark):
     for _, stage in cp.STAGES:
         docs = store(stage(spark, docs, SMALL), "t")
     assert docs.count() == 0
+
+
+def test_stages_on_edge_rows(spark):
+    # the model's ids stay those of the table; edge rows get ids beyond them, and one has no source
+    far = [(i if i is None else i + 10**9, t) for i, t in EDGE]
+    far += [(10**9 + 7, "\u00a0 one\ttwo "), (10**9 + 8, "  ", "en", None)]
+    own = documents(spark, far)
+    docs = load(spark, SMALL, "documents").select(*own.columns).unionByName(own)
+    kept = {}
+    for name, stage in cp.STAGES:
+        docs = store(stage(spark, docs, SMALL), "t")
+        kept[name] = [(r.doc_id, r.text if "text" in docs.columns else None) for r in docs.collect()
+                      if r.doc_id is None or r.doc_id > 10**9]
+    blank = lambda rows: Counter((i, t) for i, t in rows if not (t or "").split())
+    pairs = Counter((r[0], r[1]) for r in far)
+    assert Counter(kept["toxicity"]) <= pairs and blank(kept["toxicity"]) == blank(pairs.elements())
+    # equal texts: the largest id (null text is the empty text); blank texts have no words to share
+    want = {r[0] for r in exact_brute(kept["toxicity"]) if r[3]}
+    assert {i for i, _ in kept["exact_dedup"]} == want
+    assert blank(kept["near_dedup"]) == blank(kept["exact_dedup"])
+    assert blank(kept["mix"]) == blank(kept["near_dedup"]) and sum(blank(kept["mix"]).values()) >= 3
+    assert Counter(i for i, _ in kept["packing"])[10**9 + 2] == 1
+
+
+def test_mix_of_wordless_documents_only(spark):
+    docs = documents(spark, [(1, None), (2, ""), (3, " \n\t "), (None, None, "en", None)])
+    assert ids(store(cp.mix_stage(spark, docs, SMALL), "t")) == ids(docs)
