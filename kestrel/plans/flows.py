@@ -93,6 +93,16 @@ def bearing_flow_q(spark, sf):
     return anomaly_flags(res, "residual", F.col("part") == "train").drop("k")
 
 
+def loan_dummies(train, test):
+    """(train, test) with dummies of the text columns, each part fitted on its own and test
+    aligned to train's columns."""
+    cats = ["home_ownership", "purpose_cat"]
+    oh = OneHot.fit(train, cats)
+    cols = ["Id", "is_bad", "emp_length", "annual_inc", "zip3", "delinq_2yrs"] + oh.wide_columns()
+    return (align_columns(oh.transform(train, wide=True), cols),
+            align_columns(OneHot.fit(test, cats).transform(test, wide=True), cols))
+
+
 @query("loan_flow")
 def loan_flow_q(spark, sf):
     """Loan default: typed TSV read with a per-column NULL token and read-time
@@ -122,11 +132,8 @@ def loan_flow_q(spark, sf):
     parts = cut_lineage(date_range_split(lcd, "cr_date", [("train", "1995-01-01", "1999-12-31"),
                                                            ("test", "1999-12-31", "2001-12-31")]))
     train, test = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
-    oh = OneHot.fit(train, ["home_ownership", "purpose_cat"])
-    cols = ["Id", "is_bad", "emp_length", "annual_inc", "zip3", "delinq_2yrs"] + oh.wide_columns()
-    train_d = align_columns(oh.transform(train, wide=True), cols)
-    test_d = align_columns(OneHot.fit(test, ["home_ownership"]).transform(test, wide=True), cols)
-    feats = [c for c in cols if c not in ("Id", "is_bad")]
+    train_d, test_d = loan_dummies(train, test)
+    feats = [c for c in train_d.columns if c not in ("Id", "is_bad")]
     model = fit_gbt(train_d.withColumn("label", F.col("is_bad").cast("double")), "label", feats, maxIter=10, maxDepth=3)
     pred = model.transform(test_d)
     return pred.agg(F.count(F.lit(1)).alias("n_test"),

@@ -12,6 +12,7 @@ from kestrel.operators import ml
 from kestrel.operators.metrics import roc_auc
 from kestrel.operators.timeseries import anomaly_flags
 from kestrel.plans.extra import pitch_flow
+from kestrel.plans.flows import loan_dummies
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +96,16 @@ def test_pitch_flow_names_separable_classes(spark):
     m = metrics.collect()
     assert sorted(r.pitch_type for r in m) == ["class_0", "class_1", "class_2"] and all(r.f1 > 0.95 for r in m)
     assert named.count() == 60 and named.filter("label = predicted").count() >= 58
+
+
+def test_loan_dummies_reach_the_test_rows(spark):
+    schema = ("Id long, is_bad long, emp_length double, home_ownership string, annual_inc double, zip3 int, "
+              "delinq_2yrs double, purpose_cat string")
+    rows = lambda *cats: spark.createDataFrame(
+        [(i, i % 2, 1.0, h, 1.0, 1, 0.0, p) for i, (h, p) in enumerate(cats)], schema)
+    train, test = loan_dummies(rows(("RENT", "car"), ("OWN", "small business"), ("RENT", "other")),
+                               rows(("RENT", "small business"), ("NONE", "car"), ("OWN", "boat")))
+    assert train.columns == test.columns
+    dummies = [c for c in test.columns if c.startswith(("home_", "purpose_"))]
+    held = [{c for c in dummies if r[c] == 1} for r in test.orderBy("Id").collect()]
+    assert held == [{"home_ownership_RENT", "purpose_cat_small business"}, {"purpose_cat_car"}, {"home_ownership_OWN"}]
