@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kestrel.operators import ml
 from kestrel.operators.metrics import roc_auc
 from kestrel.operators.timeseries import anomaly_flags
+from kestrel.plans import models
 from kestrel.plans.extra import pitch_flow
 from kestrel.plans.flows import loan_dummies
 
@@ -109,3 +110,14 @@ def test_loan_dummies_reach_the_test_rows(spark):
     dummies = [c for c in test.columns if c.startswith(("home_", "purpose_"))]
     held = [{c for c in dummies if r[c] == 1} for r in test.orderBy("Id").collect()]
     assert held == [{"home_ownership_RENT", "purpose_cat_small business"}, {"purpose_cat_car"}, {"home_ownership_OWN"}]
+
+
+def test_grid_search_grows_default_trees(spark, monkeypatch):
+    asked = {}
+    def search(est, grid, *args, folds, **kw):
+        asked.update(depth=est.getMaxDepth(), bins=est.getMaxBins(), folds=folds, **grid)
+        return None, []
+    monkeypatch.setattr(models, "grid_search_cv", search)
+    assert models.grid_search_cv_q(spark, "/root/testdata/sf0.001").count() == 0
+    plain = RandomForestClassifier()
+    assert asked == {"depth": plain.getMaxDepth(), "bins": plain.getMaxBins(), "folds": 10, "numTrees": [10, 100, 1000]}
