@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import langid, toxicity
 from .common import load
+from .dialogue import repair_report
 from .exactdup import exact_groups
 from .extract import extract_text
 from .mixing import mix
@@ -168,3 +169,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract_text(load(spark, sf_dir, "pages"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every damaged conversation."""
+    return repair_report(load(spark, sf_dir, "conversations"))
