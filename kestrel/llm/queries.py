@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import langid, toxicity
 from .common import load
@@ -11,7 +12,9 @@ from .exactdup import exact_groups
 from .extract import extract_text
 from .mixing import mix
 from .neardup import near_duplicates
+from .negatives import hard_negatives
 from .packing import pack_documents
+from .quantised import near_vectors
 from .tokens import count_tokens
 from .topk import top_k
 from .warc import round_trip
@@ -175,3 +178,46 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest repair and digest of every damaged conversation."""
     return repair_report(load(spark, sf_dir, "conversations"))
+
+
+@query("op12_embedding_near_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x),
+n AS (SELECT x, count(*) AS n FROM p GROUP BY x)
+SELECT e.vec_id, coalesce(max(n.n), 0) AS n_links, min(r.y) AS component_id, e.vec_id = min(r.y) AS kept
+FROM embeddings e JOIN r ON r.x = e.vec_id LEFT JOIN n ON n.x = e.vec_id GROUP BY e.vec_id
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked at a cosine of 0.95 or more, and their components."""
+    return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
+@query("op13_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+p AS (
+  SELECT a, c AS p, score, row_number() OVER (PARTITION BY a ORDER BY score DESC, c) AS r FROM s WHERE same),
+n AS (
+  SELECT p.a, p.p, s.c, p.score AS ps, s.score AS ns,
+         row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.c) AS r
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score WHERE p.r <= 5)
+SELECT a AS anchor_id, p AS positive_id, CAST(r AS INTEGER) AS rank, c AS negative_id, ps AS positive_score,
+       ns AS negative_score FROM n WHERE r <= 5
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 hardest negatives of each anchor's 5 positives, with some labels wrong by one."""
+    table = load(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table.withColumn("label", label))

@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     con.execute(f"CREATE VIEW o AS {ORACLES[name]}")
     want = con.execute("SELECT * FROM o")
