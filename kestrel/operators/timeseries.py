@@ -3,7 +3,7 @@
 Group-first operators (W1, W2) use partial aggregates (``min_by``), not a window
 partitioned by the group key, so a key holding a third of the rows is combined per
 task. Series operators (W5-W8) run on series that are already aggregated to a time
-grid (one row per series and time step); their windows are partitioned by series.
+grid (one row per series and time step), in chunks with halo rows (``series_chunks``).
 """
 
 from __future__ import annotations
@@ -17,15 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import normal_pdf
 from .ordering import as_cols
-
-# MacKinnon (2010) response-surface coefficients for the Dickey-Fuller
-# test with a constant and one series (1%, 5%, 10%): crit = b0 + b1/n + b2/n^2 + b3/n^3.
-DF_CONSTANT_CRIT = {
-    "1%": (-3.43035, -6.5393, -16.786, -79.433),
-    "5%": (-2.86154, -2.8903, -4.234, -40.040),
-    "10%": (-2.56677, -1.5384, -2.809, 0.0),
-}
-
+from .series_chunks import CHUNK, DF_CONSTANT_CRIT, chunk_window, lagged_products, placed_series, with_halo
 
 def split_first(df: DataFrame, key: str, order: Sequence[str], min_rows: int = 2):
     """First row of each group (target) and the remaining rows (features).
@@ -89,55 +81,46 @@ def normal_pdf_grid(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     return g.select("i", x.alias("x"), normal_pdf(x, "mu", "sigma").alias("pdf"))
 
 
-def indexed_series(df: DataFrame, ts: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Attach a 0-based step index per series (input: one row per series and time)."""
-    w = Window.partitionBy(*keys).orderBy(ts) if keys else Window.orderBy(ts)
-    return df.select(*keys, ts, value, (F.row_number().over(w) - 1).cast("long").alias("idx"))
-
-
-def seasonal_decompose(df: DataFrame, ts: str, value: str, period: int,
-                       keys: Sequence[str] = ()) -> DataFrame:
+def seasonal_decompose(df: DataFrame, ts: str, value: str, period: int, keys: Sequence[str] = (),
+                       chunk: int = CHUNK) -> DataFrame:
     """Additive decomposition (W5): trend = centred moving average (for an even
     period the two end weights are halved), seasonal = mean of the detrended series
     per phase, re-centred to mean 0; resid = value - trend - seasonal. Trend and
-    resid are NULL where the centred window does not fit."""
+    resid are NULL where the centred window does not fit. Windows run per chunk of a
+    series with half a period of halo on both sides."""
     keys = list(keys)
-    s = indexed_series(df, ts, value, keys)
-    w = Window.partitionBy(*keys).orderBy("idx")
     half = period // 2
+    s = with_halo(placed_series(df, ts, value, keys), half, half, chunk)
+    w = chunk_window(keys)
     x = F.col(value)
+    total = F.sum(x).over(w.rowsBetween(-half, half))
     if period % 2 == 0:
-        frame = w.rowsBetween(-half, half)
-        total = F.sum(x).over(frame) - 0.5 * F.lag(x, half).over(w) - 0.5 * F.lead(x, half).over(w)
-    else:
-        frame = w.rowsBetween(-half, half)
-        total = F.sum(x).over(frame)
-    n = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    fits = (F.col("idx") >= half) & (F.col("idx") + half <= n - 1)
-    s = s.withColumn("trend", F.when(fits, total / period))
+        total = total - 0.5 * F.lag(x, half).over(w) - 0.5 * F.lead(x, half).over(w)
+    fits = (F.col("idx") >= half) & (F.col("idx") + half <= F.col("n") - 1)
+    # the halo rows' own windows are cut short; they are dropped here
+    s = s.withColumn("trend", F.when(fits, total / period)).where("own").select(*keys, ts, "idx", value, "trend")
     s = s.withColumn("phase", F.col("idx") % period)
     detr = (x - F.col("trend"))
     phase = s.groupBy(*keys, "phase").agg(F.avg(detr).alias("_pa"))
-    pw = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    phase = phase.select(*keys, "phase", (F.col("_pa") - F.avg("_pa").over(pw)).alias("seasonal"))
-    out = s.join(phase, on=[*keys, "phase"], how="left")
+    pw = Window.partitionBy(*keys)  # one row per phase
+    phase = phase.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("phase").alias("_phase"),
+                         (F.col("_pa") - F.avg("_pa").over(pw)).alias("seasonal"))
+    cond = F.col("phase") == F.col("_phase")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    out = s.join(phase, cond, "left")
     return out.select(*keys, ts, "idx", value, "trend", "seasonal",
                       (x - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
-def acf(df: DataFrame, ts: str, value: str, nlags: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Autocorrelation for lags 0..nlags (W6): sum of lagged products of deviations
-    over the total sum of squares, per series (``keys``). One window per series with a
-    bounded look back of ``nlags`` rows, then one aggregate; no row is multiplied."""
+def acf(df: DataFrame, ts: str, value: str, nlags: int, keys: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
+    """Autocorrelation for lags 0..nlags (W6): sum of lagged products of deviations over
+    the total sum of squares, per series (``keys``). Products are summed per chunk, with
+    ``nlags`` halo rows before it."""
     keys = list(keys)
-    s = indexed_series(df, ts, value, keys)
-    pw = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    s = s.withColumn("dev", F.col(value) - F.avg(value).over(pw))
-    w = pw.orderBy("idx")
-    lagged = s.select(*keys, *[(F.col("dev") * F.lag("dev", k).over(w)).alias(f"p{k}") for k in range(nlags + 1)])
-    sums = lagged.groupBy(*keys).agg(F.array(*[F.sum(f"p{k}") for k in range(nlags + 1)]).alias("_s"))
-    out = sums.select(*keys, "_s", F.posexplode("_s").alias("lag", "num")).where(F.col("num").isNotNull())
-    return out.select(*keys, "lag", (F.col("num") / F.nullif(F.col("_s")[0], F.lit(0.0))).alias("acf"))
+    sums = lagged_products(placed_series(df, ts, value, keys), value, nlags, keys, chunk)
+    zero = Window.partitionBy(*keys).orderBy("lag")  # nlags + 1 rows a series
+    return sums.select(*keys, "lag", (F.col("num") / F.nullif(F.first("num").over(zero), F.lit(0.0))).alias("acf"))
 
 
 def _durbin_levinson(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -178,14 +161,16 @@ def pacf(acf_df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return out.drop("_series") if not keys else out
 
 
-def adf_no_lag(df: DataFrame, ts: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
+def adf_no_lag(df: DataFrame, ts: str, value: str, keys: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
     """Dickey-Fuller test with a constant and no augmentation lags (W8):
     regress dy_t on y_{t-1}; statistic = slope / se(slope), from regression sums in
-    one aggregate; critical values from MacKinnon's response surface at n."""
+    one aggregate; critical values from MacKinnon's response surface at n. With lags:
+    ``series_chunks.augmented_dickey_fuller``."""
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(ts) if keys else Window.orderBy(ts)
-    y = F.col(value)
-    d = df.select(*keys, (y - F.lag(y).over(w)).alias("dy"), F.lag(y).over(w).alias("ylag")).dropna()
+    s = with_halo(placed_series(df, ts, value, keys), 1, 0, chunk)
+    y, before = F.col(value), F.lag(value).over(chunk_window(keys))
+    d = s.select(*keys, "own", (y - before).alias("dy"), before.alias("ylag")).where("own").drop("own").dropna(
+        subset=["dy", "ylag"])
     agg = d.groupBy(*keys).agg(
         F.regr_count("dy", "ylag").alias("n"), F.regr_slope("dy", "ylag").alias("slope"),
         F.regr_sxx("dy", "ylag").alias("sxx"), F.regr_syy("dy", "ylag").alias("syy"),

@@ -16,14 +16,17 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions.numeric import stable_bucket
+from ..operators.boosters import fit_booster
 from ..operators.features import class_weight
 from ..operators.metrics import best_f1_threshold, binary_metrics, compare_scores
-from ..operators.ml import (feature_importance, fit_gbt, fit_history, fit_log_regression, fit_logreg, fit_mlp,
+from ..operators.ml import (assembler, feature_importance, fit_gbt, fit_history, fit_log_regression, fit_logreg, fit_mlp,
                             fit_rf, grid_search_cv, kmeans_assign, linear_contributions, one_vs_rest_models,
                             pca_residual, positive_probability, predict_exp, random_search, stacked_scores)
 from ..operators.project import map_values
 from ..operators.reshape import count_vector, vocabulary
+from ..operators.search import adaptive_search
 from ..operators.timeseries import anomaly_flags, split_first
+from ..operators.trees import explain_trees
 from ..session import cut_lineage, scratch_path, table
 from ..sources.sinks import append_rows
 from .registry import query
@@ -301,3 +304,36 @@ def param_space_sample_q(spark, sf):
     inside = (F.col("regParam").between(1e-4, 1.0) & F.col("elasticNetParam").between(0.0, 1.0)
               & F.col("maxIter").isin(5, 10, 20))
     return out.withColumn("in_bounds", inside)
+
+
+@query("booster_scores")
+def booster_scores_q(spark, sf):
+    """P(quality) of every labelled document from each kind of booster (trees, trees with
+    dropout, linear), fitted through one argument with a validation share that may end the rounds."""
+    rows = class_weight(doc_rows(spark, sf), "label").withColumn("held", stable_bucket("doc_id", 10) < 2)
+    out = rows.select("doc_id", "label", *DOC_FEATURES)
+    for kind, extra in (("gbtree", {"max_depth": 3}), ("dart", {"max_depth": 3, "rate_drop": 0.3, "one_drop": True}),
+                        ("gblinear", {"l2": 0.01})):
+        model = fit_booster(rows, "label", DOC_FEATURES, kind, rounds=6, weight="weight", valid="held", stop_after=3,
+                            **extra)
+        out = model.transform(out).withColumnRenamed("score", f"{kind}_score").drop("margin")
+    return out.drop(*DOC_FEATURES)
+
+
+@query("adaptive_search")
+def adaptive_search_q(spark, sf):
+    """Trials proposed from earlier ones over booster kind, depth, rounds and learning rate, stopped
+    at rungs by their validation loss; one row per trial."""
+    rows = doc_rows(spark, sf).withColumn("held", stable_bucket("doc_id", 10) < 2)
+    space = {"booster": ("choice", ["gbtree", "gblinear", "dart"]), "max_depth": ("int", 2, 4),
+             "rounds": ("int", 4, 8), "eta": ("float", 0.1, 0.6)}
+    return adaptive_search(rows, "label", DOC_FEATURES, space, 6, "held", rungs=(1, 3), seed=5).table(spark)
+
+
+@query("tree_contrib")
+def tree_contrib_q(spark, sf):
+    """Per-row attributions of a boosted tree model; base + their sum is the row's margin."""
+    rows = doc_rows(spark, sf)
+    model = fit_gbt(rows, "label", DOC_FEATURES, maxIter=8, maxDepth=4)
+    vec = assembler(DOC_FEATURES).transform(rows)
+    return explain_trees(model.stages[-1], vec).select("doc_id", "contrib", "base", F.col("output").alias("margin"))

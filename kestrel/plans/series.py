@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import array_scale, center_fit, mean_abs_diff
 from ..functions.dates import parse_file_time, trunc_ntz
 from ..operators.ordering import row_index
+from ..operators.series_chunks import augmented_dickey_fuller
 from ..operators.timeseries import (acf, adf_no_lag, anomaly_flags, class_share_by, first_valid, normal_pdf_grid,
                                     pacf, sd_class, seasonal_decompose, split_first)
 from ..session import table
@@ -109,11 +110,26 @@ def acf_q(spark, sf):
     return out.select("event_type", F.col("lag").cast("long").alias("lag"), F.round("acf", 6).alias("acf"))
 
 
-@query("pacf")
+@query("pacf", f"""
+WITH RECURSIVE i AS (SELECT event_type, row_number() OVER ({_SERIES} hour) - 1 AS idx,
+                  v - avg(v) OVER (PARTITION BY event_type) AS dev FROM {_HOURLY_SQL}),
+l AS (SELECT a.event_type, g.lag, a.dev * b.dev AS p FROM i a CROSS JOIN generate_series(0, {NLAGS}) g(lag)
+      JOIN i b ON b.idx = a.idx + g.lag AND a.event_type = b.event_type),
+d AS (SELECT event_type, sum(dev * dev) AS den FROM i GROUP BY 1),
+c AS (SELECT l.event_type, l.lag, sum(l.p) / any_value(d.den) AS acf FROM l JOIN d USING (event_type) GROUP BY 1, 2),
+r AS (SELECT event_type, list(acf ORDER BY lag) AS r FROM c GROUP BY 1),
+dl AS (
+  SELECT event_type, r, 1 AS k, r[2] AS a, [r[2]] AS phi, 1 - r[2] * r[2] AS v FROM r WHERE len(r) > 1
+  UNION ALL
+  SELECT event_type, r, k + 1, b, list_append(list_transform(phi, lambda x, j: x - b * phi[k + 1 - j]), b), v * (1 - b * b)
+  FROM (SELECT *, (r[k + 2] - list_sum(list_transform(phi, lambda x, j: x * r[k + 2 - j]))) / v AS b FROM dl
+        WHERE k < len(r) - 1))
+SELECT event_type, CAST(k AS BIGINT) AS lag, round(a, 6) AS pacf FROM dl
+UNION ALL SELECT event_type, 0, 1.0 FROM r""")
 def pacf_q(spark, sf):
-    """Partial autocorrelation per event type (Durbin-Levinson over the acf); its
-    values are tested against least squares on a small series."""
-    return pacf(acf(hourly_signal(spark, sf), "hour", "v", NLAGS, keys=["event_type"]), keys=["event_type"])
+    """Partial autocorrelation per event type (Durbin-Levinson over the acf)."""
+    out = pacf(acf(hourly_signal(spark, sf), "hour", "v", NLAGS, keys=["event_type"]), keys=["event_type"])
+    return out.select("event_type", "lag", F.round("pacf", 6).alias("pacf"))
 
 
 @query("adf_stat", f"""
@@ -132,6 +148,50 @@ def adf_stat_q(spark, sf):
     return out.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("adf_stat", "crit_1", "crit_5", "crit_10")])
 
 
+@query("adf_lags")
+def adf_lags_q(spark, sf):
+    """Augmented Dickey-Fuller test per event type, lag order by AIC; its values are tested against
+    least squares on small series."""
+    return augmented_dickey_fuller(hourly_signal(spark, sf), "hour", "v", keys=["event_type"])
+
+
+def event_series(spark, sf):
+    """All events as one long series, one step an event."""
+    ev = table(spark, sf, "events")
+    return ev.select(F.struct("ts", "event_id").alias("step"), "event_id", "value")
+
+
+_EVENT_STEPS = """(SELECT event_id, value AS v, row_number() OVER (ORDER BY ts, event_id) - 1 AS idx, count(*) OVER () AS n,
+                   value - avg(value) OVER () AS dev FROM events)"""
+_LONG_CHUNK, _LONG_LAGS = 512, 40
+
+
+@query("long_series_decompose", f"""
+WITH t AS (SELECT idx, v, CASE WHEN idx >= 50 AND idx + 50 <= n - 1 THEN
+        (sum(v) OVER (ORDER BY idx ROWS BETWEEN 50 PRECEDING AND 50 FOLLOWING)
+         - 0.5 * lag(v, 50) OVER (ORDER BY idx) - 0.5 * lead(v, 50) OVER (ORDER BY idx)) / 100 END AS trend
+      FROM {_EVENT_STEPS}),
+p AS (SELECT idx % 100 AS phase, avg(v - trend) AS pa FROM t GROUP BY 1),
+pc AS (SELECT phase, pa - avg(pa) OVER () AS seasonal FROM p)
+SELECT t.idx, round(t.trend, 6) AS trend, round(pc.seasonal, 6) AS seasonal, round(t.v - t.trend - pc.seasonal, 6) AS resid
+FROM t JOIN pc ON t.idx % 100 = pc.phase""")
+def long_series_decompose_q(spark, sf):
+    """One series without a key, period 100, spread over chunks with halo rows."""
+    out = seasonal_decompose(event_series(spark, sf), "step", "value", 100, chunk=_LONG_CHUNK)
+    return out.select("idx", *[F.round(c, 6).alias(c) for c in ("trend", "seasonal", "resid")])
+
+
+@query("long_series_acf", f"""
+WITH i AS (SELECT idx, dev FROM {_EVENT_STEPS}),
+l AS (SELECT idx, unnest([{", ".join(f"dev * lag(dev, {k}) OVER (ORDER BY idx)" for k in range(_LONG_LAGS + 1))}]) AS p,
+             unnest(range({_LONG_LAGS + 1})) AS lag FROM i)
+SELECT lag, round(sum(p) / (SELECT sum(dev * dev) FROM i), 9) AS acf FROM l GROUP BY lag""")
+def long_series_acf_q(spark, sf):
+    """Autocorrelation of one series without a key, spread over chunks with halo rows."""
+    out = acf(event_series(spark, sf), "step", "value", _LONG_LAGS, chunk=_LONG_CHUNK)
+    return out.select(F.col("lag").cast("long").alias("lag"), F.round("acf", 9).alias("acf"))
+
+
 @query("sd_class", """
 WITH s AS (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS sd FROM orders)
 SELECT o_orderkey, CASE WHEN o_totalprice > m + 3 * sd THEN 'Very Large'
