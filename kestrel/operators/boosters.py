@@ -194,6 +194,7 @@ class Boosting:
         train = rows.where("not held and w > 0").select(
             array_to_vector("x").alias("features"), "x", (-g / h).alias("target"), (F.col("w") * h).alias("h"),
             (F.col("w") * g).alias("g"))
+        train = train.persist()  # each level of the tree reads it
         fitted = DecisionTreeRegressor(featuresCol="features", labelCol="target", weightCol="h", maxDepth=self.max_depth,
                                        maxBins=self.max_bins, seed=self.seed).fit(train.select("features", "target", "h"))
         tree = grown_tree(fitted)
@@ -205,6 +206,7 @@ class Boosting:
 
         sums = train.groupBy(leaf("x").alias("leaf")).agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
         sums = sums.collect()  # one row a leaf
+        train.unpersist()
         for r in sums:
             tree.value[r["leaf"]] = -r["g"] / (r["h"] + self.l2)
         set_covers(tree, {r["leaf"]: r["h"] for r in sums})
