@@ -41,7 +41,7 @@ SAMPLE_ROWS, SAMPLE_BYTES, DIRECTIONS, ROUNDS = 4096, 32 << 20, 256, 30
 #: Average rows of a bucket; share of made pairs that has to be found; most rotations tried for it.
 BUCKET, RECALL, ROTATIONS = 64, 0.997, 64
 #: Rows of a bucket or group compared in one task at most; rows of a hot bucket's block.
-LIMIT, BLOCK = 2048, 1024
+LIMIT, BLOCK = 512, 512
 
 
 class Index(NamedTuple):
