@@ -8,12 +8,14 @@ that would gather a whole column into one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .aggregate import unpivot_wide
 from .ordering import global_running_sum
 from .project import select_by_type
@@ -64,10 +66,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) ->
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
-             accuracy: int = 10_000) -> DataFrame:
+             accuracy: int = 10_000, counts: DataFrame | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column (E2), one
     row per column. ``exact=False`` takes the quartiles from ``percentile_approx`` in
-    the same aggregate (rank error <= n / accuracy), avoiding the global sort."""
+    the same aggregate (rank error <= n / accuracy), avoiding the global sort. ``counts``:
+    stored ``value_counts_long`` of these columns, when the caller has them."""
     cols = list(cols or select_by_type(df, ["numeric"]))
     long = long_values(df, cols)
     stats = [F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -78,7 +81,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
         return out.select("column", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
                           F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
     base = long.groupBy("column").agg(*stats)
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])  # the second scan counts values
+    if counts is None:
+        counts = value_counts_long(df, cols)  # a second scan
+    q = quantiles_of_counts(counts, [0.25, 0.5, 0.75])
     qw = q.groupBy("column").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
     qw = qw.toDF("column", "p25", "p50", "p75")
     return base.join(qw, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -110,54 +115,96 @@ def column_summary(df: DataFrame) -> DataFrame:
     return r.select(F.explode(rows).alias("s")).select("s.*").orderBy(F.desc("missing_pct"), "column")
 
 
+def text_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(column, value, n) of every column as text, NULLs dropped: one scan, one row per distinct value."""
+    kinds = dict(df.dtypes)
+
+    def text(c: str):  # -0.0 is the number 0.0
+        return (F.col(c) + F.lit(0.0) if kinds[c] in ("double", "float") else F.col(c)).cast("string")
+
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("value"))
+                                         for c in cols or df.columns])).alias("kv")).select("kv.*")
+    return long.where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def profile_report(df: DataFrame, top: int = 5) -> DataFrame:
     """Full profile in the minimal form (E16): per column its type, distinct count, missing %,
     the numeric statistics of E2 (NULL for other types) and the ``top`` most frequent values.
 
-    Each column's top values are a count with partial aggregation and a bounded sort.
+    All columns are counted in one scan; distinct counts, missing % and top values come from these
+    counts (a rank of at most ``top`` rows a column, limited before the shuffle).
     """
     numeric = select_by_type(df, ["numeric"])
-    best = None
-    for c in df.columns:
-        n = (df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value"))
-             .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(top)
-             .select(F.lit(c).alias("column"), "value", "n"))
-        best = n if best is None else best.unionByName(n)
-    order = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "value", "n")))  # ``top`` rows a column
+    types = df.sparkSession.createDataFrame([(i, c, t) for i, (c, t) in enumerate(df.dtypes)],
+                                            "_i int, column string, dtype string")
+    total = df.count()
+    counts = cut_lineage(text_counts(df))
+    rank = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    best = counts.withColumn("_r", rank).where(F.col("_r") <= top)
+    order = F.sort_array(F.collect_list(F.struct("_r", "value", "n")))  # ``top`` rows a column
     tops = best.groupBy("column").agg(F.transform(order, lambda x: F.struct(x["value"], x["n"])).alias("top_values"))
-    return (column_summary(df).join(describe(df, numeric), "column", "left").join(tops, "column", "left"))
+    whole = counts.groupBy("column").agg(F.count(F.lit(1)).alias("unique"), F.sum("n").alias("_n"))
+    missing = F.try_divide((F.lit(total) - F.coalesce("_n", F.lit(0))) * 100.0, F.lit(total))
+    rows = types.join(whole, "column", "left").select("column", F.coalesce("unique", F.lit(0)).alias("unique"), "dtype",
+                                                      missing.alias("missing_pct"))
+    return rows.join(describe(df, numeric), "column", "left").join(tops, "column", "left")
 
 
 def data_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """E2 statistics plus NULL, zero and distinct counts per numeric column (E5)."""
+    """E2 statistics plus NULL, zero and distinct counts per numeric column (E5).
+
+    The value counts that give the quartiles also give the distinct counts.
+    """
     cols = list(cols or select_by_type(df, ["numeric"]))
+    counts = cut_lineage(value_counts_long(df, cols))
     aggs = []
     for c in cols:
-        aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"{c}__nulls"),
-                 F.sum((F.col(c) == 0).cast("long")).alias(f"{c}__zeros"),
-                 F.countDistinct(c).alias(f"{c}__unique")]
+        aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}__nulls"),
+                 F.count(F.when(F.col(c) == 0, 1)).alias(f"{c}__zeros")]
     extra = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__nulls").alias("nulls"),
-                              F.col(f"{c}__zeros").alias("zeros"), F.col(f"{c}__unique").alias("unique"))
-                     for c in cols])
+                              F.col(f"{c}__zeros").alias("zeros")) for c in cols])
     extra = extra.select(F.explode(rows).alias("s")).select("s.*")
-    return describe(df, cols).join(extra, "column")
+    unique = counts.groupBy("column").agg(F.count(F.lit(1)).alias("unique"))
+    return (describe(df, cols, counts=counts).join(extra, "column").join(unique, "column"))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, long (a, b, corr).
 
-    One scan: each row becomes one (a, b, x, y) row per unordered pair, which partial
-    aggregation sums in the same task; one row per pair is shuffled, and mirrored at the end.
+    One scan: each task multiplies its batches to matrices of pairwise sums (counts, sums, squares and
+    products over the rows that have both values) around the column means, and one set of sums a
+    task is added up. NULL and NaN are missing; a column without variance has a NaN correlation.
     """
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"),
-                               F.col(b).cast("double").alias("y"))
-                      for i, a in enumerate(cols) for b in cols[i:]])
-    half = (df.select(F.explode(pairs).alias("p")).select("p.*")
-            .groupBy("a", "b").agg(F.corr("x", "y").alias("corr")))
-    both = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
-                   F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    return half.select(F.explode(F.array_distinct(both)).alias("p"), "corr").select("p.*", "corr")
+    cols, d = list(cols), len(cols)
+    x = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]
+    values = df.select(*x)
+    means = values.agg(*[F.avg(f"c{i}") for i in range(d)]).first()  # one row
+    shift = np.array([0.0 if m is None else m for m in means])
+
+    def sums(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        total = np.zeros((4, d, d))
+        for b in batches:
+            m = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
+            has = ~np.isnan(m)
+            m = np.where(has, m - shift, 0.0)
+            has = has.astype(float)
+            total += np.stack([has.T @ has, m.T @ has, (m * m).T @ has, m.T @ m])
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], ["s"])
+
+    parts = values.mapInArrow(sums, "s array<double>").select(F.posexplode("s").alias("i", "v"))
+    found = np.zeros(4 * d * d)
+    for r in parts.groupBy("i").agg(F.sum("v").alias("v")).collect():  # bounded by the number of columns
+        found[r["i"]] = r["v"]
+    n, s, q, p = found.reshape(4, d, d)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        spread = q - s * s / n
+        spread[spread <= n * (1e-12 * np.abs(shift)[:, None]) ** 2] = np.nan
+        corr = np.where(n > 1, (p - s * s.T / n) / np.sqrt(spread * spread.T), np.nan)
+    rows = [(a, b, None if n[i, j] < 2 else float(corr[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
 
 
 def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> DataFrame:

@@ -185,20 +185,25 @@ def length_by_class_q(spark, sf):
                                     F.max("len").alias("max_len"), F.round(F.avg("len"), 9).alias("mean_len"))
 
 
-@query("compare_splits", """
-WITH a AS (SELECT count(*) AS count_train, avg(o_totalprice) AS mean_train, stddev_samp(o_totalprice) AS std_train
-           FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
-b AS (SELECT count(*) AS count_test, avg(o_totalprice) AS mean_test, stddev_samp(o_totalprice) AS std_test
-      FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')
-SELECT 'o_totalprice' AS column, count_train, round(mean_train, 9) AS mean_train, round(std_train, 6) AS std_train,
+_ORDER_NUMBERS = ["o_orderkey", "o_custkey", "o_totalprice"]  # every number of orders
+
+
+def _moments_sql(c: str, part: str, cond: str) -> str:
+    return (f"(SELECT count({c}) AS count_{part}, avg({c}) AS mean_{part}, stddev_samp({c}) AS std_{part} FROM orders "
+            f"WHERE o_orderdate {cond} TIMESTAMP '1999-01-01')")
+
+
+@query("compare_splits", " UNION ALL ".join(f"""
+SELECT '{c}' AS column, count_train, round(mean_train, 9) AS mean_train, round(std_train, 6) AS std_train,
        count_test, round(mean_test, 9) AS mean_test, round(std_test, 6) AS std_test,
-       round(mean_test - mean_train, 9) AS mean_diff FROM a, b""")
+       round(mean_test - mean_train, 9) AS mean_diff FROM {_moments_sql(c, "train", "<")}, {_moments_sql(c, "test", ">=")}"""
+                                               for c in _ORDER_NUMBERS))
 def compare_splits_q(spark, sf):
-    """Train vs test drift table."""
+    """Train vs test drift table of every number of orders."""
     o = table(spark, sf, "orders")
     cut = F.lit("1999-01-01").cast("timestamp_ntz")
     return _round_all(compare_splits(o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut),
-                                     ["o_totalprice"]), nine=("mean_train", "mean_test", "mean_diff"))
+                                     _ORDER_NUMBERS), nine=("mean_train", "mean_test", "mean_diff"))
 
 
 # ---------------------------------------------------------------- metrics

@@ -20,7 +20,9 @@ from ..sources.sinks import append_rows
 from .models import METRIC_SCHEMA, emb_rows
 from .registry import query
 
-_CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_CUSTOMER = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string",
+             "c_acctbal": "double"}
+_NUMBERS = ("c_custkey", "c_nationkey", "c_acctbal")
 
 
 def _top_sql(column: str, top: int = 3) -> str:
@@ -28,20 +30,29 @@ def _top_sql(column: str, top: int = 3) -> str:
             f"count(*) AS n FROM customer WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT {top}))")
 
 
-@query("profile_report", "SELECT c, u AS unique, m AS missing_pct, round(mean, 6) AS mean, round(p50, 6) AS p50, "
-       "list_transform(t, lambda x: x.value) AS top_values, list_transform(t, lambda x: x.n) AS top_counts FROM (" + " UNION ALL ".join(
-           f"SELECT '{c}' AS c, (SELECT count(DISTINCT {c}) FROM customer) AS u, "
-           f"(SELECT count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) FROM customer) AS m, "
-           + (f"(SELECT avg({c}) FROM customer) AS mean, (SELECT quantile_cont({c}, 0.5) FROM customer) AS p50, "
-              if c in ("c_custkey", "c_nationkey") else "NULL::DOUBLE AS mean, NULL::DOUBLE AS p50, ")
-           + f"{_top_sql(c)} AS t" for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")) + ")")
+def _stats_sql(c: str) -> str:
+    if c not in _NUMBERS:
+        return "NULL::BIGINT AS count, " + ", ".join(f"NULL::DOUBLE AS {x}" for x in ("mean", "std", "min", "p25", "p50", "p75",
+                                                                                     "max"))
+    parts = [("mean", f"avg({c})", 6), ("std", f"stddev_samp({c})", 6), ("min", f"min({c})", 6),
+             ("p25", f"quantile_cont({c}, 0.25)", 6), ("p50", f"quantile_cont({c}, 0.5)", 6),
+             ("p75", f"quantile_cont({c}, 0.75)", 6), ("max", f"max({c})", 6)]
+    return f"(SELECT count({c}) FROM customer) AS count, " + ", ".join(
+        f"(SELECT round(CAST({x} AS DOUBLE), {d}) FROM customer) AS {n}" for n, x, d in parts)
+
+
+@query("profile_report", "SELECT * EXCLUDE (t), list_transform(t, lambda x: x.value) AS top_values, "
+       "list_transform(t, lambda x: x.n) AS top_counts FROM (" + " UNION ALL ".join(
+           f"SELECT '{c}' AS c, '{k}' AS dtype, (SELECT count(DISTINCT {c}) FROM customer) AS unique, "
+           f"(SELECT count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) FROM customer) AS missing_pct, "
+           f"{_stats_sql(c)}, {_top_sql(c)} AS t" for c, k in _CUSTOMER.items()) + ")")
 def profile_report_q(spark, sf):
-    """Type, distinct count, missing %, statistics and the three most frequent values of
+    """Type, distinct count, missing %, all statistics and the three most frequent values of
     each column."""
-    cust = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    out = profile_report(cust, top=3)
-    return out.select(F.col("column").alias("c"), "unique", "missing_pct", F.round("mean", 6).alias("mean"),
-                      F.round("p50", 6).alias("p50"), F.transform("top_values", lambda x: x["value"]).alias("top_values"),
+    out = profile_report(table(spark, sf, "customer").select(*_CUSTOMER), top=3)
+    stats = [F.round(c, 6).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+    return out.select(F.col("column").alias("c"), "dtype", "unique", "missing_pct", "count", *stats,
+                      F.transform("top_values", lambda x: x["value"]).alias("top_values"),
                       F.transform("top_values", lambda x: x["n"]).alias("top_counts"))
 
 

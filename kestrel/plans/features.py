@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators.features import (WORK_HOUR_EDGES, LabelEncode, MinMax, OneHot, RightClosedBins, Standardize,
                                   class_weight, feature_array)
+from ..operators.fitstate import FitState, partial_fit
 from ..operators.reshape import align_columns, count_vector, vocabulary
-from ..session import table
+from ..session import scratch_path, table
 from .registry import query
 
 _TRAIN_LI = "l_shipdate < TIMESTAMP '2000-01-01'"
@@ -149,3 +150,35 @@ def class_weight_q(spark, sf):
     """Per-row class weight from the majority : minority ratio."""
     lab = table(spark, sf, "labels").select("doc_id", "quality")
     return class_weight(lab, "quality")
+
+
+_CHUNK_COLS = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("incremental_fit", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS missing, CAST(min({c}) AS DOUBLE) AS low,
+       CAST(max({c}) AS DOUBLE) AS high, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 6) AS std FROM lineitem"""
+                                               for c in _CHUNK_COLS))
+def incremental_fit_q(spark, sf):
+    """A stored fit grown chunk by chunk (one chunk per ship year) without reading old rows
+    again; its counts, extremes and moments are those of the whole table."""
+    li = table(spark, sf, "lineitem").select(*_CHUNK_COLS, F.year("l_shipdate").alias("year"))
+    path = scratch_path(spark, "fit-state")
+    for (year,) in li.select("year").distinct().orderBy("year").collect():  # a handful of ship years
+        partial_fit(path, li.where(F.col("year").eqNullSafe(F.lit(year))), _CHUNK_COLS, str(year))
+    out = FitState.load(spark, path).summary(quantiles=())
+    return out.select("column", "n", "missing", "low", "high", F.round("mean", 9).alias("mean"),
+                      F.round("std", 6).alias("std"))
+
+
+@query("incremental_scale", f"""
+WITH s AS (SELECT min(l_quantity) AS qmin, max(l_quantity) AS qmax, min(l_extendedprice) AS pmin,
+                  max(l_extendedprice) AS pmax FROM lineitem WHERE {_TRAIN_LI})
+SELECT l_orderkey, l_linenumber, (l_quantity - qmin) / (qmax - qmin) AS l_quantity,
+       (l_extendedprice - pmin) / (pmax - pmin) AS l_extendedprice FROM lineitem, s""")
+def incremental_scale_q(spark, sf):
+    """Min-max scaling made from the merged states of three parts of the train period."""
+    li = table(spark, sf, "lineitem")
+    train, cols = _train_li(li), ["l_quantity", "l_extendedprice"]
+    parts = [FitState.of(train.where(F.col("l_orderkey") % 3 == k), cols) for k in range(3)]
+    return parts[0].merge(*parts[1:]).min_max().transform(li.select("l_orderkey", "l_linenumber", *cols))

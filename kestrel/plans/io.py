@@ -14,35 +14,37 @@ from ..functions.numeric import stable_bucket
 from ..functions.strings import json_field
 from ..operators.project import drop_header_rows
 from ..session import scratch_path, table
-from ..sources.files import read_delimited, read_json_lines, read_with_filename
+from ..sources.files import read_checked, read_delimited, read_json_lines, read_with_filename
+from ..sources.images import plain_ppm, read_images
 from ..sources.sinks import append_rows, write_delimited, write_json, write_parquet
 from ..sources.spine import calendar_spine, date_bounds
+from ..sources.tables import html_tables
 from ..sources.text import GAME_LINK_PATTERN, game_ids, html_links, html_table_rows, kv_map, record_lines
 from .registry import query
 from .relational import md5_bucket_sql
 
-NATION_SCHEMA = "n_nationkey int, n_name string, n_regionkey int"
+CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
 
-@query("src_csv_roundtrip", "SELECT * FROM nation")
+@query("src_csv_roundtrip", "SELECT * FROM customer")
 def src_csv_roundtrip_q(spark, sf):
     """CSV with header written and read back with a declared schema."""
-    path = scratch_path(spark, "nation-csv")
-    write_delimited(table(spark, sf, "nation"), path)
-    return read_delimited(spark, path, NATION_SCHEMA)
+    path = scratch_path(spark, "customer-csv")
+    write_delimited(table(spark, sf, "customer"), path)
+    return read_delimited(spark, path, CUSTOMER_SCHEMA)
 
 
-@query("src_csv_skip_lines", "SELECT * FROM region")
+@query("src_csv_skip_lines", "SELECT c_custkey, c_name FROM customer")
 def src_csv_skip_lines_q(spark, sf):
     """Headerless read with given names, dropping the header line and a known
     junk line wherever they sit in the shards."""
-    path = scratch_path(spark, "region-junk")
-    reg = table(spark, sf, "region")
-    text = reg.select(F.col("r_regionkey").cast("string").alias("a"), F.col("r_name").alias("b"))
-    junk = reg.limit(1).select(F.lit("|1x3 Cross validator").alias("a"), F.lit(None).cast("string").alias("b"))
-    head = reg.limit(1).select(F.lit("r_regionkey").alias("a"), F.lit("r_name").alias("b"))
+    path = scratch_path(spark, "customer-junk")
+    c = table(spark, sf, "customer")
+    text = c.select(F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"))
+    junk = c.limit(1).select(F.lit("|1x3 Cross validator").alias("a"), F.lit(None).cast("string").alias("b"))
+    head = c.limit(1).select(F.lit("c_custkey").alias("a"), F.lit("c_name").alias("b"))
     write_delimited(head.unionByName(junk).unionByName(text), path, header=False)
-    return read_delimited(spark, path, "r_regionkey int, r_name string", header=False, drop_repeated_headers=True,
+    return read_delimited(spark, path, "c_custkey bigint, c_name string", header=False, drop_repeated_headers=True,
                           junk_lines=["|1x3 Cross validator"])
 
 
@@ -59,25 +61,56 @@ def src_tsv_typed_q(spark, sf):
                           sep="\t", null_tokens={"s_acctbal": "na"})
 
 
-@query("src_csv_trim", "SELECT * FROM nation")
+@query("src_csv_rejects", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 50 IN (1, 2) THEN NULL WHEN o_orderkey % 50 = 3 THEN 'o_totalprice'
+         WHEN o_orderkey % 50 = 4 THEN 'o_orderdate' END AS "column",
+       CASE WHEN o_orderkey % 50 IN (1, 2) THEN 'not 4 fields' WHEN o_orderkey % 50 = 3 THEN 'not double'
+            WHEN o_orderkey % 50 = 4 THEN 'not date' END AS reason,
+       CASE WHEN o_orderkey % 50 NOT IN (1, 2, 3, 4, 5) THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 50 NOT IN (1, 2, 3, 4) THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN o_orderkey % 50 NOT IN (1, 2, 3, 4) THEN CAST(o_orderdate AS DATE) END AS o_orderdate FROM orders""")
+def src_csv_rejects_q(spark, sf):
+    """Orders written as lines of which some are too long, too short or hold a value of another
+    type; every line comes back as a typed row or as a reject with its column and reason."""
+    path = scratch_path(spark, "orders-dirty")
+    o = table(spark, sf, "orders")
+    kind = F.col("o_orderkey") % 50
+    price = F.when(kind == 3, F.lit("1O.5")).when(kind == 5, F.lit("na")).otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(kind == 4, F.lit("1998-02-31")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    fields = F.array(F.col("o_orderkey").cast("string"), price, F.col("o_orderpriority"), day)
+    fields = F.when(kind == 1, F.concat(fields, F.array(F.lit("more")))).when(kind == 2, F.slice(fields, 1, 2)).otherwise(fields)
+    o.select(F.array_join(fields, "|").alias("value")).write.text(path)
+    got = read_checked(spark, path, "o_orderkey bigint, o_totalprice double, o_orderpriority string, o_orderdate date",
+                       sep="|", null_tokens={"o_totalprice": "na"})
+    none = F.lit(None)
+    good = got.rows.select("o_orderkey", none.cast("string").alias("column"), none.cast("string").alias("reason"),
+                           "o_totalprice", "o_orderpriority", "o_orderdate")
+    bad = got.rejects.select(F.substring_index("line", "|", 1).cast("bigint").alias("o_orderkey"), "column", "reason",
+                             none.cast("double").alias("o_totalprice"), none.cast("string").alias("o_orderpriority"),
+                             none.cast("date").alias("o_orderdate"))
+    return good.unionByName(bad)
+
+
+@query("src_csv_trim", "SELECT * FROM customer")
 def src_csv_trim_q(spark, sf):
     """Leading blanks trimmed at read time."""
-    path = scratch_path(spark, "nation-blanks")
-    n = table(spark, sf, "nation")
-    raw = n.select(F.concat(F.lit(" "), F.col("n_nationkey").cast("string")).alias("n_nationkey"),
-                   F.concat(F.lit("  "), F.col("n_name")).alias("n_name"),
-                   F.concat(F.lit(" "), F.col("n_regionkey").cast("string")).alias("n_regionkey"))
+    path = scratch_path(spark, "customer-blanks")
+    c = table(spark, sf, "customer")
+    raw = c.select(*[F.concat(F.lit(" " * (1 + i % 2)), F.col(n).cast("string")).alias(n) for i, n in enumerate(c.columns)])
     write_delimited(raw, path)
-    return read_delimited(spark, path, NATION_SCHEMA, trim=True)
+    return read_delimited(spark, path, CUSTOMER_SCHEMA, trim=True)
 
 
-@query("drop_header_rows", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+@query("drop_header_rows", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer""")
 def drop_header_rows_q(spark, sf):
     """P10: shards concatenated with their header lines, read as text; rows equal to
     their own column names are dropped."""
-    path = scratch_path(spark, "nation-shards")
-    write_delimited(table(spark, sf, "nation").repartition(3), path, header=True)
-    raw = spark.read.schema("n_nationkey string, n_name string, n_regionkey string").option("header", False).csv(path)
+    path = scratch_path(spark, "customer-shards")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    write_delimited(c.repartition(3), path, header=True)
+    raw = spark.read.schema("c_custkey string, c_name string, c_nationkey string, c_mktsegment string").option(
+        "header", False).csv(path)
     return drop_header_rows(raw)
 
 
@@ -87,12 +120,12 @@ def scan_all_q(spark, sf):
     return table(spark, sf, "orders")
 
 
-@query("scan_glob", "SELECT * FROM nation")
+@query("scan_glob", "SELECT * FROM customer")
 def scan_glob_q(spark, sf):
     """A sharded table read back through a file-name glob."""
-    path = scratch_path(spark, "nation-sharded")
-    write_delimited(table(spark, sf, "nation").repartition(4), path)
-    return read_delimited(spark, path, NATION_SCHEMA, glob="part-*.csv")
+    path = scratch_path(spark, "customer-sharded")
+    write_delimited(table(spark, sf, "customer").repartition(4), path)
+    return read_delimited(spark, path, CUSTOMER_SCHEMA, glob="part-*.csv")
 
 
 @query("scan_with_filename", """
@@ -205,6 +238,59 @@ def html_table_rows_q(spark, sf):
     return html_table_rows(o.select("o_orderkey", html.alias("html")), "html", keep=["o_orderkey"])
 
 
+_GRID_SQL = """
+WITH p AS (SELECT o.o_custkey, o.o_orderkey, o.o_orderstatus, o.o_orderpriority,
+                  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i,
+                  count(*) OVER (PARTITION BY o_custkey) AS n FROM orders o),
+c AS (SELECT *, CAST(0 AS INTEGER) AS "table" FROM p)
+SELECT o_custkey, "table", CAST(i AS BIGINT) AS row, CAST(0 AS INTEGER) AS position, 'customer' AS "column",
+       CAST(o_custkey AS VARCHAR) AS value FROM c
+UNION ALL SELECT o_custkey, "table", i, 1, 'order & state', '<' || CAST(o_orderkey AS VARCHAR) || '>' FROM c
+UNION ALL SELECT o_custkey, "table", i, 2, 'order & state', o_orderstatus FROM c
+UNION ALL SELECT o_custkey, "table", i, 3, 'note', o_orderpriority || ' 1 2' FROM c
+UNION ALL SELECT o_custkey, "table", n, g, CASE g WHEN 0 THEN 'customer' WHEN 3 THEN 'note' ELSE 'order & state' END,
+                 'orders: ' || CAST(n AS VARCHAR) FROM (SELECT DISTINCT o_custkey, "table", n FROM c),
+                 (SELECT CAST(unnest(range(4)) AS INTEGER) AS g)"""
+
+
+@query("html_table_grid", _GRID_SQL)
+def html_table_grid_q(spark, sf):
+    """A page per customer whose table has row and column spans, entities, a ``>`` inside an
+    attribute, omitted end tags and a nested table in each row; its first table by the grid."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    row = F.struct("o_orderkey", F.concat(
+        F.lit("<td>&lt;"), F.col("o_orderkey").cast("string"), F.lit("&gt;<td>"), F.col("o_orderstatus"),
+        F.lit("<td title='a > b'>"), F.col("o_orderpriority"),
+        F.lit(" <table><tr><td>1</td><td> 2</td></tr></table></td></tr>")).alias("cells"))
+    pages = o.groupBy("o_custkey").agg(F.sort_array(F.collect_list(row)).alias("r"), F.count(F.lit(1)).alias("n"))
+    head = F.concat(F.lit("<p>x</p><table data-x='<td>'><tr><th>customer<th colspan=2>order &amp; state<th>note</tr><tr>"
+                          "<td rowspan="), F.col("n").cast("string"), F.lit(">"), F.col("o_custkey").cast("string"))
+    html = F.concat(head, F.array_join(F.transform("r", lambda x: x["cells"]), "<tr>"), F.lit("<tr><td colspan=4>orders: "),
+                    F.col("n").cast("string"), F.lit("</table><table><tr><td>2nd</td></tr></table>"))
+    return html_tables(pages.select("o_custkey", html.alias("html")), "html", keep=["o_custkey"], only=0)
+
+
+@query("image_files", """
+SELECT vec_id, CAST(label AS VARCHAR) AS label, CAST(4 + label % 5 AS INTEGER) AS height, CAST(8 AS INTEGER) AS width,
+       list_transform(range(0, (4 + label % 5) * 24), lambda k:
+         CAST(CAST(floor(abs(CAST(embedding[k // 3 + 1] AS DOUBLE)) * 1000) + 7 * (k % 3) AS BIGINT) % 256 AS BIGINT)) AS pixels
+FROM embeddings""")
+def image_files_q(spark, sf):
+    """An image file per vector (4 to 8 rows of 8 colour pixels) in a folder per label, read back by the
+    binary file source: path, label, size and pixels."""
+    e = table(spark, sf, "embeddings")
+    pixel = lambda k, c: ((F.floor(F.abs(k.cast("double")) * 1000) + 7 * c) % 256).cast("int")
+    row = lambda r: F.transform(F.slice("embedding", r * 8 + 1, F.lit(8)),
+                                lambda k: F.array(*[pixel(k, c) for c in range(3)]))
+    img = F.transform(F.sequence(F.lit(0), 3 + F.col("label") % 5), row)
+    path = scratch_path(spark, "images")
+    files = e.select(plain_ppm(img).alias("value"), "label", "vec_id")
+    files.repartition("vec_id").write.partitionBy("label", "vec_id").text(path)
+    got = read_images(spark, path, "part-*", r"label=([^/]*)/")
+    return got.select(F.regexp_extract("path", r"vec_id=(\d+)/", 1).cast("long").alias("vec_id"), "label", "height", "width",
+                      F.transform(F.flatten(F.flatten("image")), lambda x: x.cast("long")).alias("pixels"))
+
+
 # ---------------------------------------------------------------- sinks
 
 @query("sink_parquet_roundtrip", "SELECT * FROM customer")
@@ -231,36 +317,35 @@ def sink_partitioned_q(spark, sf):
     return back.select("o_orderkey", "o_custkey", "part")
 
 
-@query("sink_overwrite", "SELECT * FROM region")
+@query("sink_overwrite", "SELECT * FROM customer")
 def sink_overwrite_q(spark, sf):
     """K4: replace table: a second write with overwrite leaves only the new rows."""
-    path = scratch_path(spark, "region-overwrite")
-    reg = table(spark, sf, "region")
-    write_parquet(reg.filter(F.col("r_regionkey") < 2).withColumn("r_name", F.lit("stale")), path)
-    write_parquet(reg, path, mode="overwrite")
+    path = scratch_path(spark, "customer-overwrite")
+    c = table(spark, sf, "customer")
+    write_parquet(c.filter(F.col("c_custkey") % 2 == 0).withColumn("c_name", F.lit("stale")), path)
+    write_parquet(c, path, mode="overwrite")
     return spark.read.parquet(path)
 
 
-_NATION_T = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
-                          T.StructField("n_regionkey", T.IntegerType())])
+_CUSTOMER_T = T._parse_datatype_string(CUSTOMER_SCHEMA)
 
 
-@query("sink_append", "SELECT * FROM nation")
+@query("sink_append", "SELECT * FROM customer")
 def sink_append_q(spark, sf):
     """K5: append to a table created on first use, rows checked against a declared schema."""
-    path = scratch_path(spark, "nation-append")
-    n = table(spark, sf, "nation")
-    append_rows(n.filter(F.col("n_nationkey") % 2 == 0), path, _NATION_T)
-    append_rows(n.filter(F.col("n_nationkey") % 2 == 1), path, _NATION_T)
+    path = scratch_path(spark, "customer-append")
+    c = table(spark, sf, "customer")
+    append_rows(c.filter(F.col("c_custkey") % 2 == 0), path, _CUSTOMER_T)
+    append_rows(c.filter(F.col("c_custkey") % 2 == 1), path, _CUSTOMER_T)
     return spark.read.parquet(path)
 
 
-@query("sink_single_file", "SELECT n_nationkey, n_name, n_regionkey, 1 AS n_files FROM nation")
+@query("sink_single_file", "SELECT *, 1 AS n_files FROM customer")
 def sink_single_file_q(spark, sf):
     """K6: shards merged into one output file on request (one writing task)."""
-    path = scratch_path(spark, "nation-single")
-    write_delimited(table(spark, sf, "nation").repartition(4), path, single_file=True)
-    back = read_with_filename(spark, path, "csv", NATION_SCHEMA, {"header": "true"})
+    path = scratch_path(spark, "customer-single")
+    write_delimited(table(spark, sf, "customer").repartition(4), path, single_file=True)
+    back = read_with_filename(spark, path, "csv", CUSTOMER_SCHEMA, {"header": "true"})
     n_files = back.agg(F.countDistinct("file_path").alias("n")).first()["n"]
     return back.drop("file_path").withColumn("n_files", F.lit(n_files))
 

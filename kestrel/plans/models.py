@@ -271,9 +271,9 @@ METRIC_SCHEMA = ("model_type string, pitch_type string, precision double, accura
 @query("metric_log_append")
 def metric_log_append_q(spark, sf):
     """Per class, F1-best threshold then precision / accuracy / recall / F1,
-    appended as metric rows (model, class, date) to a table."""
+    appended as metric rows (model, class, date) to a table. The models score the table once."""
     rows, classes, models = _ovr_models(spark, sf)
-    st = stacked_scores(rows, models)
+    st = cut_lineage(stacked_scores(rows, models).drop("features", "base_part"))
     path = scratch_path(spark, "metric-log")
     today = dt.date(2026, 1, 1).isoformat()
     for c in classes:
@@ -286,7 +286,6 @@ def metric_log_append_q(spark, sf):
     return spark.read.parquet(path)
 
 
-
 LOGREG_SPACE = {"regParam": ("log", 1e-4, 1.0), "elasticNetParam": ("float", 0.0, 1.0),
                 "maxIter": ("choice", [5, 10, 20])}
 

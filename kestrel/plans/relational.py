@@ -66,7 +66,7 @@ def suffix_join_q(spark, sf):
 
 @query("dim_enrich", """
 WITH artists AS (SELECT DISTINCT p_brand FROM part),
-cand AS (SELECT p_brand, p_partkey, p_name FROM part WHERE p_size > 45),
+cand AS (SELECT p_brand, p_partkey, p_name FROM part),
 first AS (SELECT p_brand, min(p_partkey) AS mbid FROM cand GROUP BY p_brand)
 SELECT a.p_brand, f.mbid, t.tag
 FROM artists a LEFT JOIN first f ON a.p_brand = f.p_brand
@@ -76,8 +76,7 @@ def dim_enrich_q(spark, sf):
     wins, its tag list is exploded; no match keeps the artist with NULL tag."""
     part = table(spark, sf, "part")
     artists = part.select("p_brand").distinct()
-    cand = (part.filter(F.col("p_size") > 45)
-            .select("p_brand", F.col("p_partkey").alias("mbid"), F.split("p_name", " ").alias("tags")))
+    cand = part.select("p_brand", F.col("p_partkey").alias("mbid"), F.split("p_name", " ").alias("tags"))
     return enrich(artists, cand, "p_brand", "mbid", "tags")
 
 
@@ -272,13 +271,16 @@ def mean_abs_by_group_q(spark, sf):
     return out.select("hour", F.round("ch1", 9).alias("ch1"), F.round("ch2", 9).alias("ch2"))
 
 
-@query("minmax_stats", """
-SELECT min(l_quantity) + 0.0 AS l_quantity_min, max(l_quantity) + 0.0 AS l_quantity_max,
-       min(l_extendedprice) + 0.0 AS l_extendedprice_min, max(l_extendedprice) + 0.0 AS l_extendedprice_max,
-       min(l_discount) + 0.0 AS l_discount_min, max(l_discount) + 0.0 AS l_discount_max FROM lineitem""")
+_LI_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("minmax_stats", "SELECT " + ", ".join(
+    f"CAST(min({c}) AS DOUBLE) + 0.0 AS {c}_min, CAST(max({c}) AS DOUBLE) + 0.0 AS {c}_max" for c in _LI_NUMBERS)
+    + " FROM lineitem")
 def minmax_stats_q(spark, sf):
-    """min/max in Spark's partial + final aggregate (the chunked partial fit)."""
-    return min_max(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    """min/max of every number in Spark's partial + final aggregate; the stored, chunk-wise
+    fit is ``incremental_fit``."""
+    return min_max(table(spark, sf, "lineitem"), _LI_NUMBERS)
 
 
 @query("count_vector", """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import trunc_ntz
 from ..session import cut_lineage, table
+from ..streaming.live import running_max_flags
 from ..streaming.signals import flag_stream, read_stream, run_to_files, session_counts, signal_windows
 from .registry import query
 
@@ -93,3 +94,20 @@ def stream_anomaly_q(spark, sf):
     thresholds = cut_lineage(_thresholds(spark, sf))
     flagged = flag_stream(s.select("event_id", "ts", "event_type", "value"), thresholds, "event_type", "value")
     return run_to_files(flagged, "stream-anomaly").select("event_id", "event_type", "anomaly")
+
+
+@query("stream_running_max", """
+WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) > INTERVAL 30 MINUTE
+                          THEN 1 ELSE 0 END AS pause FROM events),
+s AS (SELECT *, sum(pause) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS part FROM g),
+m AS (SELECT *, max(value) OVER (PARTITION BY event_type, part ORDER BY ts, event_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
+SELECT event_id, event_type, value, 1.05 * before AS threshold, coalesce(value > 1.05 * before, false) AS anomaly FROM m""")
+def stream_running_max_q(spark, sf):
+    """Live flag with state: each event against 1.05 x its type's largest earlier value, forgotten
+    after a pause of 30 minutes."""
+    s = read_stream(spark, sf, EVENT_SCHEMA, glob="events.parquet")
+    flags = running_max_flags(s, "ts", "event_type", "value", "event_id", forget="30 minutes")
+    out = run_to_files(flags, "stream-running-max")
+    return out.select(F.col("row_id").alias("event_id"), F.col("channel").alias("event_type"),
+                      F.col("score").alias("value"), "threshold", "anomaly")

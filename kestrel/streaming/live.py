@@ -28,19 +28,19 @@ class RunningMax(StatefulProcessor):
     """Per channel: the largest score so far and the time of the newest row."""
 
     def __init__(self, factor: float, forget_ms: int):
-        self.factor, self.forget_ms = factor, forget_ms
+        self.factor, self.forget_us = factor, 1000 * forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("running", "largest double, newest long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["at_ms", "row_id"], kind="stable")
+        batch = pd.concat(list(rows)).sort_values(["at_us", "row_id"], kind="stable")
         known = self.state.get() if self.state.exists() else None
         largest, newest = known if known is not None else (None, None)
         thresholds, flags = [], []
-        for at, score in zip(batch["at_ms"], batch["score"], strict=True):
-            if newest is not None and at - newest > self.forget_ms:
+        for at, score in zip(batch["at_us"], batch["score"], strict=True):
+            if newest is not None and at - newest > self.forget_us:
                 largest = None
             limit = None if largest is None else self.factor * largest
             thresholds.append(limit)
@@ -51,13 +51,13 @@ class RunningMax(StatefulProcessor):
         self.state.update((None if largest is None else float(largest), newest))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(newest + self.forget_ms + 1)
+        self.handle.registerTimer((newest + self.forget_us) // 1000 + 1)
         yield pd.DataFrame({"channel": key[0], "row_id": batch["row_id"], "score": batch["score"],
                             "threshold": pd.Series(thresholds, index=batch.index, dtype="float64"), "anomaly": flags})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         newest = self.state.get()[1] if self.state.exists() else None
-        if newest is not None and newest + self.forget_ms < expiredTimerInfo.getExpiryTimeInMs():
+        if newest is not None and newest + self.forget_us < 1000 * expiredTimerInfo.getExpiryTimeInMs():
             self.state.clear()
         return iter(())
 
@@ -77,7 +77,7 @@ def running_max_flags(stream: DataFrame, ts: str, channel: str, score: str, row_
     ms = int(pd.Timedelta(forget).total_seconds() * 1000)
     rows = event_time(stream, ts).withWatermark("event_time", watermark)
     rows = rows.select(F.col(channel).cast("string").alias("channel"), F.col(row_id).cast("long").alias("row_id"),
-                       F.col(score).cast("double").alias("score"), F.unix_millis("event_time").alias("at_ms"), "event_time")
+                       F.col(score).cast("double").alias("score"), F.unix_micros("event_time").alias("at_us"), "event_time")
     return rows.groupBy("channel").transformWithStateInPandas(
         RunningMax(factor, ms), "channel string, row_id long, score double, threshold double, anomaly boolean",
         "Append", "EventTime")
