@@ -15,6 +15,7 @@ import html as html_lib
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,7 +32,9 @@ BLOCK_TAGS = frozenset(
     "figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav noscript ol optgroup "
     "option p pre search section select summary table tbody td textarea tfoot th thead tr ul".split())
 #: Elements whose content is no text of the page, read up to their end tag.
-SKIPPED = frozenset("script style title template iframe object svg math canvas audio video noembed xmp".split())
+SKIPPED = frozenset("script style title template iframe svg".split())
+#: Elements whose content is text without markup, read up to their end tag.
+RAW = frozenset("xmp noembed".split())
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What an opening tag closes, and where the search for it ends.
@@ -112,6 +115,17 @@ def blocks(page: str) -> list[Block]:
                 stop = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(page, at)
                 at = stop.end() if stop else end
             continue
+        if tag in RAW:
+            if not closing:
+                close({"p"}, {"td", "th", "button"})
+                flush()
+                stop = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
+                text.append((html_lib.escape(page[at:stop.start() if stop else end]), False))
+                stack.append((tag, element_features("pre", "")))
+                flush()
+                stack.pop()
+                at = stop.end() if stop else end
+            continue
         if tag == "a":
             links = max(0, links - 1) if closing else 1
         elif tag == "br":
@@ -144,6 +158,23 @@ def text_features(block: Block, place: tuple[str, str]) -> list[str]:
             "e:" + (t[-1] if t[-1] in ".!?:;,|" else "x"), "c" if "©" in t else "-c", "y" if "|" in t or "·" in t else "-y"]
 
 
+def kind_of(block: Block | None) -> str:
+    """A neighbour in one letter: none, mostly links, short or long."""
+    if block is None:
+        return "n"
+    if 2 * block.linked > len(block.text):
+        return "k"
+    return "l" if block.text.count(" ") >= 8 else "s"
+
+
+def around_features(page: list[Block]) -> list[list[str]]:
+    """For each block of a page: the kinds of its neighbours, and its place among the page's plain texts."""
+    kinds = [kind_of(None), *map(kind_of, page), kind_of(None)]
+    most = max((len(b.text) for b, k in zip(page, kinds[1:], strict=False) if k != "k"), default=1)
+    return [[f"nb:{a}{k}{c}", f"r:{k}{min(3, 4 * len(b.text) // max(1, most))}"]
+            for b, a, k, c in zip(page, kinds, kinds[1:], kinds[2:], strict=False)]
+
+
 # Labelled pages: words of attributes and the parts of a page, by kind.
 _MAIN = "article content post entry body main story text page news".split()
 _PARTS = {
@@ -166,6 +197,7 @@ class _Composer:
 
     def __init__(self, rng: random.Random):
         self.rng, self.labels = rng, []
+        self.nameless = rng.choice([0.0, 0.25, 0.7])  # share of parts whose elements say nothing
 
     def sentence(self, low: int, high: int) -> str:
         words = ["".join(self.rng.choice("bcdfglmnprst") + self.rng.choice("aeiouéü") for _ in range(
@@ -176,8 +208,16 @@ class _Composer:
         self.labels.append(label)
         return f"<{tag}>{text}</{tag}>"
 
+    def unknown(self) -> str:
+        """A name that says nothing."""
+        return "".join(self.rng.choice("bcdfghklmnprstvwxz") + self.rng.choice("aeiou0123") for _ in range(
+            self.rng.randint(2, 4)))
+
     def wrap(self, kind: str, inner: str, plain: float = 0.5) -> str:
         words = _PARTS[kind]
+        if kind in ("nav", "footer", "header", "form") and self.rng.random() < self.nameless:
+            # what these hold tells them apart without a name
+            return f'<div{self.rng.choice(["", f" class={self.unknown()}"])}>{inner}</div>'
         named = f' {self.rng.choice(["class", "id"])}="{self.rng.choice(["", "site-", "page_", "js-", "c-"])}' \
                 f'{self.rng.choice(words)}{self.rng.choice(["", "-box", " clearfix", "-inner", "s"])}"'
         if _TAG_OF[kind] != "div" and self.rng.random() < plain:
@@ -252,6 +292,9 @@ class _Composer:
         body = "".join(out)
         for _ in range(r.randint(0, 2)):
             body = f'<div{r.choice(["", " class=" + r.choice(_MAIN), " id=" + r.choice(_MAIN)])}>{body}</div>'
+        if r.random() < self.nameless:
+            return r.choice([body, f"<div>{body}</div>", f'<div class="{self.unknown()}">{body}</div>',
+                             f"<table><tr><td>{body}</td></tr></table>"])
         tag = r.choice(["article", "article", "article", "main", "div", "section"])
         name = f' class="{r.choice(["", "post-", "article-", "entry-"])}{r.choice(_MAIN)}"'
         return f"<{tag}{name if tag in ('div', 'section') or r.random() < 0.3 else ''}>{body}</{tag}>"
@@ -262,8 +305,18 @@ class _Composer:
         after = [k for k in ("comments", "aside", "share", "ad", "form", "nav", "notice") if r.random() < 0.4]
         r.shuffle(before)
         r.shuffle(after)
-        body = "".join(self.boilerplate(k) for k in before) + self.article() + "".join(self.boilerplate(k) for k in after)
-        if r.random() < 0.8:
+        bare = r.random() < 0.3  # the page begins with its article
+        if bare and r.random() < 0.6:  # or holds little else
+            after = after[:r.randint(0, 1)]
+        body = "" if bare else "".join(self.boilerplate(k) for k in before)
+        if r.random() < 0.4 * self.nameless:  # a table lays the page out, links in its first cell
+            self.labels.append(0)
+            links = r.choice(["<br>", " | ", " "]).join(f'<a href="#">{self.sentence(1, 3)}</a>' for _ in range(r.randint(1, 6)))
+            body += f"<table><tr><td>{links}</td><td>{self.article()}</td></tr></table>"
+        else:
+            body += self.article()
+        body += "".join(self.boilerplate(k) for k in after)
+        if r.random() < (0.3 if bare else 0.8):
             body += self.boilerplate("footer")
         for _ in range(r.randint(0, 2)):
             body = f'<div{r.choice(["", " id=page", " class=wrapper", " class=container", " id=main"])}>{body}</div>'
@@ -297,14 +350,14 @@ class Field:
                 b += w[1]
         return a, b
 
-    def emission(self, block: Block) -> tuple[float, float]:
+    def emission(self, block: Block, beside: list[str]) -> tuple[float, float]:
         known = self.memo.get(block.ancestors)
         if known is None:
             if len(self.memo) > 50_000:
                 self.memo.clear()
             around = ancestor_features(block.ancestors)
             known = self.memo[block.ancestors] = (*self._sum(around), place_of(around))
-        own = self._sum(text_features(block, known[2]))
+        own = self._sum([*text_features(block, known[2]), *beside])
         return known[0] + own[0], known[1] + own[1]
 
     def labels(self, page: list[Block]) -> list[int]:
@@ -312,10 +365,11 @@ class Field:
         if not page:
             return []
         (t00, t01), (t10, t11) = self.transitions
-        a, b = (s + e for s, e in zip(self.start, self.emission(page[0]), strict=True))
+        beside = around_features(page)
+        a, b = (s + e for s, e in zip(self.start, self.emission(page[0], beside[0]), strict=True))
         back = []
-        for block in page[1:]:
-            ea, eb = self.emission(block)
+        for block, near in zip(page[1:], beside[1:], strict=True):
+            ea, eb = self.emission(block, near)
             from_a, from_b = a + t00 >= b + t10, a + t01 >= b + t11
             back.append((0 if from_a else 1, 0 if from_b else 1))
             a, b = (a + t00 if from_a else b + t10) + ea, (a + t01 if from_b else b + t11) + eb
@@ -329,19 +383,26 @@ class Field:
         return "\n\n".join(b.text for b, y in zip(found, self.labels(found), strict=True) if y)
 
 
+#: Names that may say what an element holds.
+_NAMES = frozenset(f for words in (_MAIN, *_PARTS.values()) for w in words for f in element_features("x", f'class="{w}"')[1:])
+#: Pages that a feature has to occur on to be learned.
+RARE = 4
 #: Elements that say what they hold.
 _TELLING = frozenset("t:" + t for t in "article main nav aside header footer form".split())
 
 
 def ancestor_features(ancestors: tuple[str, ...]) -> list[str]:
-    """Each feature of the elements around once, the innermost tags, and the innermost element that tells its kind."""
+    """Each feature of the elements around once, the innermost tags, and the innermost element that tells its kind.
+
+    Names outside of the known words tell nothing.
+    """
     tags, telling, named = [], ["s:none"], []
     for f in ancestors:
         if f.startswith("t:"):
             tags.append(f)
             named = ["s:" + f] if f in _TELLING else []
             telling = named or telling
-        else:
+        elif f in _NAMES:
             if not named:
                 telling = named = []
             named.append("s:" + f)
@@ -355,21 +416,28 @@ def place_of(around: list[str]) -> tuple[str, str]:
 
 
 @functools.cache
-def trained(pages: int = 1000, rounds: int = 80) -> Field:
-    """Train on the labelled pages."""
-    names: dict[str, int] = {}
-    index, counts, gold, lengths = [], [], [], []
+def trained(pages: int = 1500, rounds: int = 80) -> Field:
+    """Train on the labelled pages; features of fewer than ``RARE`` pages are left out, as new names are."""
+    read, seen = [], Counter()
     for page, labels in labelled_pages(pages):
         found = blocks(page)
         if len(found) != len(labels):
             raise ValueError("a labelled page's blocks and labels differ in number")
-        for block, y in zip(found, labels, strict=True):
+        rows = []
+        for block, beside in zip(found, around_features(found), strict=True):
             around = ancestor_features(block.ancestors)
-            fs = [*around, *text_features(block, place_of(around))]
-            index += [names.setdefault(f, len(names)) for f in fs]
-            counts.append(len(fs))
+            rows.append([*around, *text_features(block, place_of(around)), *beside])
+        read.append((rows, labels))
+        seen.update({f for fs in rows for f in fs})
+    names: dict[str, int] = {}
+    index, counts, gold, lengths = [], [], [], []
+    for rows, labels in read:
+        for fs, y in zip(rows, labels, strict=True):
+            kept = [names.setdefault(f, len(names)) for f in fs if seen[f] >= RARE]
+            index += kept
+            counts.append(len(kept))
             gold.append(y)
-        lengths.append(len(found))
+        lengths.append(len(rows))
     model = train(np.array(index), np.array(counts), np.array(gold), np.array(lengths), [0, 1], len(names),
                   rounds=rounds, rate=0.15, l2=1e-4)
     return Field({f: (float(model.weights[i, 0]), float(model.weights[i, 1])) for f, i in names.items()},

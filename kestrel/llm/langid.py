@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from .common import crc_remainder, slices, text_or_empty
 from .crf import Model, feature_sums, mean_posteriors, train
 
-#: Documents per language, words per document and languages that the model learns from, at most.
-DOCS_PER_LANG, WORDS_PER_DOC, MAX_LANGS = 600, 60, 64
+#: Documents per language, words per document and documents that the model learns from, at most; the
+#: last one is shared out evenly when there are more than 32 languages. Characters of a span for each word.
+DOCS_PER_LANG, WORDS_PER_DOC, MAX_DOCS, SPAN = 600, 60, 19_200, 24
 FEATURES = 1 << 18
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
@@ -83,44 +84,52 @@ def word_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([f for f, _ in kinds])[order], sum(n for _, n in kinds)
 
 
-def _sample(docs: DataFrame, docs_per_lang: int) -> list[tuple[str, str]]:
-    """(lang, text) of a hash sample of about ``docs_per_lang`` learnable documents per language."""
+def _sample(docs: DataFrame, docs_per_lang: int, words_per_doc: int) -> list[tuple[str, str, bool]]:
+    """(lang, span, whether it was cut out) of a hash sample of learnable documents of every language.
+
+    About ``docs_per_lang`` documents of each, fewer where that makes more than ``MAX_DOCS``; of a long
+    text a span of ``SPAN`` characters a word from a hashed place comes to the driver.
+    """
     known = docs.where("lang is not null").where(crc_remainder(F.col("doc_id")) != 0)
-    counts = (known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
+    counts = known.groupBy("lang").count().orderBy("lang").collect()  # one row a language
     if not counts:
         return []
+    each = max(1, min(docs_per_lang, MAX_DOCS // len(counts)))
     spread = 1 << 20
-    limits = F.create_map(*[x for r in counts for x in (
-        F.lit(r["lang"]), F.lit(-(-docs_per_lang * spread // r["count"])))])
+    limits = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(-(-each * spread // r["count"])))])
     at = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(spread))
+    width = SPAN * words_per_doc
+    over = F.length("text") - width
+    start = F.when(over > 0, F.pmod(F.xxhash64("doc_id", F.lit("span")), F.greatest(over, F.lit(1)))).otherwise(F.lit(0))
     rows = (known.where(at < F.coalesce(limits[F.col("lang")], F.lit(0)))
-            .select("lang", "text").limit(2 * docs_per_lang * len(counts)).collect())
-    return sorted((r["lang"], r["text"]) for r in rows)
+            .select("lang", F.substring("text", (start + 1).cast("int"), F.lit(width)).alias("span"), (over > 0).alias("cut"))
+            .limit(2 * each * len(counts)).collect())
+    return sorted((r["lang"], r["span"], r["cut"]) for r in rows)
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         docs_per_lang: int = DOCS_PER_LANG, words_per_doc: int = WORDS_PER_DOC, seed: int = 5) -> Model | None:
     """Learn from documents whose crc32(doc_id) mod 5 is not 0 and whose language is known.
 
-    The sample is bounded: about ``docs_per_lang`` documents of each language (the
-    ``MAX_LANGS`` most frequent ones), a random span of ``words_per_doc`` words of each.
-    None when there is nothing to learn from.
+    The sample is bounded: about ``docs_per_lang`` documents of each language, ``MAX_DOCS`` of all, a
+    random span of ``words_per_doc`` words of each. None when there is nothing to learn from.
     """
     named = docs.select(docs[id_col].alias("doc_id"), text_or_empty(docs, text_col).alias("text"),
                         docs[lang_col].cast("string").alias("lang"))
-    rows = _sample(named, docs_per_lang)
-    labels = sorted({lang for lang, _ in rows})
+    rows = _sample(named, docs_per_lang, words_per_doc)
+    labels = sorted({lang for lang, _, _ in rows})
     if not labels:
         return None
     rng = np.random.default_rng(seed)
     feats, gold, owner = [], [], []
-    for i, (lang, text) in enumerate(rows):
+    for i, (lang, text, cut) in enumerate(rows):
         f, n = word_features(text)
+        edge = int(cut and len(n) > 2)  # the words at a cut may be parts of words
         if not len(n):
             continue
-        lo = int(rng.integers(0, max(1, len(n) - words_per_doc + 1)))
+        lo = edge + int(rng.integers(0, max(1, len(n) - 2 * edge - words_per_doc + 1)))
         ends = np.concatenate([[0], np.cumsum(n)])
-        hi = min(len(n), lo + words_per_doc)
+        hi = min(len(n) - edge, lo + words_per_doc)
         feats.append((f[ends[lo]:ends[hi]], n[lo:hi]))
         gold.append(labels.index(lang))
         owner.append(i)

@@ -166,3 +166,39 @@ def test_extraction_of_given_pages_and_edges(spark):
     by = {r.page_id: r.text for r in rows}
     assert by[1] == by[2] == by[5] == "" and len(by[6]) == 499_999
     assert extract.extract_text(df.limit(0)).count() == 0
+
+
+def test_every_language_is_learned_from(spark, monkeypatch):
+    rows = [(k * 12 + i, f"w{k} " * 2000, f"l{k:02d}") for k in range(90) for i in range(12)]
+    docs = documents(spark, rows)
+    found = langid._sample(docs, 600, 60)
+    assert {lang for lang, _, _ in found} == {f"l{k:02d}" for k in range(90)}
+    assert all(cut and len(span) == 60 * langid.SPAN for _, span, cut in found)
+    assert len(found) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _, _ in rows)
+    monkeypatch.setattr(langid, "MAX_DOCS", 180)
+    few = langid._sample(docs, 600, 60)
+    assert len(few) <= 360 and len({lang for lang, _, _ in few}) > 64
+
+
+ARTICLE = ["The council met on Tuesday to discuss the plan for the new bridge, which had been delayed twice. Members spoke "
+           "for two hours.", "Residents said that they welcomed the change but asked for more time. A second hearing will "
+           "follow in May.", "The mayor thanked everyone for coming and closed the meeting at nine. Work should begin next year."]
+
+
+def test_articles_without_telling_markup():
+    ps, model = "".join(f"<p>{p}</p>" for p in ARTICLE), extract.trained()
+    links = '<ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul>'
+    comment = "<p>I was there and it was a very long meeting, thanks for the report.</p>"
+    for body in (ps, f"<div>{ps}</div>", f'<div class="xyz">{ps}</div>', f"<nav>{links}</nav>{ps}",
+                 f"<table><tr><td>{links}</td><td>{ps}</td></tr></table>",
+                 f'<table><tr><td><a href="/">Home</a><br><a href="/n">News</a></td><td>{ps}</td></tr></table>',
+                 f'<article>{ps}</article><div id="disqus_thread">{comment}</div>',
+                 f'<div>{ps}</div><div id="disqus_thread">{comment}</div>'):
+        assert model.main_text(f"<html><body>{body}</body></html>") == "\n\n".join(ARTICLE), body
+
+
+def test_formulas_and_listings_are_text():
+    page = (f"<article><p>{ARTICLE[0]}<p>The area is <math><mi>x</mi>+<mi>y</mi></math> units.<xmp>a <b> &amp; c</xmp>"
+            f"<p>{ARTICLE[1]} <canvas>Shown instead.</canvas></article>")
+    assert extract.trained().main_text(page) == "\n\n".join(
+        [ARTICLE[0], "The area is x+y units.", "a <b> &amp; c", ARTICLE[1] + " Shown instead."])
