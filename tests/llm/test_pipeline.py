@@ -77,3 +77,37 @@ def test_stages_on_edge_rows(spark):
 def test_mix_of_wordless_documents_only(spark):
     docs = documents(spark, [(1, None), (2, ""), (3, " \n\t "), (None, None, "en", None)])
     assert ids(store(cp.mix_stage(spark, docs, SMALL), "t")) == ids(docs)
+
+
+CLASHING = ["kept_id", "sha", "mix_id", "mix_source", "text_hash", "epochs", "mix_copy", "id", "own", "component", "k"]
+
+
+def test_clashing_columns_pass_through(spark):
+    docs = documents(spark, [(1, "one two three four five six"), (2, "ONE two three four five six"), (3, "other words here"),
+                             (None, None)], CLASHING)
+    for name, stage in cp.STAGES[1:4]:
+        docs = store(stage(spark, docs, SMALL), "t")
+        assert docs.columns[-len(CLASHING):] == CLASHING
+        assert all(r[c] == "x" for r in docs.collect() for c in CLASHING), name
+    assert set(ids(docs)) >= {None}
+
+
+def near_kept(spark, rows):
+    out = cp.near_stage(spark, documents(spark, rows), SMALL).collect()
+    return Counter((r.doc_id, r.text) for r in out)
+
+
+def test_near_copies_go_whatever_their_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    copy, other = base + " more", " ".join(f"v{i}" for i in range(40))
+    assert near_kept(spark, [(7, base), (9, copy), (9, other)]) == Counter([(7, base), (9, other)])
+    assert near_kept(spark, [(None, other), (5, base), (None, copy)]) == Counter([(None, other), (5, base)])
+    assert near_kept(spark, [(None, base), (None, copy)]).total() == 1
+    assert near_kept(spark, [(3, base), (3, base), (4, copy)]) == Counter([(3, base), (3, base)])
+    assert near_kept(spark, [(3, base), (3, copy)]).total() == 1
+
+
+def test_exact_stage_with_one_id_and_two_texts(spark):
+    rows = [(1, "same"), (2, "SAME"), (2, "else"), (None, "same"), (None, "lone")]
+    out = cp.exact_stage(spark, documents(spark, rows), SMALL).collect()
+    assert Counter((r.doc_id, r.text) for r in out) == Counter([(2, "SAME"), (2, "else"), (None, "lone")])
