@@ -327,7 +327,9 @@ def sink_overwrite_q(spark, sf):
     return spark.read.parquet(path)
 
 
-_CUSTOMER_T = T._parse_datatype_string(CUSTOMER_SCHEMA)
+_CUSTOMER_T = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                            T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+                            T.StructField("c_mktsegment", T.StringType())])
 
 
 @query("sink_append", "SELECT * FROM customer")
