@@ -32,25 +32,46 @@ PACKED_SCHEMA = (PIECE_SCHEMA + ", part long, bin int, offset long, fill long, "
                  "part_bins int, part_bound int")
 
 
-def stem_of(word: bytes) -> tuple[bytes, bytes]:
-    """(stem, sign) whose ids, one after the other, are the word's.
+#: Words that are encoded in one string, and the sign that parts them there.
+WORDS, PART = 1024, b"\x01"
 
-    The vocabulary composes (NFC), lower-cases, and starts a pre-token at a sign after a letter
-    or digit. A word that may hold a special string is left as it is. Only pure ASCII is
-    lower-cased here: a capital before a combining mark may compose in lower case only.
+
+def byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: shown ones for themselves, the
+    others the next ones from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(0x100 + hidden.index(b)) for b in range(256)}
+
+
+_BYTES = byte_characters()
+
+
+def plain_word(word: bytes) -> tuple[str, bytes] | None:
+    """(pre-token, sign) of a word of Latin letters and at most one full stop or comma behind them.
+
+    The vocabulary composes (NFC), lower-cases, and takes a run of letters as one pre-token and a
+    sign after it as another. Letters below U+0180 are composed already and lower-case one by one, but
+    for the dotted capital I. None for any other word: the tokenizer reads it as a whole.
     """
-    if b"<|" in word:
-        return word, b""
-    low = word.lower() if word.isascii() else word
-    if low[-1:] in (b",", b".") and low[-2:-1].isalnum():
-        return low[:-1], low[-1:]
-    return low, b""
+    sign = word[-1:] if word[-1:] in (b",", b".") else b""
+    stem = word[:-1] if sign else word
+    if stem.isalpha():  # ASCII letters only
+        return stem.lower().decode(), sign
+    text = stem.decode()
+    if text.isalpha() and max(text) < "\u0180" and "\u0130" not in text:
+        return text.lower().encode().decode("latin-1").translate(_BYTES), sign
+    return None
 
 
 class WordEncoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes, by a memo of words.
 
-    A full memo becomes the older one and gives its words to the new one as they recur.
+    The vocabulary's pre-tokenizer forgets white space, and its normalizer changes nothing across
+    it, so a text's ids are those of its words one after the other. New plain words go to the
+    vocabulary's model as pre-tokens; the others are encoded many in one string, parted by a sign of
+    its own token id. A full memo becomes the older one and gives its words to the new one as
+    they recur.
     """
 
     def __init__(self, vocab: str):
@@ -62,7 +83,46 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(vocab)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.part = self.tokenizer.encode(PART.decode(), add_special_tokens=False).ids
         self.room, self.memo, self.older = MEMO_BYTES, {}, {}
+        self.signs = dict(zip((b",", b"."), self._one_by_one([b",", b"."]), strict=True))
+
+    def _one_by_one(self, words: list[bytes]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in coded]
+
+    def encode(self, words: list[bytes]) -> None:
+        """Put the ids of new words into the memo."""
+        tokenize, memo, rest = self.tokenizer.model.tokenize, self.memo, []
+        for w in words:
+            plain = plain_word(w)
+            if plain is None:
+                rest.append(w)
+                continue
+            ids = array("I", [t.id for t in tokenize(plain[0])]).tobytes()
+            memo[w] = ids + self.signs[plain[1]] if plain[1] else ids
+        words = rest
+        # A word that may hold a special string or the parting sign stands alone.
+        alone = [w for w in words if b"<|" in w or PART in w]
+        if alone or len(self.part) != 1:
+            alone = alone if len(self.part) == 1 else words
+            self.memo.update(zip(alone, self._one_by_one(alone), strict=True))
+            lone = set(alone)
+            words = [w for w in words if w not in lone]
+        runs = [words[i:i + WORDS] for i in range(0, len(words), WORDS)]
+        between = f" {PART.decode()} "
+        coded = self.tokenizer.encode_batch_fast([between.join([w.decode() for w in r]) for r in runs],
+                                                 add_special_tokens=False)
+        for run, e in zip(runs, coded, strict=True):
+            ids = np.array(e.ids, np.uint32)
+            ends = 4 * np.flatnonzero(ids == self.part[0])
+            raw = ids.tobytes()
+            if len(ends) != len(run) - 1:
+                self.memo.update(zip(run, self._one_by_one(run), strict=True))
+                continue
+            ends = [*ends.tolist(), len(raw)]
+            starts = [0, *(x + 4 for x in ends)]
+            self.memo.update(zip(run, map(raw.__getitem__, map(slice, starts, ends)), strict=True))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if self.room < 0:
@@ -75,15 +135,9 @@ class WordEncoder:
         known = fresh.intersection(self.older)
         for w in known:
             memo[w] = self.older[w]
-        split = {w: stem_of(w) for w in fresh - known}
-        stems = list({p for pair in split.values() for p in pair}.difference(memo))
-        if stems:
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in stems], add_special_tokens=False)
-            for w, e in zip(stems, coded, strict=True):
-                memo[w] = array("I", e.ids).tobytes()
-        for w, (stem, sign) in split.items():
-            memo[w] = memo[stem] + memo[sign] if sign else memo[stem]
-        self.room -= sum(map(len, stems)) + ENTRY_BYTES * (len(known) + len(split) + len(stems))
+        new = list(fresh - known)
+        self.encode(new)
+        self.room -= sum(map(len, new)) + ENTRY_BYTES * len(fresh)
         get = memo.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 

@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from kestrel.llm.packing import best_fit, encoder, lower_bound, pack_documents
+from kestrel.llm.packing import best_fit, encoder, lower_bound, pack_documents, plain_word
 
 from .helpers import EDGE, documents
 
@@ -55,6 +55,27 @@ def test_capitals_that_compose_in_lower_case_only():
         np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
 
 
+def test_plain_words_of_all_latin_letters():
+    t, enc = Tokenizer.from_file(VOCAB), encoder(VOCAB)
+    rng = np.random.default_rng(1)
+    letters = [chr(c) for c in range(0x41, 0x180) if chr(c).isalpha()]
+    words = letters + ["".join(rng.choice(letters, rng.integers(1, 9))) + rng.choice(["", ".", ",", "..", "'s", "!"])
+                       for _ in range(4000)]
+    assert sum(plain_word(w.encode()) is not None for w in words) > 2000
+    assert plain_word("\u0130x".encode()) is plain_word(b"a1") is plain_word(b"") is plain_word(b".") is None
+    assert plain_word("e\u0301".encode()) is plain_word("\u0394".encode()) is None
+    assert enc.ids([w.encode() for w in words]) == [
+        np.array(t.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+
+
+def test_words_with_the_parting_sign():
+    t, enc = Tokenizer.from_file(VOCAB), encoder(VOCAB)
+    texts = ["\x01", "a \x01 b \x01\x01 c\x01d", "x<|endoftext|>\x01y <|startoftext|>", " ".join(f"w{i}Q." for i in range(3000)),
+             "\u0301a \u0301 \u200d\u0301 x", "\ud55c\u1100 \u1161 \u11a8"]
+    assert enc.ids([x.encode() for x in texts]) == [
+        np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
 def test_edges(spark):
     rows = pack_documents(documents(spark, EDGE, ["piece", "part", "bin"]), capacity=128).collect()
     check(rows, EDGE, 128)
