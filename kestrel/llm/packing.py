@@ -47,8 +47,8 @@ def byte_characters() -> dict[int, str]:
 _BYTES = byte_characters()
 
 
-def plain_word(word: bytes) -> tuple[str, bytes] | None:
-    """(pre-token, sign) of a word of Latin letters and at most one full stop or comma behind them.
+def plain_word(word: bytes) -> tuple[bytes, bytes] | None:
+    """(lower-cased stem, sign) of a word of Latin letters and at most one full stop or comma behind them.
 
     The vocabulary composes (NFC), lower-cases, and takes a run of letters as one pre-token and a
     sign after it as another. Letters below U+0180 are composed already and lower-case one by one, but
@@ -57,10 +57,10 @@ def plain_word(word: bytes) -> tuple[str, bytes] | None:
     sign = word[-1:] if word[-1:] in (b",", b".") else b""
     stem = word[:-1] if sign else word
     if stem.isalpha():  # ASCII letters only
-        return stem.lower().decode(), sign
+        return stem.lower(), sign
     text = stem.decode()
     if text.isalpha() and max(text) < "\u0180" and "\u0130" not in text:
-        return text.lower().encode().decode("latin-1").translate(_BYTES), sign
+        return text.lower().encode(), sign
     return None
 
 
@@ -99,8 +99,12 @@ class WordEncoder:
             if plain is None:
                 rest.append(w)
                 continue
-            ids = array("I", [t.id for t in tokenize(plain[0])]).tobytes()
-            memo[w] = ids + self.signs[plain[1]] if plain[1] else ids
+            stem, sign = plain
+            ids = memo.get(stem)
+            if ids is None:
+                text = stem.decode() if stem.isascii() else stem.decode("latin-1").translate(_BYTES)
+                ids = memo[stem] = array("I", [t.id for t in tokenize(text)]).tobytes()
+            memo[w] = ids + self.signs[sign] if sign else ids
         words = rest
         # A word that may hold a special string or the parting sign stands alone.
         alone = [w for w in words if b"<|" in w or PART in w]
@@ -135,9 +139,10 @@ class WordEncoder:
         known = fresh.intersection(self.older)
         for w in known:
             memo[w] = self.older[w]
+        before = len(memo)
         new = list(fresh - known)
         self.encode(new)
-        self.room -= sum(map(len, new)) + ENTRY_BYTES * len(fresh)
+        self.room -= sum(map(len, new)) + ENTRY_BYTES * (len(known) + len(memo) - before)
         get = memo.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
