@@ -19,6 +19,7 @@ from ..functions.numeric import normal_pdf
 from .ordering import as_cols
 from .series_chunks import CHUNK, DF_CONSTANT_CRIT, chunk_window, lagged_products, placed_series, with_halo
 
+
 def split_first(df: DataFrame, key: str, order: Sequence[str], min_rows: int = 2):
     """First row of each group (target) and the remaining rows (features).
 
