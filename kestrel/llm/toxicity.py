@@ -22,8 +22,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .common import crc_remainder, slices, text_or_empty
 
 #: Labelled documents that the model learns from, features it keeps, words of a sentence (least and
-#: most), words in a worker's memo.
-MAX_LABELLED, MAX_FEATURES, SHORT_WORDS, SENTENCE_WORDS, MEMO_WORDS = 6_000, 50_000, 8, 32, 400_000
+#: most), words in a task's memo.
+MAX_LABELLED, MAX_FEATURES, SHORT_WORDS, SENTENCE_WORDS, MEMO_WORDS = 6_000, 50_000, 8, 32, 100_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
@@ -35,6 +35,11 @@ class Model:
     bias: float
     memo: dict[str, float] = field(default_factory=dict)
 
+    def own(self) -> Model:
+        """The same weights with a memo of its own: a worker keeps a broadcast model, so a task's
+        memo must not grow on it."""
+        return Model(self.weights, self.bias)
+
     def word_score(self, word: str) -> float:
         w = self.weights
         return sum(w.get(f, 0.0) for f in features(word.lower()))
@@ -180,7 +185,7 @@ def _scores(shared, name: str):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        model: Model = shared.value
+        model = shared.value.own()
         for batch in batches:
             for part in slices(batch, 1024, batch.num_columns - 1, 4 << 20):
                 got = [min(1.0, max(0.0, model.score(t))) for t in part.column(batch.num_columns - 1).to_pylist()]
@@ -193,7 +198,7 @@ def _located(shared):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        model: Model = shared.value
+        model = shared.value.own()
         for batch in batches:
             for part in slices(batch, 1024, 1, 4 << 20):
                 rows: list[list] = [[], [], [], [], []]

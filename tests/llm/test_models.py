@@ -2,6 +2,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kestrel.llm import crf, extract, langid, toxicity
@@ -62,6 +63,18 @@ def test_noisy_or():
     assert abs(m.score("") - p(-2)) < 1e-12
 
 
+def test_scoring_leaves_no_words_on_the_shared_model():
+    """A worker keeps a broadcast model after its task: the memo of a task must not grow on it."""
+    class Shared:
+        value = toxicity.Model({"=bad": 3.0}, -2.0)
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["bad words here", "other ones."])], ["doc_id", "text"])
+    got = [x for b in toxicity._scores(Shared, "score")([batch]) for x in b.column("score").to_pylist()]
+    assert got == [Shared.value.own().score(t) for t in ("bad words here", "other ones.")]
+    assert sum(b.num_rows for b in toxicity._located(Shared)([batch])) == 1
+    assert Shared.value.memo == {}
+
+
 def test_language_held_out(spark):
     got = QUERIES["op9_language_id"](spark, SF).collect()
     gold = {r.doc_id: (r.lang, r.text) for r in rows_of(spark, "documents").collect()}
