@@ -277,17 +277,21 @@ SELECT vec_id, CAST(label AS VARCHAR) AS label, CAST(4 + label % 5 AS INTEGER) A
 FROM embeddings""")
 def image_files_q(spark, sf):
     """An image file per vector (4 to 8 rows of 8 colour pixels) in a folder per label, read back by the
-    binary file source: path, label, size and pixels."""
+    binary file source: path, label, size and pixels. The vector's id is the file's comment, so that a
+    folder holds many files; tasks, not the driver, put their files in place (their names are the same
+    at a second attempt)."""
     e = table(spark, sf, "embeddings")
     pixel = lambda k, c: ((F.floor(F.abs(k.cast("double")) * 1000) + 7 * c) % 256).cast("int")
     row = lambda r: F.transform(F.slice("embedding", r * 8 + 1, F.lit(8)),
                                 lambda k: F.array(*[pixel(k, c) for c in range(3)]))
     img = F.transform(F.sequence(F.lit(0), 3 + F.col("label") % 5), row)
     path = scratch_path(spark, "images")
-    files = e.select(plain_ppm(img).alias("value"), "label", "vec_id")
-    files.repartition("vec_id").write.partitionBy("label", "vec_id").text(path)
+    # a file costs far more than its bytes: a task for every 256 files
+    files = e.select(plain_ppm(img, F.col("vec_id")).alias("value"), "label").repartition(max(1, -(-e.count() // 256)))
+    files.write.partitionBy("label").option("maxRecordsPerFile", 1) \
+        .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     got = read_images(spark, path, "part-*", r"label=([^/]*)/")
-    return got.select(F.regexp_extract("path", r"vec_id=(\d+)/", 1).cast("long").alias("vec_id"), "label", "height", "width",
+    return got.select(F.col("note").cast("long").alias("vec_id"), "label", "height", "width",
                       F.transform(F.flatten(F.flatten("image")), lambda x: x.cast("long")).alias("pixels"))
 
 

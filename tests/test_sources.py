@@ -8,9 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kestrel.plans import io
 from kestrel.session import scratch_path
 from kestrel.sources.files import read_checked
-from kestrel.sources.images import ADAM7, decode_image, plain_ppm, read_images
+from kestrel.sources.images import ADAM7, decode_image, image_note, plain_ppm, read_images
 from kestrel.sources.tables import html_tables, page_tables
 
 
@@ -170,6 +171,30 @@ def test_plain_ppm_is_read_back(spark):
     assert x.shape == (3, 4, 3) and x[2, 3].tolist() == [23, 2, 3]
 
 
+def test_notes_name_images(spark):
+    """A note is a file's first comment and changes no pixel; files without one have none."""
+    img = F.array(F.array(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    noted, plain = spark.range(7, 8).select(plain_ppm(img, F.col("id")), plain_ppm(img, F.lit(None))).first()
+    assert (decode_image(noted.encode()) == decode_image(plain.encode())).all()
+    assert [image_note(x) for x in (noted.encode(), plain.encode(), b"P5 #a b \n1 1 255 x", b"\x89PNG", b"")] == \
+        ["7", None, "a b", None, None]
+
+
+def test_image_files_share_folders(spark, monkeypatch, tmp_path):
+    """A folder per label, not per file: listing a folder costs as much as a file. Repeated ids are images of
+    their own."""
+    rows = [(i % 30, [float(i + k) / 999 for k in range(64)], i % 3) for i in range(40)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    made = []
+    monkeypatch.setattr(io, "scratch_path", lambda *a: made.append(scratch_path(*a)) or made[-1])
+    got = io.image_files_q(spark, str(tmp_path)).collect()
+    want = [(v, str(y), 4 + y % 5, 8, [(int(abs(np.float32(e[k // 3])) * 1000) + 7 * (k % 3)) % 256
+                                       for k in range((4 + y % 5) * 24)]) for v, e, y in rows]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    folders = [d for d, _, _ in os.walk(made[0].replace("file:", ""))]
+    assert len(folders) <= 1 + 3
+
+
 # -- rejects
 
 LINES = ["id,name,price,day", "1,ann,2.5,2024-01-01", "2,bob,na,2024-02-30", "3,cy,x1,2024-01-03", "junk line", "4,dee,1.0",
