@@ -1,11 +1,15 @@
 """Values of fitted models on small frames whose answer is known: separable labels, an exact
 line, two clusters, a rank-one cloud."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from kestrel.operators import ml
@@ -121,3 +125,28 @@ def test_grid_search_grows_default_trees(spark, monkeypatch):
     assert models.grid_search_cv_q(spark, "/root/testdata/sf0.001").count() == 0
     plain = RandomForestClassifier()
     assert asked == {"depth": plain.getMaxDepth(), "bins": plain.getMaxBins(), "folds": 10, "numTrees": [10, 100, 1000]}
+
+
+def test_grid_search_fits_folds_together_with_the_same_scores(two):
+    """Fits of three folds wait for one another; one fold after the other never meets."""
+    meet, lock, calls = threading.Barrier(3, timeout=60), threading.Lock(), []
+
+    class Meeting(LogisticRegression):
+        def fit(self, dataset, params=None):
+            with lock:
+                calls.append(1)
+                early = len(calls) <= 3
+            if early:
+                meet.wait()
+            return super().fit(dataset, params)
+
+    est = Meeting(labelCol="label", featuresCol="features", maxIter=1)
+    _, res = ml.grid_search_cv(est, {"regParam": [0.1]}, two, "label", ["a", "b"], folds=3, parallelism=3)
+    forest = RandomForestClassifier(labelCol="label", featuresCol="features", maxDepth=1, featureSubsetStrategy="1", seed=1)
+    maps = ParamGridBuilder().addGrid(forest.numTrees, [1, 3]).build()
+    cv = CrossValidator(estimator=forest, estimatorParamMaps=maps, numFolds=3, seed=0,
+                        evaluator=MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"))
+    want = cv.fit(ml.assembler(["a", "b"]).transform(two)).avgMetrics
+    model, res = ml.grid_search_cv(forest, {"numTrees": [1, 3]}, two, "label", ["a", "b"], folds=3)
+    assert [m for _, m in res] == pytest.approx(want, abs=1e-12)
+    assert model.stages[-1].bestModel.getNumTrees == [1, 3][max((0, 1), key=lambda i: (want[i], -i))]
