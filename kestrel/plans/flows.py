@@ -20,7 +20,7 @@ from ..operators.project import map_values, ordinal_case
 from ..operators.reshape import align_columns, count_vector, vocabulary
 from ..operators.split import date_range_split, hash_split, mod_split, time_split
 from ..operators.timeseries import anomaly_flags, split_first
-from ..session import cut_lineage, scratch_path, table
+from ..session import FIT_ROWS, cut_lineage, scratch_path, table
 from ..sources.files import read_delimited
 from ..sources.sinks import write_delimited
 from .columns import AGE_BAND_CODES
@@ -52,7 +52,7 @@ def taxi_flow_q(spark, sf):
                      *time_parts("o_orderdate"), weekday_name("o_orderdate").alias("weekday"),
                      F.coalesce("pickup_area", F.lit(9999)).alias("pickup_area")))
     # the joined, filtered feature rows are written once; fits and scoring read them
-    parts = cut_lineage(hash_split(feats, "unique_key", [("train", 8), ("valid", 1), ("test", 1)]))
+    parts = cut_lineage(hash_split(feats, "unique_key", [("train", 8), ("valid", 1), ("test", 1)]), FIT_ROWS)
     train = parts.filter(F.col("part") == "train")
     oh = OneHot.fit(train, ["weekday"])
     mm = MinMax.fit(train, ["distance", "month", "hour"])
@@ -130,7 +130,7 @@ def loan_flow_q(spark, sf):
     lcd = lcd.withColumn("purpose_cat", suffix_collapse("purpose_cat", "small business"))
     lcd = apply_rules(lcd, {k: v for k, v in LOAN_RULES.items() if k in lcd.columns})
     parts = cut_lineage(date_range_split(lcd, "cr_date", [("train", "1995-01-01", "1999-12-31"),
-                                                           ("test", "1999-12-31", "2001-12-31")]))
+                                                           ("test", "1999-12-31", "2001-12-31")]), FIT_ROWS)
     train, test = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
     train_d, test_d = loan_dummies(train, test)
     feats = [c for c in train_d.columns if c not in ("Id", "is_bad")]
@@ -154,7 +154,7 @@ def income_flow_q(spark, sf):
         F.concat(F.lit(" "), F.col("o_orderstatus"), F.when(F.col("o_orderkey") % 2 == 0, F.lit(".")).otherwise(F.lit(""))).alias("income"))
     clean = impute_mode(tokens_to_null(raw, [" ?"]), ["workclass", "occupation"])
     clean = clean.withColumn("label", (F.btrim("income", F.lit(". ")) == "F").cast("double"))
-    split = cut_lineage(mod_split(clean, "o_orderkey", 5))
+    split = cut_lineage(mod_split(clean, "o_orderkey", 5), FIT_ROWS)
     train = split.filter(F.col("part") == "train")
     enc = LabelEncode.fit(train, ["workclass", "occupation"])
     coded = enc.transform(split)

@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -20,6 +21,10 @@ TABLES = (
 ).split()
 
 
+#: Rows of a partition that a tree fit keeps as objects (some 200 to 500 bytes each).
+FIT_ROWS = 1_000_000
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "kestrel", event_log_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings this library is tuned for.
@@ -91,7 +96,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
+def cut_lineage(df: DataFrame, task_rows: int | None = None) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint dir (survives executor loss).
+
+    With ``task_rows`` no partition holds many more rows than that: where one does, the rows are
+    dealt out evenly and stored again. Fits keep a partition's rows as objects, far larger than the
+    file splits or shuffle bytes that made it, so its size has to be bounded in rows.
+    """
     scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if task_rows is None:
+        return out
+    sizes = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    total, most = sizes.agg(F.sum("n"), F.max("n")).first()
+    if (most or 0) <= task_rows:
+        return out
+    return out.repartition(max(out.rdd.getNumPartitions(), -(-total // task_rows))).checkpoint(eager=True)

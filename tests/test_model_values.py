@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from kestrel.operators import ml
 from kestrel.operators.metrics import roc_auc
 from kestrel.operators.timeseries import anomaly_flags
-from kestrel.plans import models
+from kestrel.plans import flows, models
 from kestrel.plans.extra import pitch_flow
 from kestrel.plans.flows import loan_dummies
+from kestrel.session import cut_lineage
 
 
 @pytest.fixture(scope="module")
@@ -150,3 +151,24 @@ def test_grid_search_fits_folds_together_with_the_same_scores(two):
     model, res = ml.grid_search_cv(forest, {"numTrees": [1, 3]}, two, "label", ["a", "b"], folds=3)
     assert [m for _, m in res] == pytest.approx(want, abs=1e-12)
     assert model.stages[-1].bestModel.getNumTrees == [1, 3][max((0, 1), key=lambda i: (want[i], -i))]
+
+
+def test_stored_fit_rows_are_bounded_per_task(spark):
+    """A partition above the bound is dealt out; all rows stay."""
+    df = spark.range(1000).coalesce(1)
+    sizes = [len(p) for p in cut_lineage(df, 300).rdd.glom().collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 4 and max(sizes) <= 300
+    assert cut_lineage(df, 1000).rdd.getNumPartitions() == 1
+    assert cut_lineage(df.filter("id < 0"), 300).count() == 0
+
+
+@pytest.mark.parametrize("query", ["loan_flow_q", "taxi_flow_q"])
+def test_flows_fit_on_bounded_partitions(spark, monkeypatch, query):
+    largest = []
+    for name in ("fit_gbt", "fit_log_regression"):
+        real = getattr(flows, name)
+        monkeypatch.setattr(flows, name, lambda rows, *a, f=real, **kw: largest.append(
+            max(map(len, rows.rdd.glom().collect()))) or f(rows, *a, **kw))
+    monkeypatch.setattr(flows, "FIT_ROWS", 200, raising=False)
+    getattr(flows, query)(spark, "/root/testdata/sf0.001")
+    assert 0 < largest[0] <= 220
