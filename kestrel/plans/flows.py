@@ -185,7 +185,7 @@ def retail_flow_q(spark, sf):
     codes = group_count(rest, ["o_custkey"], "n_orders")
     idx = {v: i for i, v in enumerate(vocab)}
     tgt = target.select("o_custkey", map_values("o_orderpriority", idx).cast("double").alias("label"), "age_code")
-    rows = mod_split(feats.join(codes, "o_custkey").join(tgt, "o_custkey"), "o_custkey", 5)
+    rows = cut_lineage(mod_split(feats.join(codes, "o_custkey").join(tgt, "o_custkey"), "o_custkey", 5), FIT_ROWS)
     fcols = [f"n_{v}" for v in vocab] + ["n_orders", "age_code"]
     model = fit_rf(rows.filter(F.col("part") == "train"), "label", fcols, num_trees=20)
     pred = model.transform(rows.filter(F.col("part") == "test"))

@@ -27,7 +27,7 @@ from ..operators.reshape import count_vector, vocabulary
 from ..operators.search import adaptive_search
 from ..operators.timeseries import anomaly_flags, split_first
 from ..operators.trees import explain_trees
-from ..session import cut_lineage, scratch_path, table
+from ..session import FIT_ROWS, cut_lineage, scratch_path, table
 from ..sources.sinks import append_rows
 from .registry import query
 
@@ -81,7 +81,8 @@ def rf_target_vector_q(spark, sf):
     feats = count_vector(rest, "o_custkey", "o_orderpriority", vocab, "n_")
     idx = {v: i for i, v in enumerate(vocab)}
     tgt = target.select("o_custkey", map_values("o_orderpriority", idx).cast("double").alias("label"))
-    rows = feats.join(tgt, "o_custkey")
+    # the fit passes over its rows several times and scoring once more: the shuffles run once
+    rows = cut_lineage(feats.join(tgt, "o_custkey"), FIT_ROWS)
     fcols = [f"n_{v}" for v in vocab]
     model = fit_rf(rows, "label", fcols, num_trees=20)
     pred = model.transform(rows)

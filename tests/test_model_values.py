@@ -153,6 +153,16 @@ def test_grid_search_fits_folds_together_with_the_same_scores(two):
     assert model.stages[-1].bestModel.getNumTrees == [1, 3][max((0, 1), key=lambda i: (want[i], -i))]
 
 
+@pytest.mark.parametrize("plans, query", [(models, "rf_target_vector_q"), (flows, "retail_flow_q")])
+def test_forest_rows_are_shuffled_once(spark, monkeypatch, plans, query):
+    """Fit and scoring read stored rows: their plans hold no shuffle of the orders."""
+    seen = []
+    real = plans.fit_rf
+    monkeypatch.setattr(plans, "fit_rf", lambda rows, *a, **kw: seen.append(rows) or real(rows, *a, **kw))
+    getattr(plans, query)(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stored_fit_rows_are_bounded_per_task(spark):
     """A partition above the bound is dealt out; all rows stay."""
     df = spark.range(1000).coalesce(1)
