@@ -286,8 +286,9 @@ def image_files_q(spark, sf):
                                 lambda k: F.array(*[pixel(k, c) for c in range(3)]))
     img = F.transform(F.sequence(F.lit(0), 3 + F.col("label") % 5), row)
     path = scratch_path(spark, "images")
-    # a file costs far more than its bytes: a task for every 256 files
-    files = e.select(plain_ppm(img, F.col("vec_id")).alias("value"), "label").repartition(max(1, -(-e.count() // 256)))
+    # one image for each id and label; a file costs far more than its bytes: a task for every 256 files
+    files = e.dropDuplicates(["vec_id", "label"]).select(plain_ppm(img, F.col("vec_id")).alias("value"), "label")
+    files = files.repartition(max(1, -(-e.count() // 256)))
     files.write.partitionBy("label").option("maxRecordsPerFile", 1) \
         .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     got = read_images(spark, path, "part-*", r"label=([^/]*)/")

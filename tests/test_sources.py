@@ -181,10 +181,10 @@ def test_notes_name_images(spark):
 
 
 def test_image_files_share_folders(spark, monkeypatch, tmp_path):
-    """A folder per label, not per file: listing a folder costs as much as a file. Repeated ids are images of
-    their own."""
-    rows = [(i % 30, [float(i + k) / 999 for k in range(64)], i % 3) for i in range(40)]
-    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    """A folder per label, not per file: listing a folder costs as much as a file. A row that comes twice is one
+    image."""
+    rows = [(i, [float(i + k) / 999 for k in range(64)], i % 3) for i in range(40)]
+    spark.createDataFrame([*rows, rows[7]], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     made = []
     monkeypatch.setattr(io, "scratch_path", lambda *a: made.append(scratch_path(*a)) or made[-1])
     got = io.image_files_q(spark, str(tmp_path)).collect()
