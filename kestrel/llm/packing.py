@@ -24,16 +24,16 @@ from pyspark.sql import functions as F
 
 from .common import blocks_of, discard, slices, store, text_or_empty
 
-#: About the memory that a worker's memo of word ids takes before it starts anew.
-MEMO_BYTES, ENTRY_BYTES = 120 << 20, 160
+#: About the memory that a task's memo of word ids takes before it starts anew, and the text read at once.
+MEMO_BYTES, ENTRY_BYTES, SLICE_BYTES = 32 << 20, 160, 1 << 20
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = (PIECE_SCHEMA + ", part long, bin int, offset long, fill long, "
                  "part_bins int, part_bound int")
 
 
-#: Words that are encoded in one string, and the sign that parts them there.
-WORDS, PART = 1024, b"\x01"
+#: Words that are encoded in one string, strings encoded at once, and the sign that parts words there.
+WORDS, RUNS, PART = 1024, 16, b"\x01"
 
 
 def byte_characters() -> dict[int, str]:
@@ -84,7 +84,7 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.part = self.tokenizer.encode(PART.decode(), add_special_tokens=False).ids
-        self.room, self.memo, self.older = MEMO_BYTES, {}, {}
+        self.forget()
         self.signs = dict(zip((b",", b"."), self._one_by_one([b",", b"."]), strict=True))
 
     def _one_by_one(self, words: list[bytes]) -> list[bytes]:
@@ -115,8 +115,9 @@ class WordEncoder:
             words = [w for w in words if w not in lone]
         runs = [words[i:i + WORDS] for i in range(0, len(words), WORDS)]
         between = f" {PART.decode()} "
-        coded = self.tokenizer.encode_batch_fast([between.join([w.decode() for w in r]) for r in runs],
-                                                 add_special_tokens=False)
+        # an encoding takes many times its text, so only a few are held at once
+        coded = (e for at in range(0, len(runs), RUNS) for e in self.tokenizer.encode_batch_fast(
+            [between.join([w.decode() for w in r]) for r in runs[at:at + RUNS]], add_special_tokens=False))
         for run, e in zip(runs, coded, strict=True):
             ids = np.array(e.ids, np.uint32)
             ends = 4 * np.flatnonzero(ids == self.part[0])
@@ -128,6 +129,10 @@ class WordEncoder:
             starts = [0, *(x + 4 for x in ends)]
             self.memo.update(zip(run, map(raw.__getitem__, map(slice, starts, ends)), strict=True))
 
+    def forget(self) -> None:
+        """Drop the memo: a worker keeps the encoder, so a task's words must not stay on it."""
+        self.room, self.memo, self.older = MEMO_BYTES, {}, {}
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if self.room < 0:
             self.memo, self.older, self.room = {}, self.memo, MEMO_BYTES
@@ -163,20 +168,23 @@ def _cut(vocab: str, capacity: int, end_id: int):
         import pyarrow as pa
 
         enc, end, step = encoder(vocab), np.array([end_id], "<u4").tobytes(), 4 * capacity
-        for batch in batches:
-            for part in slices(batch, 512, 1, 4 << 20):
-                rows: list[list] = [[], [], [], [], []]
-                texts = part.column(1).cast(pa.binary()).to_pylist()
-                for doc, ids in zip(part.column(0).to_pylist(), enc.ids(texts), strict=True):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), step)):
-                        own = ids[at:at + step]
-                        for r, v in zip(rows, (doc, k, at // 4, len(own) // 4, zlib.crc32(own)), strict=True):
-                            r.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()),
-                     *(pa.array(r, pa.int64()) for r in rows[2:])],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for batch in batches:
+                for part in slices(batch, 512, 1, SLICE_BYTES):
+                    rows: list[list] = [[], [], [], [], []]
+                    texts = part.column(1).cast(pa.binary()).to_pylist()
+                    for doc, ids in zip(part.column(0).to_pylist(), enc.ids(texts), strict=True):
+                        ids += end
+                        for k, at in enumerate(range(0, len(ids), step)):
+                            own = ids[at:at + step]
+                            for r, v in zip(rows, (doc, k, at // 4, len(own) // 4, zlib.crc32(own)), strict=True):
+                                r.append(v)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()),
+                         *(pa.array(r, pa.int64()) for r in rows[2:])],
+                        ["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            enc.forget()
     return run
 
 

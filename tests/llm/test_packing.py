@@ -3,9 +3,11 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from kestrel.llm.packing import best_fit, encoder, lower_bound, pack_documents, plain_word
+from kestrel.llm import packing
+from kestrel.llm.packing import WordEncoder, _cut, best_fit, encoder, lower_bound, pack_documents, plain_word
 
 from .helpers import EDGE, documents
 
@@ -76,6 +78,41 @@ def test_words_with_the_parting_sign():
         np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
 
 
+def test_words_go_with_their_task():
+    """A worker keeps its encoder from task to task: neither a whole nor an ended task leaves words on it."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["alpha, beta 12\u00bd", "gamma " * 3000]})
+    enc = encoder(VOCAB)
+    first = [r for b in _cut(VOCAB, 4096, 1)(iter([batch])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in first] == [1, 2] and not enc.memo and not enc.older
+    task = _cut(VOCAB, 4096, 1)(iter([batch, batch]))
+    assert next(task).to_pylist() == first and enc.memo
+    task.close()
+    assert not enc.memo and not enc.older
+    again = [r for b in _cut(VOCAB, 4096, 1)(iter([batch])) for r in b.to_pylist()]
+    assert again == first
+
+
+def test_strings_encoded_in_turn(monkeypatch):
+    """Few words a string and few strings at once give the same ids, and no call gets more strings."""
+    words = [f"w{i}x" for i in range(100)]
+    want = WordEncoder(VOCAB).ids([" ".join(words).encode()])
+    monkeypatch.setattr(packing, "WORDS", 5)
+    monkeypatch.setattr(packing, "RUNS", 2)
+    enc, most = WordEncoder(VOCAB), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.model = inner, inner.model
+
+        def encode_batch_fast(self, texts, **kw):
+            most.append(len(texts))
+            return self.inner.encode_batch_fast(texts, **kw)
+
+    enc.tokenizer = Counted(enc.tokenizer)
+    assert enc.ids([" ".join(words).encode()]) == want
+    assert max(most) == 2 and sum(most) == 20
+
+
 def test_edges(spark):
     rows = pack_documents(documents(spark, EDGE, ["piece", "part", "bin"]), capacity=128).collect()
     check(rows, EDGE, 128)
