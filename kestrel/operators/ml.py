@@ -16,19 +16,21 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import FIT_ROWS, cut_lineage
+
 
 def assembler(inputs: Sequence[str], output: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(inputs), outputCol=output, handleInvalid="keep")
@@ -97,12 +99,107 @@ def fit_mlp(train: DataFrame, label: str, features: Sequence[str], hidden: int,
     return Pipeline(stages=[assembler(features, "raw"), scaler, mlp]).fit(train)
 
 
+def split_points(values: np.ndarray, counts: np.ndarray, rows: float, bins: int) -> list[float]:
+    """Candidate splits of one component, as Spark's trees choose them: the middles between neighbouring
+    values, or of those the ones nearest to ``bins`` equal shares when there are more. What is missing
+    to ``rows`` counts as zeros."""
+    keep = np.isfinite(values) & (values != 0)
+    at = dict(zip(values[keep].tolist(), counts[keep].tolist()))
+    zeros = rows - sum(at.values())
+    if at and zeros > 1e-9:
+        at[0.0] = zeros
+    values = sorted(at)
+    middles = [(a + b) / 2 for a, b in zip(values, values[1:])]
+    if len(middles) < bins:
+        return middles
+    out, seen, stride = [], at[values[0]], rows / bins
+    target = stride
+    for value, middle in zip(values[1:], middles):
+        before, seen = seen, seen + at[value]
+        if abs(before - target) < abs(seen - target):
+            out.append(middle)
+            target += stride
+    return out
+
+
+def candidate_splits(df: DataFrame, col: str, bins: int, seed: int) -> dict[int, list[float]]:
+    """Candidate splits of each component of a vector column (none for a constant one), at most
+    ``bins`` - 1 a component. As in Spark's trees they come from some max(bins * bins, 10,000) rows; every row
+    is binned with them. The rows are drawn as Spark's fit draws them, so that both name the same splits."""
+    spark = df.sparkSession
+    n = df.count()
+    bins, wanted = min(bins, n), max(bins * bins, 10_000)
+    drawn = df.select(col)
+    if wanted < n:
+        draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed).nextInt()
+        rows = drawn._jdf.javaRDD().sample(False, wanted / n, draw)
+        drawn = DataFrame(spark._jsparkSession.createDataFrame(rows, drawn._jdf.schema()), spark)
+    held = drawn.select(F.posexplode(vector_to_array(col)).alias("at", "value")).groupBy("at", "value").count()
+
+    def splits(part: pd.DataFrame) -> pd.DataFrame:
+        found = split_points(part["value"].to_numpy(), part["count"].to_numpy(), float(min(wanted, n)), bins)
+        return pd.DataFrame({"at": part["at"].iloc[:1], "splits": [found]})
+
+    return {r["at"]: r["splits"] for r in held.groupBy("at").applyInPandas(splits, "at int, splits array<double>").collect()}
+
+
+class Binned(Transformer):
+    """Each component of a vector column becomes the number of its bin between the splits; a value equal to
+    a split lies below it, as in Spark's trees. Components without splits become 0; NaN and infinities stay."""
+
+    def __init__(self, splits: Mapping[int, Sequence[float]], input_col: str, output_col: str):
+        super().__init__()
+        self.splits, self.input_col, self.output_col = dict(splits), input_col, output_col
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        raw = [f"{self.output_col}_raw{i}" for i in self.splits]
+        bins = [f"{self.output_col}_bin{i}" for i in self.splits]
+        cut = {i: [-np.inf, *np.nextafter(s, np.inf).tolist(), np.inf] for i, s in self.splits.items() if s}
+        x = vector_to_array(self.input_col)
+        out = df.withColumns({r: x[i] for r, i in zip(raw, self.splits)})
+        if cut:
+            out = Bucketizer(splitsArray=list(cut.values()), handleInvalid="keep",
+                             inputCols=[r for r, i in zip(raw, self.splits) if i in cut],
+                             outputCols=[b for b, i in zip(bins, self.splits) if i in cut]).transform(out)
+        out = out.withColumns({b: F.when(F.abs(r) < np.inf, F.col(b) if i in cut else F.lit(0.0)).otherwise(F.col(r))
+                               for r, b, i in zip(raw, bins, self.splits)})
+        return assembler(bins, self.output_col).transform(out).drop(*raw, *bins)
+
+
+#: Parameters of a boosted regression that hold for rows and for their weighted sums alike.
+SUMMED_PARAMS = {"maxIter", "maxDepth", "maxBins", "stepSize", "minInfoGain", "minWeightFractionPerNode",
+                 "featureSubsetStrategy", "checkpointInterval", "maxMemoryInMB", "cacheNodeIds"}
+
+
 def fit_log_regression(train: DataFrame, target: str, features: Sequence[str], stages=(), seed: int = 42,
                        **params) -> PipelineModel:
-    """Regression on ln(target); predictions are mapped back with exp."""
+    """Regression on ln(target); predictions are mapped back with exp.
+
+    Boosting passes over its rows at every level of every tree, yet sees of a row's features only the bins. So all
+    rows are binned and added up first, and the trees grow on one weighted row per combination of bins, with the
+    mean of its ln(target). Residuals and gains of squared error depend on nothing else, so the trees are those of
+    the single rows. Rows that Spark refuses (no target, no finite features) are refused as before. With a
+    parameter that counts, draws or weighs single rows, or another loss, the trees grow on the single rows."""
     t = train.withColumn("_log_target", F.ln(F.col(target)))
-    gbt = GBTRegressor(labelCol="_log_target", featuresCol="features", seed=seed, **params)
-    return Pipeline(stages=[*stages, assembler(features), gbt]).fit(t)
+    if not params.keys() <= SUMMED_PARAMS:
+        gbt = GBTRegressor(labelCol="_log_target", featuresCol="features", seed=seed, **params)
+        return Pipeline(stages=[*stages, assembler(features), gbt]).fit(t)
+    prep = Pipeline(stages=[*stages, assembler(features, "_assembled")]).fit(t)
+    points = prep.transform(t).select("_log_target", "_assembled")
+    binned = Binned(dict(sorted(candidate_splits(points, "_assembled", params.pop("maxBins", 32), seed).items())),
+                    "_assembled", "features")
+    x = vector_to_array("features")
+    keys = [f"_x{i}" for i in binned.splits]
+    y = F.col("_log_target")
+    cells = cut_lineage(
+        binned.transform(points).select("_log_target", *[x[i].alias(k) for k, i in zip(keys, binned.splits)])
+        .groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("_rows"),
+                            F.when(F.count(y) == F.count(F.lit(1)), F.avg(y)).alias("_log_target")), FIT_ROWS)
+    # so many bins that every cell counts as a candidate, none is drawn
+    every = max(32, int(np.ceil(np.sqrt(cells.count()))))
+    gbt = GBTRegressor(labelCol="_log_target", featuresCol="features", weightCol="_rows", seed=seed, maxBins=every,
+                       **params)
+    return PipelineModel([*prep.stages, binned, gbt.fit(assembler(keys).transform(cells))])
 
 
 def predict_exp(model: PipelineModel, df: DataFrame, name: str = "prediction_exp") -> DataFrame:

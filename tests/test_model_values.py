@@ -4,11 +4,13 @@ line, two clusters, a rank-one cloud."""
 import threading
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -62,6 +64,60 @@ def test_log_regression_on_an_exact_step(spark):
     assert max(abs(r.prediction_exp / r.y - 1) for r in out.collect()) < 0.05
 
 
+@pytest.fixture(scope="module")
+def prices(spark):
+    """More rows than Spark draws split candidates from; q has more values than bins, c is constant, z mostly 0."""
+    rng = np.random.default_rng(5)
+    n = 12_000
+    q, d, z = rng.integers(-30, 40, n), rng.normal(size=n), rng.integers(0, 3, n) * (rng.random(n) < 0.1)
+    y = np.exp(0.05 * q + d * (z > 0) + rng.normal(size=n))
+    return spark.createDataFrame(pd.DataFrame({"id": range(n), "q": q * 1.0, "d": d, "z": z * 1.0, "c": 7.0, "y": y}))
+
+
+def test_log_regression_is_that_of_the_single_rows(prices):
+    """Also with values equal to a split and with null and infinite features in the scored rows."""
+    cols = ["q", "d", "z", "c"]
+    plain = Pipeline(stages=[ml.assembler(cols), GBTRegressor(labelCol="l", seed=42, maxIter=5, maxDepth=4)]).fit(
+        prices.withColumn("l", F.ln("y")))
+    model = ml.fit_log_regression(prices, "y", cols, maxIter=5, maxDepth=4)
+    odd = prices.limit(300).select(F.col("id") + 10**6, "q", F.when(F.col("id") % 3 == 0, F.lit(float("inf"))).when(
+        F.col("id") % 3 == 1, F.lit(float("-inf"))).alias("d"), F.col("z") - 0.5, "c", "y")
+    middles = prices.limit(300).select(F.col("id") + 10**7, F.col("q") + 0.5, "d", F.col("z") + 0.5, "c", "y")
+    rows = prices.union(odd).union(middles)
+    want = {r.id: r.prediction for r in plain.transform(rows).select("id", "prediction").collect()}
+    got = {r.id: r.prediction for r in model.transform(rows).select("id", "prediction").collect()}
+    assert got.keys() == want.keys() and len(set(want.values())) > 50
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-9
+
+
+def test_log_regression_grows_on_sums_of_all_rows(prices, monkeypatch):
+    """The boosted passes read a row per combination of bins; together they weigh all rows."""
+    seen = []
+
+    class Watched(GBTRegressor):
+        def fit(self, dataset, params=None):
+            seen.append((dataset.count(), dataset.agg(F.sum("_rows")).first()[0], dataset.count() <= self.getMaxBins() ** 2))
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(ml, "GBTRegressor", Watched)
+    ml.fit_log_regression(prices, "y", ["q", "z", "c"], maxIter=1, maxDepth=2)
+    cells, rows, all_candidates = seen[0]
+    assert cells <= 33 * 3 and rows == 12_000 and all_candidates
+
+
+@pytest.mark.parametrize("bad", [{"y": None}, {"q": None}, {"q": float("inf")}])
+def test_log_regression_refuses_rows_as_before(prices, bad):
+    (col, value), = bad.items()
+    df = prices.withColumn(col, F.when(F.col("id") == 5, F.lit(value).cast("double")).otherwise(F.col(col)))
+    with pytest.raises(Exception, match="MUST NOT be"):
+        ml.fit_log_regression(df, "y", ["q", "d"], maxIter=1, maxDepth=2)
+
+
+def test_log_regression_takes_parameters_of_single_rows(prices):
+    model = ml.fit_log_regression(prices, "y", ["q"], maxIter=1, maxDepth=2, minInstancesPerNode=7000)
+    assert model.transform(prices).select("prediction").distinct().count() == 1
+
+
 def test_searches(two, spark):
     lr = LogisticRegression(labelCol="label", featuresCol="features")
     _, trials = ml.random_search(lr, {"regParam": ("log", 1e-3, 1.0)}, 3, two, "label", ["a", "b"], seed=1)
