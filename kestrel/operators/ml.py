@@ -134,13 +134,10 @@ def candidate_splits(df: DataFrame, col: str, bins: int, seed: int) -> dict[int,
         draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed).nextInt()
         rows = drawn._jdf.javaRDD().sample(False, wanted / n, draw)
         drawn = DataFrame(spark._jsparkSession.createDataFrame(rows, drawn._jdf.schema()), spark)
-    held = drawn.select(F.posexplode(vector_to_array(col)).alias("at", "value")).groupBy("at", "value").count()
-
-    def splits(part: pd.DataFrame) -> pd.DataFrame:
-        found = split_points(part["value"].to_numpy(), part["count"].to_numpy(), float(min(wanted, n)), bins)
-        return pd.DataFrame({"at": part["at"].iloc[:1], "splits": [found]})
-
-    return {r["at"]: r["splits"] for r in held.groupBy("at").applyInPandas(splits, "at int, splits array<double>").collect()}
+    # bounded: the values of some 10,000 drawn rows
+    held = drawn.select(F.posexplode(vector_to_array(col)).alias("at", "value")).groupBy("at", "value").count().toPandas()
+    return {int(at): split_points(part["value"].to_numpy(), part["count"].to_numpy(), float(min(wanted, n)), bins)
+            for at, part in held.groupby("at")}
 
 
 class Binned(Transformer):
